@@ -53,16 +53,22 @@ def align_components(
     keys = tuple(keys or (*layout.keys, "idx"))
     columns = ["time", *[m.name for m in layout.metrics]]
     sources = [tables[layout.time_table], *[tables[m.table] for m in layout.metrics]]
-    slots = _stack(sources, columns, keys).groupBy(*keys)
-    counts = [F.count_if(F.col("_source") == i).alias(f"_n{i}") for i in range(len(columns))]
-    aligned = slots.agg(*counts, *[F.max(c).alias(c) for c in columns])
-    n = [F.col(f"_n{i}") for i in range(len(columns))]
-    repeated = F.greatest(*n) > 1
-    complete = F.when(
-        repeated, F.raise_error(F.lit(f"several readings of one table share {', '.join(keys)}"))
-    ).otherwise(F.least(*n) == 1)
-    present = [F.col(k).isNotNull() for k in keys]
-    return aligned.filter(complete).filter(reduce(Column.__and__, present)).select(*keys, *columns)
+    aligned = (
+        _stack(sources, columns, keys)
+        .groupBy(*keys)
+        .agg(
+            F.count(F.lit(1)).alias("_rows"),
+            F.bit_or("_source").alias("_sources"),
+            *[F.max(c).alias(c) for c in columns],
+        )
+    )
+    repeated = F.col("_rows") > F.bit_count("_sources")
+    complete = F.col("_sources") == 2 ** len(sources) - 1
+    message = F.lit(f"several readings of one table share {', '.join(keys)}")
+    keyed = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+    return (
+        aligned.filter(F.when(repeated, F.raise_error(message)).otherwise(complete)).filter(keyed).select(*keys, *columns)
+    )
 
 
 def rollup_components(
@@ -75,13 +81,17 @@ def rollup_components(
 ) -> DataFrame:
     """Daily rollup of the inner join of the refined tables on ``keys``, without making the joined rows.
 
-    ``keys`` defaults to document and position. With entity and position only, a position of one
-    document meets that position of every other document of the entity; the join then has the
-    product of the tables' row counts per key. The result is the same here, at linear cost: each
-    table is summed up per key first, and a value counts as often as the join would repeat it, which
-    is the product of the other tables' counts.
+    By default the tables are aligned by document and position, which must be unique.
+
+    Keys that are given need not be. With entity and position only, a position of one document meets
+    that position of every other document of the entity, and the join has the product of the tables'
+    row counts per key. The result is the same here at linear cost: each table is summed up per key
+    first, and a value counts as often as the join would repeat it, which is the product of the
+    other tables' counts.
     """
-    keys = tuple(keys or (*layout.keys, "idx"))
+    if keys is None:
+        return daily_rollup(align_components(tables, layout), layout, start, end, sort)
+    keys = tuple(keys)
     metrics = layout.metrics
     count = len(metrics)
 
@@ -89,7 +99,7 @@ def rollup_components(
     sums: list[Column] = []
     for i, metric in enumerate(metrics):
         sums += [
-            F.count_if(F.col("_source") == i).cast("double").alias(f"_n{i}"),
+            F.count_if(F.col("_source") == 2**i).cast("double").alias(f"_n{i}"),
             F.count(metric.name).alias(f"_c{i}"),
             F.sum(metric.name).alias(f"_s{i}"),
             F.min(metric.name).alias(f"_lo{i}"),
@@ -115,11 +125,11 @@ def rollup_components(
 
 
 def _stack(sources: Sequence[DataFrame], columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """Union of the tables over ``keys``, each with its own column filled and ``_source`` its number."""
+    """Union of the tables over ``keys``, each with its own column filled and one bit of ``_source`` set."""
     parts = [
         source.select(
             *keys,
-            F.lit(i).alias("_source"),
+            F.lit(2**i).alias("_source"),
             *[F.col(c) if c == columns[i] else F.lit(None).alias(c) for c in columns],
         )
         for i, source in enumerate(sources)

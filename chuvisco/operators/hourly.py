@@ -76,7 +76,7 @@ def hourly_wide(
     if distinct == "documents":
         narrow = narrow.distinct()
     rows = (
-        narrow.withColumn("_length", F.least(*[F.size(name) for name in arrays]))
+        narrow.withColumn("_length", F.coalesce(F.least(*[F.size(name) for name in arrays]), F.lit(0)))
         .select(*layout.keys, *carried, "_length", F.posexplode(F.arrays_zip(*arrays)).alias("idx", "_reading"))
         .filter(F.col("idx") < F.col("_length"))
         .select(

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from chuvisco.sinks.tables import gather
+
 
 def land_documents(
     docs: DataFrame,
@@ -20,9 +22,11 @@ def land_documents(
     ``documents_per_file=1`` gives one object per document; without it Spark packs a task's
     documents in one file, which suits large landings. ``partition_by`` columns go to directories.
     """
+    rows = docs.select(*dict.fromkeys((*envelope, *partition_by)))
+    if partition_by:
+        rows = gather(rows, partition_by)
     writer = (
-        docs.select(*dict.fromkeys((*envelope, *partition_by)))
-        .write.mode(mode)
+        rows.write.mode(mode)
         .option("compression", "gzip")
         .option("ignoreNullFields", False)
     )

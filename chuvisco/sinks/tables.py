@@ -21,15 +21,13 @@ def write_table(
     """Write a table, by default replacing what it holds.
 
     With ``partition_by``, an overwrite replaces the partitions present in ``df`` and leaves the
-    others as they are. Rows are first gathered by those columns with the rebalance hint: adaptive
-    execution splits a partition that is far larger than the rest over several tasks and joins small
-    ones, so neither a hot partition nor a swarm of small files comes out. ``sort_by`` orders rows
-    inside each file, which makes row-group statistics selective.
+    others as they are. Rows are first gathered by those columns. ``sort_by`` orders rows inside
+    each file, which makes row-group statistics selective.
 
     ``replace_schema`` lets a Delta table change its columns; Parquet always takes the new ones.
     """
     if partition_by and rebalance:
-        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+        df = gather(df, partition_by)
     if sort_by:
         df = df.sortWithinPartitions(*dict.fromkeys((*partition_by, *sort_by)))
     writer = df.write.format(fmt).mode(mode)
@@ -40,3 +38,12 @@ def write_table(
     if replace_schema and fmt == "delta":
         writer = writer.option("overwriteSchema", True)
     writer.save(path)
+
+
+def gather(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Bring rows of a partition directory together, so that each task writes to few of them.
+
+    Adaptive execution splits a directory that is far larger than the rest over several tasks and
+    joins small ones, so neither one slow task nor a swarm of small files comes out.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in columns])

@@ -2,6 +2,6 @@
 
 from chuvisco.sources.delimited import header_mismatch, read_csv
 from chuvisco.sources.documents import read_documents
-from chuvisco.sources.tables import read_table, register_views
+from chuvisco.sources.tables import read_table, register_views, spread
 
-__all__ = ["header_mismatch", "read_csv", "read_documents", "read_table", "register_views"]
+__all__ = ["header_mismatch", "read_csv", "read_documents", "read_table", "register_views", "spread"]

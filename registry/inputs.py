@@ -11,7 +11,9 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chuvisco.schemas import DOCUMENT, WEATHER, Metric, Layout
+from chuvisco.schemas import DOCUMENT, WEATHER, Layout, Metric
+from chuvisco.sinks import staged
+from chuvisco.sources import spread
 
 # A line's document has its own name, since a supplier has many lines in a month.
 LINES = replace(WEATHER, document=("codigo_ibge", "ano", "mes", "remessa"))
@@ -35,7 +37,7 @@ def line_documents(spark: SparkSession, sf_dir: str, entity: str = "l_suppkey")
     Readings lie six hours apart and stay in the month of shipping. Lines of 10 % discount have no
     humidity, untaxed lines lack the first value of it, and returned lines the last wind speed.
     """
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"))
     day = F.to_date("l_shipdate")
     positions = F.sequence(F.lit(0), F.col("l_linenumber") - 1)
     discount = F.round(F.col("l_discount") * 100)
@@ -89,6 +91,11 @@ def line_documents(spark: SparkSession, sf_dir: str, entity: str = "l_suppkey")
     )
 
 
+def stored_documents(spark: SparkSession, sf_dir: str, entity: str = "l_suppkey") -> DataFrame:
+    """The documents of the order lines as a Parquet table, as operators find them in a lake."""
+    return staged(line_documents(spark, sf_dir, entity), "documents")
+
+
 def municipalities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as municipalities of their nation; nation 0 has no capital flag."""
     return table(spark, sf_dir, "customer").select(

@@ -25,6 +25,7 @@ from registry.inputs import (
     municipalities,
     orders_history,
     states,
+    stored_documents,
     table,
 )
 
@@ -38,24 +39,24 @@ HISTORY_END = "1998-12-31"
 
 
 def explode_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.explode_time(line_documents(spark, sf_dir), LINES)
+    return ops.explode_time(stored_documents(spark, sf_dir), LINES)
 
 
 def explode_humidity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.explode_metric(line_documents(spark, sf_dir), "relativehumidity_2m", LINES)
+    return ops.explode_metric(stored_documents(spark, sf_dir), "relativehumidity_2m", LINES)
 
 
 def explode_temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.explode_metric(line_documents(spark, sf_dir), "temperature_2m", LINES)
+    return ops.explode_metric(stored_documents(spark, sf_dir), "temperature_2m", LINES)
 
 
 def explode_wind(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.explode_metric(line_documents(spark, sf_dir), "windspeed_10m", LINES)
+    return ops.explode_metric(stored_documents(spark, sf_dir), "windspeed_10m", LINES)
 
 
 def component_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of each refined table per entity, from the loop over the layout's tables."""
-    docs = line_documents(spark, sf_dir)
+    docs = stored_documents(spark, sf_dir)
     counts = [
         rows.groupBy("codigo_ibge").agg(F.count(F.lit(1)).alias("linhas")).withColumn("tabela", F.lit(name))
         for name, rows in ops.components(docs, LINES).items()
@@ -67,31 +68,31 @@ def component_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hourly_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.hourly_wide(line_documents(spark, sf_dir), LINES)
+    return ops.hourly_wide(stored_documents(spark, sf_dir), LINES)
 
 
 def hourly_wide_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.hourly_wide(line_documents(spark, sf_dir), LINES, "1996-03-01", "1998-02-28", sort=True)
+    return ops.hourly_wide(stored_documents(spark, sf_dir), LINES, "1996-03-01", "1998-02-28", sort=True)
 
 
 # Repeated documents
 
 
 def distinct_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = line_documents(spark, sf_dir)
+    docs = stored_documents(spark, sf_dir)
     return ops.explode_metric(ops.distinct_documents(docs.unionAll(docs)), "windspeed_10m", LINES)
 
 
 def distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct rows of entity and position only, over all documents of the entity."""
-    docs = line_documents(spark, sf_dir)
+    docs = stored_documents(spark, sf_dir)
     entity_only = Layout(metrics=LINES.metrics, document=("codigo_ibge",))
     return ops.explode_metric(docs, "windspeed_10m", entity_only, distinct="rows")
 
 
 def latest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document arrives twice; the second time, an hour later, its elevation is one higher."""
-    docs = line_documents(spark, sf_dir)
+    docs = stored_documents(spark, sf_dir)
     raised = F.col("payload").withField("elevation", F.col("payload.elevation") + 1)
     deliveries = docs.withColumns({"recebido_em": F.lit("19980101000000"), "documento": F.lit("a")}).unionByName(
         docs.withColumns({"payload": raised, "recebido_em": F.lit("19980101010000"), "documento": F.lit("b")})
@@ -103,26 +104,26 @@ def latest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.daily_rollup(ops.hourly_wide(line_documents(spark, sf_dir), LINES), LINES)
+    return ops.daily_rollup(ops.hourly_wide(stored_documents(spark, sf_dir), LINES), LINES)
 
 
 def daily_rollup_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hourly = ops.hourly_wide(line_documents(spark, sf_dir), LINES)
+    hourly = ops.hourly_wide(stored_documents(spark, sf_dir), LINES)
     return ops.daily_rollup(hourly, LINES, date(1996, 1, 1), date(1996, 12, 31), sort=True)
 
 
 def daily_rollup_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.rollup_components(ops.components(line_documents(spark, sf_dir), LINES), LINES)
+    return ops.rollup_components(ops.components(stored_documents(spark, sf_dir), LINES), LINES)
 
 
 def daily_rollup_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables joined on entity and position only: an order's documents all meet one another."""
-    docs = line_documents(spark, sf_dir, entity="l_orderkey")
+    docs = stored_documents(spark, sf_dir, entity="l_orderkey")
     return ops.rollup_components(ops.components(docs, LINES), LINES, keys=("codigo_ibge", "idx"))
 
 
 def aligned_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.align_components(ops.components(line_documents(spark, sf_dir), LINES), LINES)
+    return ops.align_components(ops.components(stored_documents(spark, sf_dir), LINES), LINES)
 
 
 def daily_rollup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,7 +166,7 @@ def hourly_annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
         "utc_offset_seconds": "deslocamento_fuso_horario_em_segundos",
     }
     path = work_path(spark, "annotated")
-    hourly = ops.hourly_wide(line_documents(spark, sf_dir), LINES)
+    hourly = ops.hourly_wide(stored_documents(spark, sf_dir), LINES)
     named = hourly.select("ano", *[F.col(old).alias(new) for old, new in names.items()])
     write_table(annotate(named, WEATHER_COLUMNS), path, partition_by=("ano",), sort_by=("codigo_ibge", "data_hora"))
     return require_annotations(read_table(spark, path).drop("ano"))
@@ -235,7 +236,7 @@ def schema_replacement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def views_cte(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_views({"documentos_de_linhas": line_documents(spark, sf_dir)})
+    register_views({"documentos_de_linhas": stored_documents(spark, sf_dir)})
     return spark.sql("""
         WITH medidas AS (
             SELECT codigo_ibge, payload.hourly_units.temperature_2m AS unidade,
