@@ -65,10 +65,7 @@ def align_components(
     repeated = F.col("_rows") > F.bit_count("_sources")
     complete = F.col("_sources") == 2 ** len(sources) - 1
     message = F.lit(f"several readings of one table share {', '.join(keys)}")
-    keyed = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
-    return (
-        aligned.filter(F.when(repeated, F.raise_error(message)).otherwise(complete)).filter(keyed).select(*keys, *columns)
-    )
+    return aligned.filter(F.when(repeated, F.raise_error(message)).otherwise(complete)).select(*keys, *columns)
 
 
 def rollup_components(
@@ -125,9 +122,13 @@ def rollup_components(
 
 
 def _stack(sources: Sequence[DataFrame], columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """Union of the tables over ``keys``, each with its own column filled and one bit of ``_source`` set."""
+    """Union of the tables over ``keys``, each with its own column filled and one bit of ``_source`` set.
+
+    Rows with a null key join nothing and are left out.
+    """
+    keyed = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
     parts = [
-        source.select(
+        source.filter(keyed).select(
             *keys,
             F.lit(2**i).alias("_source"),
             *[F.col(c) if c == columns[i] else F.lit(None).alias(c) for c in columns],

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from chuvisco.sinks import staged, write_table
 from chuvisco.sources import read_table
 
+# Partitions named in one condition at most.
+MOST_LISTED = 200
+
 
 def merge_upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``old`` with every row whose key is in ``new`` replaced, and the other rows of ``new`` added.
@@ -56,13 +59,14 @@ def upsert_table(
     """Upsert ``new`` into the table at ``path``, which is made if it is not there.
 
     ``partition_by`` columns must be among the keys; only the partitions that ``new`` touches are
-    then read and rewritten. The merged rows go to a working copy first, because the table cannot
-    be overwritten while it is read.
+    then read and rewritten. ``new`` is read from a working copy, as it is gone through several
+    times, and so are the merged rows, because the table cannot be overwritten while it is read.
     """
     outside = [c for c in partition_by if c not in keys]
     if outside:
         raise ValueError(f"partition columns {outside} are not keys")
     spark = new.sparkSession
+    new = staged(new, "new")
     try:
         old = read_table(spark, path, fmt)
     except AnalysisException as error:
@@ -73,7 +77,22 @@ def upsert_table(
         write_table(new, path, fmt, partition_by=partition_by, sort_by=sort_by)
         return
     if partition_by:
-        touched = new.select(*partition_by).distinct()
-        old = old.join(touched, list(partition_by), "left_semi").select(*old.columns)
+        old = _touched(old, new, partition_by)
     merged = staged(merge_upsert(old, new, keys), "upsert")
     write_table(merged, path, fmt, partition_by=partition_by, sort_by=sort_by)
+
+
+def _touched(old: DataFrame, new: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of ``old`` in partitions that occur in ``new``.
+
+    A plain condition lets the scan skip the other directories; with more partitions than fit in
+    one, they are joined instead.
+    """
+    partitions = new.select(*partition_by).distinct()
+    listed = partitions.limit(MOST_LISTED + 1).collect()
+    if len(listed) > MOST_LISTED:
+        renamed = partitions.toDF(*[f"_{c}" for c in partition_by])
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in partition_by]
+        return old.join(renamed, reduce(Column.__and__, same), "left_semi")
+    same = [reduce(Column.__and__, [F.col(c).eqNullSafe(row[c]) for c in partition_by]) for row in listed]
+    return old.filter(reduce(Column.__or__, same, F.lit(False)))

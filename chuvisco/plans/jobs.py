@@ -18,7 +18,7 @@ from chuvisco.functions.periods import period_path
 from chuvisco.functions.stamp import stamp
 from chuvisco.operators.daily import daily_rollup
 from chuvisco.operators.dimension import build_refined, build_trusted
-from chuvisco.operators.documents import distinct_documents, latest_documents
+from chuvisco.operators.documents import ARRIVAL, distinct_documents, latest_documents
 from chuvisco.operators.hourly import components, hourly_wide
 from chuvisco.schemas import DOCUMENT, MUNICIPALITIES, STATES, WEATHER, Layout
 from chuvisco.sinks import write_table
@@ -64,7 +64,7 @@ def compact(docs: DataFrame, lake: Lake, layout: Layout = WEATHER, latest: bool
     Repeated documents are dropped. ``latest`` also settles differing deliveries of one document,
     in favour of the last.
     """
-    docs = distinct_documents(latest_documents(docs, layout) if latest else docs)
+    docs = latest_documents(docs, layout).drop(*ARRIVAL) if latest else distinct_documents(docs)
     write_table(docs, lake.merged("clima"), partition_by=("ano", "mes"))
 
 

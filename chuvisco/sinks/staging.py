@@ -12,14 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path under ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only a local session may leave that setting out; it then gets one temporary folder.
+    Only a local session may leave that setting out; it then gets one temporary folder. What is
+    written there is removed when the session's JVM ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
+    if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = _local_folder()
-    return f"{root.rstrip('/')}/{name}-{uuid4().hex}"
+    folder = f"{root.rstrip('/')}/work-{uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return f"{folder}/{name}"
 
 
 @cache
