@@ -1,0 +1,336 @@
+"""Scans, landing files, table writes, upsert."""
+
+import glob
+import gzip
+import json
+import os
+from datetime import datetime
+
+import pytest
+from build import document, documents, hours, two_months
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from chuvisco.functions import annotate, dictionary, require_annotations, stamp
+from chuvisco.functions.metadata import MUNICIPALITY_COLUMNS, WEATHER_COLUMNS
+from chuvisco.operators import explode_metric, explode_time, merge_upsert, upsert_table
+import chuvisco.operators.upsert as upsert_module
+from chuvisco.schemas import DOCUMENT, MUNICIPALITIES, MUNICIPALITIES_WIDE, assert_schema
+from chuvisco.sinks import land_csv, land_documents, staged, work_path, write_table
+from chuvisco.sources import header_mismatch, read_csv, read_documents, read_table, register_views, spread
+
+ROWS = "codigo_ibge LONG, time TIMESTAMP_NTZ, valor DOUBLE"
+
+
+def files(path, pattern):
+    return sorted(glob.glob(f"{path}/{pattern}", recursive=True))
+
+
+def write_gzip(path, text):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    with gzip.open(path, "wt", encoding="utf-8") as out:
+        out.write(text)
+
+
+# CSV
+
+
+def test_csv_reads_a_declared_prefix_of_the_columns(spark, tmp_path):
+    write_gzip(
+        tmp_path / "m.csv.gz",
+        "codigo_ibge,nome,latitude,longitude,capital,codigo_uf,siafi_id,ddd,fuso_horario\n"
+        "5200050,Abadia de Goiás,-16.757300000000001,x,0,52,1050,62,America/Sao_Paulo\n",
+    )
+    path = str(tmp_path / "m.csv.gz")
+    found = read_csv(spark, path, MUNICIPALITIES, check_header=True)
+    assert tuple(found.first()) == (5200050, "Abadia de Goiás", -16.757300000000001, None, 0, 52)
+    assert read_csv(spark, path, MUNICIPALITIES_WIDE).first().fuso_horario == "America/Sao_Paulo"
+
+
+def test_csv_binds_by_position_and_the_header_can_be_checked(spark, tmp_path):
+    write_gzip(tmp_path / "m.csv.gz", "nome,codigo\nx,1\n")
+    path = str(tmp_path / "m.csv.gz")
+    assert read_csv(spark, path, "codigo STRING, nome STRING").first().codigo == "x"
+    assert header_mismatch(spark, path, "codigo STRING, nome STRING, uf STRING") == [
+        ("nome", "codigo"),
+        ("codigo", "nome"),
+        (None, "uf"),
+    ]
+    with pytest.raises(ValueError, match="header"):
+        read_csv(spark, path, "codigo STRING, nome STRING", check_header=True)
+
+
+def test_csv_lands_as_gzip_with_header(spark, tmp_path):
+    path = str(tmp_path / "out")
+    land_csv(spark.createDataFrame([(1, "São Paulo, capital")], "a INT, b STRING").coalesce(1), path)
+    (name,) = files(path, "*.csv.gz")
+    with gzip.open(name, "rt", encoding="utf-8") as f:
+        assert f.read() == 'a,b\n1,"São Paulo, capital"\n'
+    assert tuple(read_csv(spark, path, "a INT, b STRING").first()) == (1, "São Paulo, capital")
+
+
+# Documents
+
+
+def test_one_file_per_document(spark, tmp_path):
+    path = str(tmp_path / "landing")
+    land_documents(two_months(spark).coalesce(1), path, documents_per_file=1)
+    names = files(path, "*.json.gz")
+    assert len(names) == 2
+    with gzip.open(names[0], "rt", encoding="utf-8") as f:
+        landed = json.loads(f.read())
+    assert sorted(landed) == ["codigo_ibge", "payload"]
+    assert assert_schema(read_documents(spark, path), DOCUMENT).count() == 2
+
+
+def test_whole_numbers_are_read_as_doubles(spark, tmp_path):
+    hourly = {"time": ["2023-07-01T00:00"], "relativehumidity_2m": [50], "generationtime_ms": 3}
+    write_gzip(tmp_path / "d" / "1_20230801203000_ab.json.gz", json.dumps({"codigo_ibge": 1, "payload": {"hourly": hourly}}))
+    docs = read_documents(spark, str(tmp_path / "d"), arrival=True).withColumns({"ano": F.lit(2023), "mes": F.lit(7)})
+    (row,) = explode_metric(docs, "relativehumidity_2m").collect()
+    assert row.relativehumidity_2m == 50.0 and isinstance(row.relativehumidity_2m, float)
+    first = docs.first()
+    assert (first.documento, first.recebido_em) == ("1_20230801203000_ab.json.gz", "20230801203000")
+
+
+def test_unstamped_file_is_dated_by_its_writing(spark, tmp_path):
+    write_gzip(tmp_path / "d" / "part.json.gz", json.dumps({"codigo_ibge": 1}))
+    stamped = read_documents(spark, str(tmp_path / "d"), arrival=True).first().recebido_em
+    assert len(stamped) == 14 and stamped.isdigit()
+
+
+@pytest.mark.parametrize("folders", [("2023/07", "2023/08"), ("ano=2023/mes=7", "ano=2023/mes=8")])
+def test_recursive_scan_takes_the_period_from_the_folders(spark, tmp_path, folders):
+    for folder, value in zip(folders, (1.0, 2.0)):
+        hourly = {"temperature_2m": [value]}
+        write_gzip(tmp_path / folder / "a.json.gz", json.dumps({"codigo_ibge": 1, "payload": {"hourly": hourly}}))
+    docs = read_documents(spark, str(tmp_path), recursive=True, period="month")
+    found = explode_metric(docs, "temperature_2m").select("ano", "mes", "temperature_2m").collect()
+    assert sorted(map(tuple, found)) == [(2023, 7, 1.0), (2023, 8, 2.0)]
+    years = read_documents(spark, str(tmp_path), recursive=True, period="year")
+    assert years.columns == ["codigo_ibge", "payload", "ano"]
+    assert {r.ano for r in years.collect()} == {2023}
+
+
+def test_partitioned_landing_has_its_period_as_columns(spark, tmp_path):
+    path = str(tmp_path / "landing")
+    land_documents(two_months(spark), path, partition_by=("ano", "mes"))
+    assert files(path, "ano=2023/mes=7/*.json.gz")
+    docs = read_documents(spark, path)
+    assert {(r.ano, r.mes) for r in docs.collect()} == {(2023, 7), (2023, 8)}
+    assert "PartitionFilters: [isnotnull(mes" in docs.filter("mes = 7")._jdf.queryExecution().executedPlan().toString()
+
+
+# Tables
+
+
+def history(spark, *years):
+    return spark.createDataFrame([(y, float(y)) for y in years], "ano INT, valor DOUBLE")
+
+
+def test_overwrite_replaces_the_partitions_it_holds(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(history(spark, 2020, 2021), path, partition_by=("ano",))
+    write_table(history(spark, 2021).withColumn("valor", F.lit(0.5)), path, partition_by=("ano",))
+    assert sorted(map(tuple, read_table(spark, path).select("ano", "valor").collect())) == [(2020, 2020.0), (2021, 0.5)]
+
+
+def test_overwrite_without_partitions_replaces_all_and_its_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(history(spark, 2020), path)
+    write_table(spark.createDataFrame([("x",)], "nome STRING"), path, replace_schema=True)
+    assert [tuple(r) for r in read_table(spark, path).collect()] == [("x",)]
+
+
+def test_years_and_globs_open_only_their_folders(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(history(spark, 1999, 2000, 2001), path, partition_by=("ano",))
+    some = read_table(spark, path, years=[2000, 2001])
+    assert {r.ano for r in some.collect()} == {2000, 2001}
+    assert "PartitionFilters: [ano" in some._jdf.queryExecution().executedPlan().toString()
+    globbed = read_table(spark, f"{path}/ano=20*", base_path=path)
+    assert {r.ano for r in globbed.collect()} == {2000, 2001}
+    assert read_table(spark, f"{path}/ano=1999", schema="valor DOUBLE").collect()[0].valor == 1999.0
+
+
+def test_format_is_a_parameter(spark, tmp_path):
+    write_table(history(spark, 2020), str(tmp_path / "t"), fmt="orc")
+    assert read_table(spark, str(tmp_path / "t"), fmt="orc").count() == 1
+
+
+def test_hot_partition_is_written_by_several_tasks(spark, tmp_path, settings):
+    settings(spark__sql__adaptive__advisoryPartitionSizeInBytes="65536")
+    path = str(tmp_path / "t")
+    rows = spark.range(0, 200_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 < 2, 2020).otherwise(2021 + F.col("id") % 5).cast("int").alias("ano"),
+        F.xxhash64("id").alias("codigo"),
+    )
+    write_table(rows, path, partition_by=("ano",), sort_by=("codigo",))
+    assert len(files(path, "ano=2020/*.parquet")) > 1
+    assert read_table(spark, path).count() == 200_000
+
+
+def test_small_partitions_do_not_become_many_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(0, 4000, numPartitions=8).select((F.col("id") % 4).cast("int").alias("ano"), "id")
+    write_table(rows, path, partition_by=("ano",))
+    assert len(files(path, "ano=*/*.parquet")) == 4
+
+
+def test_views_are_known_to_sql(spark):
+    register_views({"uma": history(spark, 2020), "duas": history(spark, 2021, 2022)})
+    assert spark.sql("SELECT (SELECT count(*) FROM uma) + (SELECT count(*) FROM duas) AS n").first().n == 3
+
+
+def test_spread_splits_only_what_has_too_few_splits(spark, tmp_path):
+    write_gzip(tmp_path / "one.csv.gz", "a\n" + "1\n" * 100)
+    one = read_csv(spark, str(tmp_path / "one.csv.gz"), "a INT")
+    cores = spark.sparkContext.defaultParallelism
+    assert spread(one).rdd.getNumPartitions() == cores and spread(one).count() == 100
+    many = spark.range(0, 100, numPartitions=cores)
+    assert spread(many) is many
+
+
+def test_schema_assertion(spark):
+    df = spark.createDataFrame([(1, "x")], "a LONG, b STRING")
+    assert assert_schema(df, "a LONG, b STRING") is df
+    for wrong in ("a LONG, b INT", "b STRING, a LONG", "a LONG"):
+        with pytest.raises(ValueError, match="schema differs"):
+            assert_schema(df, wrong)
+
+
+def test_working_folder_is_the_one_the_session_names(spark):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    assert work_path(spark, "x").startswith(f"{folder}/work-")
+    copy = staged(history(spark, 2020), "copy")
+    assert files(folder, "work-*/copy/*.parquet")
+    assert "LocalTableScan" not in copy._jdf.queryExecution().executedPlan().toString()
+
+
+# Metadata
+
+
+def test_descriptions_survive_a_table(spark, tmp_path):
+    columns = {"codigo_ibge": ("NUMERICO", "chave"), "valor": ("NUMERICO", "medida")}
+    df = annotate(spark.createDataFrame([(1, 2.0)], "codigo_ibge LONG, valor DOUBLE"), columns)
+    write_table(df, str(tmp_path / "t"))
+    back = require_annotations(read_table(spark, str(tmp_path / "t")))
+    assert [tuple(r) for r in dictionary(back).collect()] == [
+        ("codigo_ibge", "NUMERICO", "chave"),
+        ("valor", "NUMERICO", "medida"),
+    ]
+    with pytest.raises(ValueError, match="outra"):
+        require_annotations(back.withColumn("outra", F.lit(1)))
+
+
+def test_dictionaries_cover_their_tables():
+    assert list(MUNICIPALITY_COLUMNS) == (
+        "codigo_ibge nome latitude longitude e_capital uf nome_estado regiao gerado_em".split()
+    )
+    assert len(WEATHER_COLUMNS) == 15
+
+
+def test_stamp_is_one_time_for_all_rows(spark):
+    stamped = stamp(spark.range(0, 100, numPartitions=8))
+    assert stamped.select("gerado_em").distinct().count() == 1
+    assert stamped.schema["gerado_em"].dataType == T.TimestampType()
+
+
+# Upsert
+
+
+def reading(codigo, hour, valor):
+    return (codigo, None if hour is None else datetime(2023, 7, 1, hour), valor)
+
+
+def readings(spark, *rows):
+    return spark.createDataFrame([reading(*r) for r in rows], ROWS)
+
+
+def values(df):
+    rows = [(r.codigo_ibge, r.time.hour if r.time else None, r.valor) for r in df.collect()]
+    return sorted(rows, key=str)
+
+
+def test_upsert_updates_keeps_and_inserts(spark):
+    old = readings(spark, (1, 0, 1.0), (1, 1, 2.0), (None, 2, 3.0))
+    new = readings(spark, (1, 1, None), (2, 0, 8.0), (None, 2, 7.0), (None, 2, 6.0))
+    assert values(merge_upsert(old, new, ("codigo_ibge", "time"))) == sorted(
+        [(1, 0, 1.0), (1, 1, None), (None, 2, 3.0), (2, 0, 8.0), (None, 2, 7.0), (None, 2, 6.0)], key=str
+    )
+
+
+def test_upsert_replaces_every_old_row_of_a_key(spark):
+    old = readings(spark, (1, 0, 1.0), (1, 0, 2.0))
+    assert values(merge_upsert(old, readings(spark, (1, 0, 9.0)), ("codigo_ibge", "time"))) == [(1, 0, 9.0)] * 2
+
+
+def test_upsert_refuses_a_repeated_key_and_missing_columns(spark):
+    old, new = readings(spark, (1, 0, 1.0)), readings(spark, (1, 0, 2.0), (1, 0, 3.0))
+    with pytest.raises(ValueError, match="codigo_ibge"):
+        merge_upsert(old, new, ("codigo_ibge", "time"))
+    with pytest.raises(ValueError, match="valor"):
+        merge_upsert(old, new.drop("valor"), ("codigo_ibge", "time"))
+
+
+def test_upsert_splits_a_hot_old_key(spark, settings, plan_after_run):
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20000",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="20000",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+    )
+    keys = spark.range(0, 60_000, numPartitions=8)
+    old = keys.select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.xxhash64("id").alias("v"))
+    new = keys.filter("id < 1000").select(F.col("id").alias("k"), F.lit(0).cast("long").alias("v"))
+    merged = merge_upsert(old, new, ["k"])
+    assert "skew=true" in plan_after_run(merged)
+    assert merged.filter("k = 7").count() == 20_001 and merged.filter("k = 7 AND v <> 0").count() == 0
+
+
+def with_day(df):
+    return df.withColumn("dia", F.dayofmonth("time"))
+
+
+def test_table_upsert_rewrites_only_the_partitions_it_touches(spark, tmp_path):
+    path = str(tmp_path / "t")
+    at = lambda day, codigo, valor: (codigo, datetime(2023, 7, day), valor)
+    keys = ("dia", "codigo_ibge", "time")
+    first = with_day(spark.createDataFrame([at(1, 1, 1.0), at(2, 1, 2.0), (5, None, 4.0)], ROWS))
+    upsert_table(first, path, keys, partition_by=("dia",), sort_by=("codigo_ibge",))
+    untouched = files(path, "dia=1/*.parquet")
+    second = with_day(spark.createDataFrame([at(2, 1, 9.0), at(2, 2, 3.0), at(3, 1, 5.0), (6, None, 8.0)], ROWS))
+    upsert_table(second, path, keys, partition_by=("dia",))
+    found = sorted(((r.codigo_ibge, r.dia, r.valor) for r in read_table(spark, path).collect()), key=str)
+    wanted = [(1, 1, 1.0), (1, 2, 9.0), (2, 2, 3.0), (1, 3, 5.0), (5, None, 4.0), (6, None, 8.0)]
+    assert found == sorted(wanted, key=str)
+    assert files(path, "dia=1/*.parquet") == untouched
+
+
+def test_table_upsert_joins_when_partitions_are_too_many_to_list(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(upsert_module, "MOST_LISTED", 1)
+    test_table_upsert_rewrites_only_the_partitions_it_touches(spark, tmp_path)
+
+
+def test_table_upsert_without_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert_table(readings(spark, (1, 0, 1.0), (2, 0, 2.0)), path, ("codigo_ibge", "time"))
+    upsert_table(readings(spark, (1, 0, 5.0)), path, ("codigo_ibge", "time"))
+    assert values(read_table(spark, path)) == [(1, 0, 5.0), (2, 0, 2.0)]
+    with pytest.raises(ValueError, match="not keys"):
+        upsert_table(readings(spark, (1, 0, 5.0)), path, ("codigo_ibge",), partition_by=("time",))
+    with pytest.raises(ValueError, match="several rows"):
+        upsert_table(readings(spark, (1, 0, 5.0), (1, 0, 6.0)), str(tmp_path / "u"), ("codigo_ibge", "time"))
+
+
+def test_time_table_upsert(spark, tmp_path):
+    """The time table, by entity and time."""
+    path = str(tmp_path / "t")
+    july = explode_time(documents(spark, document(1, 2023, 7, hours("2023-07-01", 2), [1.0], [1.0], [1.0])))
+    again = explode_time(documents(spark, document(1, 2023, 7, hours("2023-07-01", 3), [1.0], [1.0], [1.0], elevation=2.0)))
+    for table in (july, again):
+        upsert_table(table, path, ("ano", "codigo_ibge", "time"), partition_by=("ano",))
+    assert sorted((r.idx, r.elevation) for r in read_table(spark, path).collect()) == [(0, 2.0), (1, 2.0), (2, 2.0)]
+    assert not os.path.exists(f"{path}/_temporary")
