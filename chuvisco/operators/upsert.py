@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chuvisco.sinks import staged, write_table
+from chuvisco.sinks import path_exists, staged, write_table
 from chuvisco.sources import read_table
 
 # Partitions named in one condition at most.
@@ -30,15 +29,15 @@ def merge_upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFra
     if missing:
         raise ValueError(f"new rows lack columns {missing}")
     new = new.select(*[F.col(f.name).cast(f.dataType) for f in old.schema])
-    keyed = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
-    require_unique(new.filter(keyed), keys)
+    keyed = new.dropna(subset=keys)
+    unkeyed = new.filter(reduce(Column.__or__, [F.col(k).isNull() for k in keys]))
+    require_unique(keyed, keys)
 
-    replacement = new.filter(keyed).select(*keys, F.struct(*new.columns).alias("_new"))
+    replacement = keyed.select(*keys, F.struct(*new.columns).alias("_new"))
     current = F.struct(*old.columns)
     updated = old.join(replacement, keys, "left").select(F.coalesce("_new", current).alias("_row")).select("_row.*")
-    inserted = new.filter(keyed).join(old.select(*keys).distinct(), keys, "left_anti")
-    unmatched = new.filter(~keyed)
-    return updated.unionByName(inserted).unionByName(unmatched)
+    inserted = keyed.join(old.select(*keys).distinct(), keys, "left_anti").select(*old.columns)
+    return updated.unionByName(inserted).unionByName(unkeyed)
 
 
 def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
@@ -67,15 +66,11 @@ def upsert_table(
         raise ValueError(f"partition columns {outside} are not keys")
     spark = new.sparkSession
     new = staged(new, "new")
-    try:
-        old = read_table(spark, path, fmt)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        keyed = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
-        require_unique(new.filter(keyed), keys)
+    if not path_exists(spark, path):
+        require_unique(new.dropna(subset=list(keys)), keys)
         write_table(new, path, fmt, partition_by=partition_by, sort_by=sort_by)
         return
+    old = read_table(spark, path, fmt)
     if partition_by:
         old = _touched(old, new, partition_by)
     merged = staged(merge_upsert(old, new, keys), "upsert")

@@ -58,22 +58,32 @@ def run_dimension(spark: SparkSession, lake: Lake) -> DataFrame:
     return read_table(spark, lake.trusted("municipios"), lake.fmt)
 
 
-def compact(docs: DataFrame, lake: Lake, layout: Layout = WEATHER, latest: bool = False) -> None:
+def compact(
+    docs: DataFrame,
+    lake: Lake,
+    layout: Layout = WEATHER,
+    latest: bool = False,
+    arrange: str | None = "gather",
+) -> None:
     """Documents with ``ano`` and ``mes`` to the merged Parquet table, replacing the months they cover.
 
     Repeated documents are dropped. ``latest`` also settles differing deliveries of one document,
-    in favour of the last.
+    in favour of the last. ``arrange`` is as for :func:`write_table`.
     """
     docs = latest_documents(docs, layout).drop(*ARRIVAL) if latest else distinct_documents(docs)
-    write_table(docs, lake.merged("clima"), partition_by=("ano", "mes"))
+    write_table(docs, lake.merged("clima"), partition_by=("ano", "mes"), arrange=arrange)
 
 
 def compact_month(
     spark: SparkSession, lake: Lake, when: date, layout: Layout = WEATHER, schema=DOCUMENT, latest: bool = False
 ) -> None:
-    """The month's landed JSON documents, in ``YYYY/MM`` of the raw tree, to the merged table."""
+    """The month's landed JSON documents, in ``YYYY/MM`` of the raw tree, to the merged table.
+
+    They all go to one directory, so dropping repeated ones is the only shuffle.
+    """
     docs = read_documents(spark, period_path(lake.raw("clima"), when), schema, arrival=latest)
-    compact(docs.withColumns({"ano": F.lit(when.year), "mes": F.lit(when.month)}), lake, layout, latest)
+    docs = docs.withColumns({"ano": F.lit(when.year), "mes": F.lit(when.month)})
+    compact(docs, lake, layout, latest, arrange=None)
 
 
 def refresh_month(
@@ -81,13 +91,14 @@ def refresh_month(
 ) -> DataFrame:
     """Bring a landed month through merged and refined to the daily table; returns that table.
 
-    Refined rows come from one document each, so only the month's partition is rewritten. A day can
-    take readings from several documents, so the daily rows are those of the whole year's documents.
+    Refined rows come from one document each, so only the month's partition is rewritten, by the
+    tasks that read the documents. A day can take readings from several documents, so the daily rows
+    are those of the whole year's documents.
     """
     compact_month(spark, lake, when, layout, schema, latest)
     year = read_table(spark, lake.merged("clima"), years=[when.year])
     for name, table in components(year.filter(F.col("mes") == when.month), layout).items():
-        write_table(table, lake.refined(f"clima/{name}"), partition_by=("ano", "mes"))
+        write_table(table, lake.refined(f"clima/{name}"), partition_by=("ano", "mes"), arrange=None)
 
     daily = daily_rollup(hourly_wide(year, layout), layout, by=("ano",))
     _write_daily(stamp(daily), lake, layout)
@@ -111,4 +122,5 @@ def backfill(
 
 
 def _write_daily(daily: DataFrame, lake: Lake, layout: Layout) -> None:
-    write_table(daily, lake.trusted("clima"), partition_by=("ano",), sort_by=(layout.entity, "data"))
+    """The daily table, in the order of year, entity and day."""
+    write_table(daily, lake.trusted("clima"), partition_by=("ano",), sort_by=(layout.entity, "data"), arrange="range")

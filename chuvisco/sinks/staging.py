@@ -21,13 +21,23 @@ def work_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = _local_folder()
     folder = f"{root.rstrip('/')}/work-{uuid4().hex}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files, path = _file_system(spark, folder)
     files.mkdirs(path)
     files.deleteOnExit(path)
     return f"{folder}/{name}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at ``path``, on whatever file system it names."""
+    files, location = _file_system(spark, path)
+    return files.exists(location)
+
+
+def _file_system(spark: SparkSession, path: str):
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+
+
 @cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="run-")

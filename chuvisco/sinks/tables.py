@@ -15,21 +15,31 @@ def write_table(
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
-    rebalance: bool = True,
+    arrange: str | None = "gather",
     replace_schema: bool = False,
 ) -> None:
     """Write a table, by default replacing what it holds.
 
     With ``partition_by``, an overwrite replaces the partitions present in ``df`` and leaves the
-    others as they are. Rows are first gathered by those columns. ``sort_by`` orders rows inside
-    each file, which makes row-group statistics selective.
+    others as they are. ``arrange`` says how rows are brought to the tasks that write them:
 
+    - ``"gather"``: by partition directory, see :func:`gather`;
+    - ``"range"``: in the order of ``partition_by`` and ``sort_by`` over all files, so that each file
+      holds one stretch of the keys and a filter on them opens few files;
+    - ``None``: as they are, without a shuffle, for rows of one directory or already in place.
+
+    ``sort_by`` orders rows inside each file, which makes row-group statistics selective.
     ``replace_schema`` lets a Delta table change its columns; Parquet always takes the new ones.
     """
-    if partition_by and rebalance:
+    order = tuple(dict.fromkeys((*partition_by, *sort_by)))
+    if arrange == "range":
+        df = df.repartitionByRange(*order)
+    elif arrange == "gather" and partition_by:
         df = gather(df, partition_by)
+    elif arrange not in ("gather", None):
+        raise ValueError(f"arrange is 'gather', 'range' or None, not {arrange!r}")
     if sort_by:
-        df = df.sortWithinPartitions(*dict.fromkeys((*partition_by, *sort_by)))
+        df = df.sortWithinPartitions(*order)
     writer = df.write.format(fmt).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

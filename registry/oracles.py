@@ -147,6 +147,7 @@ FROM events GROUP BY user_id, CAST(ts AS DATE)""",
     "dimension_refined": _DIMENSION,
     "dimension_trusted": _TRUSTED,
     "dimension_annotated": _DIMENSION,
+    "dimension_by_region": _DIMENSION,
     "hourly_annotated": f"""WITH {_LINES}
 SELECT l_suppkey AS codigo_ibge, time AS data_hora, relativehumidity_2m AS humidade_relativa,
     '%' AS unidade_humidade_relativa, temperature_2m AS temperatura, unit_temperature_2m AS unidade_temperatura,

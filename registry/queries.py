@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from chuvisco import operators as ops
 from chuvisco.functions import annotate, require_annotations
 from chuvisco.functions.metadata import MUNICIPALITY_COLUMNS, WEATHER_COLUMNS
-from chuvisco.functions.periods import period_path
+from chuvisco.functions.periods import period_path, reference_date
 from chuvisco.plans import Lake, backfill, compact, refresh_month, run_dimension
 from chuvisco.schemas import MUNICIPALITIES, MUNICIPALITIES_WIDE, Layout, assert_schema
 from chuvisco.sinks import land_csv, land_documents, work_path, write_table
@@ -149,6 +149,13 @@ def dimension_annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return require_annotations(read_table(spark, path))
 
 
+def dimension_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dimension in one directory per region."""
+    path = work_path(spark, "table")
+    write_table(dimension_refined(spark, sf_dir), path, partition_by=("regiao",), sort_by=("codigo_ibge",))
+    return read_table(spark, path)
+
+
 def hourly_annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly rows under the names of the weather dictionary, laid out by year."""
     names = {
@@ -310,7 +317,7 @@ def backfill_years(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def refresh_month_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All years filled, then one month landed and refreshed; the whole daily table."""
-    lake, when = _merged_lake(spark, sf_dir), date(1998, 7, 31)
+    lake, when = _merged_lake(spark, sf_dir), reference_date(datetime(1998, 8, 1, 20, 30))
     backfill(spark, lake, layout=LINES)
     month = line_documents(spark, sf_dir).filter((F.col("ano") == when.year) & (F.col("mes") == when.month))
     land_documents(month, period_path(lake.raw("clima"), when), LINE_ENVELOPE)
@@ -371,6 +378,7 @@ QUERIES: dict[str, Query] = {
     "dimension_refined": dimension_refined,
     "dimension_trusted": dimension_trusted,
     "dimension_annotated": dimension_annotated,
+    "dimension_by_region": dimension_by_region,
     "hourly_annotated": hourly_annotated,
     "csv_landing": csv_landing,
     "csv_declared_prefix": csv_declared_prefix,

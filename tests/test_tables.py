@@ -170,6 +170,34 @@ def test_hot_partition_is_written_by_several_tasks(spark, tmp_path, settings):
     assert read_table(spark, path).count() == 200_000
 
 
+def test_range_arrangement_gives_files_of_disjoint_keys(spark, tmp_path, settings):
+    settings(spark__sql__adaptive__coalescePartitions__enabled="false")
+    path = str(tmp_path / "t")
+    rows = spark.range(0, 40_000, numPartitions=8).select(
+        F.when(F.col("id") % 10 < 8, 2020).otherwise(2021).alias("ano"), F.pmod(F.xxhash64("id"), F.lit(997)).alias("codigo")
+    )
+    write_table(rows, path, partition_by=("ano",), sort_by=("codigo",), arrange="range")
+    bounds = (
+        read_table(spark, path, years=[2020])
+        .groupBy(F.col("_metadata.file_name"))
+        .agg(F.min("codigo").alias("low"), F.max("codigo").alias("high"))
+        .orderBy("low", "high")
+        .collect()
+    )
+    assert len(bounds) > 1
+    assert all(one.high <= two.low for one, two in zip(bounds, bounds[1:]))
+    assert read_table(spark, path).count() == 40_000
+
+
+def test_rows_in_place_are_written_without_a_shuffle(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(0, 400, numPartitions=4).select(F.lit(2020).alias("ano"), "id")
+    write_table(rows, path, partition_by=("ano",), arrange=None)
+    assert len(files(path, "ano=2020/*.parquet")) == 4
+    with pytest.raises(ValueError, match="arrange"):
+        write_table(rows, path, arrange="hash")
+
+
 def test_small_partitions_do_not_become_many_files(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.range(0, 4000, numPartitions=8).select((F.col("id") % 4).cast("int").alias("ano"), "id")
