@@ -26,6 +26,9 @@ lines AS (
     SELECT * FROM readings WHERE discount <> 10 AND idx < n_wind
 )"""
 
+# The same over documents without copies.
+_DISTINCT_LINES = _LINES.replace("SELECT concat_ws", "SELECT DISTINCT concat_ws")
+
 _TIME_COLUMNS = """l_suppkey AS codigo_ibge, ano, mes, remessa, idx, time, l_quantity AS elevation,
     CAST(l_partkey AS DOUBLE) AS latitude, l_tax AS longitude, l_linestatus AS timezone,
     l_returnflag AS timezone_abbreviation, CAST(n * -3600 AS BIGINT) AS utc_offset_seconds"""
@@ -37,10 +40,12 @@ FROM readings WHERE discount <> 10"""
 _TEMPERATURE = f"""WITH {_LINES}
 SELECT l_suppkey AS codigo_ibge, ano, mes, remessa, idx, temperature_2m, unit_temperature_2m FROM readings"""
 
-_WIND = f"""WITH {_LINES}
+_DISTINCT_WIND = f"""WITH {_DISTINCT_LINES}
 SELECT l_suppkey AS codigo_ibge, ano, mes, remessa, idx, windspeed_10m, 'km/h' AS unit_windspeed_10m
 FROM readings WHERE idx < n_wind"""
 
+_WIND = _DISTINCT_WIND.replace("SELECT DISTINCT", "SELECT")
+
 _WIDE = f"""WITH {_LINES}
 SELECT {_TIME_COLUMNS}, relativehumidity_2m, '%' AS unit_relativehumidity_2m, temperature_2m, unit_temperature_2m,
     windspeed_10m, 'km/h' AS unit_windspeed_10m
@@ -57,7 +62,9 @@ _DAILY = f"""WITH {_LINES}
 SELECT l_suppkey AS codigo_ibge, data, {_MEASURES}
 FROM wide GROUP BY l_suppkey, data"""
 
-_DAILY_BY_YEAR = f"""WITH {_LINES}
+_DISTINCT_DAILY = _DAILY.replace("SELECT concat_ws", "SELECT DISTINCT concat_ws")
+
+_DAILY_BY_YEAR = f"""WITH {_DISTINCT_LINES}
 SELECT l_suppkey AS codigo_ibge, data, CAST(year(data) AS INTEGER) AS ano, {_MEASURES}
 FROM wide {{where}} GROUP BY l_suppkey, data"""
 
@@ -76,10 +83,18 @@ _HISTORY = """history AS (
     FROM orders
 )"""
 
-_UPSERT = f"""WITH {_HISTORY}
-SELECT ano, codigo_ibge, time, CASE WHEN time >= TIMESTAMP '1998-01-01' THEN valor + 1 ELSE valor END AS valor,
-    prioridade
-FROM history"""
+_UPSERT = f"""WITH {_HISTORY}, old AS (
+    SELECT * FROM history WHERE CAST(time AS DATE) <= DATE '1998-12-31'
+), new AS (
+    SELECT ano, codigo_ibge, time, MAX(valor) + 1 AS valor, MAX(prioridade) AS prioridade
+    FROM history WHERE CAST(time AS DATE) >= DATE '1998-01-01' GROUP BY ano, codigo_ibge, time
+)
+SELECT old.ano, old.codigo_ibge, old.time, COALESCE(new.valor, old.valor) AS valor,
+    COALESCE(new.prioridade, old.prioridade) AS prioridade
+FROM old LEFT JOIN new ON new.codigo_ibge = old.codigo_ibge AND new.time = old.time
+UNION ALL
+SELECT ano, codigo_ibge, time, valor, prioridade FROM new
+WHERE NOT EXISTS (SELECT 1 FROM old WHERE old.codigo_ibge = new.codigo_ibge AND old.time = new.time)"""
 
 
 def _requests(periods: str, last: str, directory: str, period_columns: str, where: str = "") -> str:
@@ -116,17 +131,18 @@ ORACLES: dict[str, str] = {
 SELECT tabela, l_suppkey AS codigo_ibge, COUNT(*) AS linhas FROM tables GROUP BY tabela, l_suppkey""",
     "hourly_wide": _WIDE,
     "hourly_wide_range": f"{_WIDE} WHERE data BETWEEN DATE '1996-03-01' AND DATE '1998-02-28'",
-    "distinct_documents": _WIND,
+    "distinct_documents": _DISTINCT_WIND,
     "distinct_rows": f"""WITH {_LINES}
 SELECT DISTINCT l_suppkey AS codigo_ibge, idx, windspeed_10m, 'km/h' AS unit_windspeed_10m
 FROM readings WHERE idx < n_wind""",
     "latest_documents": f"""WITH {_LINES}
-SELECT l_suppkey AS codigo_ibge, ano, mes, remessa, l_quantity + 1 AS elevation, 'b' AS documento FROM lines""",
+SELECT DISTINCT l_suppkey AS codigo_ibge, ano, mes, remessa, l_quantity + 1 AS elevation, 'b' AS documento
+FROM lines""",
     "daily_rollup": _DAILY,
     "daily_rollup_range": f"""WITH {_LINES}
 SELECT l_suppkey AS codigo_ibge, data, {_MEASURES}
 FROM wide WHERE data BETWEEN DATE '1996-01-01' AND DATE '1996-12-31' GROUP BY l_suppkey, data""",
-    "daily_rollup_components": _DAILY,
+    "daily_rollup_components": _DISTINCT_DAILY,
     # The joined rows themselves: every document of an order meets every other one.
     "daily_rollup_by_position": f"""WITH {_LINES}
 SELECT t.l_orderkey AS codigo_ibge, t.data, {_MEASURES}
@@ -137,7 +153,7 @@ JOIN (SELECT l_orderkey, idx, temperature_2m FROM readings) c ON c.idx = t.idx A
 JOIN (SELECT l_orderkey, idx, windspeed_10m FROM readings WHERE idx < n_wind) w
     ON w.idx = t.idx AND w.l_orderkey = t.l_orderkey
 GROUP BY t.l_orderkey, t.data""",
-    "aligned_components": f"""WITH {_LINES}
+    "aligned_components": f"""WITH {_DISTINCT_LINES}
 SELECT l_suppkey AS codigo_ibge, ano, mes, remessa, idx, time, relativehumidity_2m, temperature_2m, windspeed_10m
 FROM wide""",
     "daily_rollup_events": """
@@ -167,7 +183,7 @@ FROM customer""",
     "documents_landing": _HUMIDITY,
     "documents_recursive": _TEMPERATURE,
     "documents_subtree": f"WITH {_LINES} SELECT {_TIME_COLUMNS} FROM readings WHERE ano = 1997",
-    "documents_compacted": _WIND,
+    "documents_compacted": _DISTINCT_WIND,
     "table_years": f"WITH {_HISTORY} SELECT * FROM history WHERE ano IN (1996, 1998)",
     "table_glob": f"WITH {_HISTORY} SELECT * FROM history WHERE ano BETWEEN 1990 AND 1999",
     "partition_overwrite": f"""WITH {_HISTORY}

@@ -113,7 +113,8 @@ def daily_rollup_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_rollup_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.rollup_components(ops.components(stored_documents(spark, sf_dir), LINES), LINES)
+    docs = ops.distinct_documents(stored_documents(spark, sf_dir))
+    return ops.rollup_components(ops.components(docs, LINES), LINES)
 
 
 def daily_rollup_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +124,8 @@ def daily_rollup_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def aligned_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.align_components(ops.components(stored_documents(spark, sf_dir), LINES), LINES)
+    docs = ops.distinct_documents(stored_documents(spark, sf_dir))
+    return ops.align_components(ops.components(docs, LINES), LINES)
 
 
 def daily_rollup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,15 +262,15 @@ def views_cte(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A history to the end of 1998, and new rows with other values from the start of 1998 on."""
+    """A history to the end of 1998, and new values from the start of 1998 on."""
     return ops.merge_upsert(*_old_and_new(spark, sf_dir), keys=("codigo_ibge", "time"))
 
 
 def upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, new = _old_and_new(spark, sf_dir)
     path = work_path(spark, "table")
-    for rows in (old, new):
-        ops.upsert_table(rows, path, keys=("ano", "codigo_ibge", "time"), partition_by=("ano",), sort_by=("codigo_ibge",))
+    write_table(old, path, partition_by=("ano",), sort_by=("codigo_ibge",))
+    ops.upsert_table(new, path, keys=("ano", "codigo_ibge", "time"), partition_by=("ano",), sort_by=("codigo_ibge",))
     return read_table(spark, path)
 
 
@@ -347,10 +349,15 @@ def _history(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _old_and_new(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Orders to the end of a history, and one raised value per order and time from an update's start."""
     history = orders_history(spark, sf_dir)
     day = F.to_date("time")
     old = history.filter(day <= F.lit(HISTORY_END).cast("date"))
-    new = history.filter(day >= F.lit(UPDATE_START).cast("date")).withColumn("valor", F.col("valor") + 1)
+    new = (
+        history.filter(day >= F.lit(UPDATE_START).cast("date"))
+        .groupBy("ano", "codigo_ibge", "time")
+        .agg((F.max("valor") + 1).alias("valor"), F.max("prioridade").alias("prioridade"))
+    )
     return old, new
 
 
