@@ -66,6 +66,7 @@ def hourly_wide(
 
     ``start`` and ``end`` keep an inclusive range of days.
     """
+    _check_distinct(distinct)
     arrays = {"time": layout.time} | {m.name: m.values for m in layout.metrics}
     carried = {f"unit_{m.name}": m.unit for m in layout.metrics}
     carried |= {_leaf(path): path for path in layout.attributes}
@@ -105,13 +106,17 @@ def between_days(
 
 
 def _explode(arrays: DataFrame, values: str, keys, carried, distinct: str | None) -> DataFrame:
-    if distinct not in (None, "documents", "rows"):
-        raise ValueError(f"distinct is None, 'documents' or 'rows', not {distinct!r}")
+    _check_distinct(distinct)
     if distinct == "documents":
         arrays = arrays.distinct()
     return arrays.select(*keys, F.posexplode(values).alias("idx", values), *carried)
 
 
+def _check_distinct(distinct: str | None) -> None:
+    if distinct not in (None, "documents", "rows"):
+        raise ValueError(f"distinct is None, 'documents' or 'rows', not {distinct!r}")
+
+
 def _wall_clock(column: str) -> Column:
     return F.col(column).try_cast("timestamp_ntz")
 

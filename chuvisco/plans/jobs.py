@@ -106,16 +106,21 @@ def refresh_month(
 
 
 def backfill(
-    spark: SparkSession, lake: Lake, years: Iterable[int] | None = None, layout: Layout = WEATHER
+    spark: SparkSession,
+    lake: Lake,
+    years: Iterable[int] | None = None,
+    layout: Layout = WEATHER,
+    document_years: Iterable[int] | None = None,
 ) -> DataFrame:
-    """Daily rows of the given years, or of all, from every merged document; returns the daily table.
+    """Daily rows of the given years, or of all, from the merged documents; returns the daily table.
 
-    All years are made in one pass and laid out by the year of the day.
+    All years are made in one pass and laid out by the year of the day. ``document_years`` names the
+    years whose documents can hold those days, and the others are not read; without it all are, as
+    any document might.
     """
-    hourly = hourly_wide(read_table(spark, lake.merged("clima")), layout)
-    year_of_day = F.year("time")
+    hourly = hourly_wide(read_table(spark, lake.merged("clima"), years=document_years), layout)
     if years is not None:
-        hourly = hourly.filter(year_of_day.isin(*years))
+        hourly = hourly.filter(F.year("time").isin(*years))
     daily = daily_rollup(hourly, layout).withColumn("ano", F.year("data"))
     _write_daily(stamp(daily), lake, layout)
     return read_table(spark, lake.trusted("clima"))

@@ -38,25 +38,24 @@ HISTORY_END = "1998-12-31"
 # Arrays to rows
 
 
-def explode_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.explode_time(stored_documents(spark, sf_dir), LINES)
+def explode_time(docs: DataFrame) -> DataFrame:
+    return ops.explode_time(docs, LINES)
 
 
-def explode_humidity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.explode_metric(stored_documents(spark, sf_dir), "relativehumidity_2m", LINES)
+def explode_humidity(docs: DataFrame) -> DataFrame:
+    return ops.explode_metric(docs, "relativehumidity_2m", LINES)
 
 
-def explode_temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.explode_metric(stored_documents(spark, sf_dir), "temperature_2m", LINES)
+def explode_temperature(docs: DataFrame) -> DataFrame:
+    return ops.explode_metric(docs, "temperature_2m", LINES)
 
 
-def explode_wind(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.explode_metric(stored_documents(spark, sf_dir), "windspeed_10m", LINES)
+def explode_wind(docs: DataFrame) -> DataFrame:
+    return ops.explode_metric(docs, "windspeed_10m", LINES)
 
 
-def component_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+def component_tables(docs: DataFrame) -> DataFrame:
     """Rows of each refined table per entity, from the loop over the layout's tables."""
-    docs = stored_documents(spark, sf_dir)
     counts = [
         rows.groupBy("codigo_ibge").agg(F.count(F.lit(1)).alias("linhas")).withColumn("tabela", F.lit(name))
         for name, rows in ops.components(docs, LINES).items()
@@ -67,32 +66,29 @@ def component_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.select("tabela", "codigo_ibge", "linhas")
 
 
-def hourly_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.hourly_wide(stored_documents(spark, sf_dir), LINES)
+def hourly_wide(docs: DataFrame) -> DataFrame:
+    return ops.hourly_wide(docs, LINES)
 
 
-def hourly_wide_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.hourly_wide(stored_documents(spark, sf_dir), LINES, "1996-03-01", "1998-02-28", sort=True)
+def hourly_wide_range(docs: DataFrame) -> DataFrame:
+    return ops.hourly_wide(docs, LINES, "1996-03-01", "1998-02-28", sort=True)
 
 
 # Repeated documents
 
 
-def distinct_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = stored_documents(spark, sf_dir)
+def distinct_documents(docs: DataFrame) -> DataFrame:
     return ops.explode_metric(ops.distinct_documents(docs.unionAll(docs)), "windspeed_10m", LINES)
 
 
-def distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def distinct_rows(docs: DataFrame) -> DataFrame:
     """Distinct rows of entity and position only, over all documents of the entity."""
-    docs = stored_documents(spark, sf_dir)
     entity_only = Layout(metrics=LINES.metrics, document=("codigo_ibge",))
     return ops.explode_metric(docs, "windspeed_10m", entity_only, distinct="rows")
 
 
-def latest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def latest_documents(docs: DataFrame) -> DataFrame:
     """Every document arrives twice; the second time, an hour later, its elevation is one higher."""
-    docs = stored_documents(spark, sf_dir)
     raised = F.col("payload").withField("elevation", F.col("payload.elevation") + 1)
     deliveries = docs.withColumns({"recebido_em": F.lit("19980101000000"), "documento": F.lit("a")}).unionByName(
         docs.withColumns({"payload": raised, "recebido_em": F.lit("19980101010000"), "documento": F.lit("b")})
@@ -103,28 +99,27 @@ def latest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Days
 
 
-def daily_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.daily_rollup(ops.hourly_wide(stored_documents(spark, sf_dir), LINES), LINES)
+def daily_rollup(docs: DataFrame) -> DataFrame:
+    return ops.daily_rollup(ops.hourly_wide(docs, LINES), LINES)
 
 
-def daily_rollup_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hourly = ops.hourly_wide(stored_documents(spark, sf_dir), LINES)
+def daily_rollup_range(docs: DataFrame) -> DataFrame:
+    hourly = ops.hourly_wide(docs, LINES)
     return ops.daily_rollup(hourly, LINES, date(1996, 1, 1), date(1996, 12, 31), sort=True)
 
 
-def daily_rollup_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = ops.distinct_documents(stored_documents(spark, sf_dir))
+def daily_rollup_components(docs: DataFrame) -> DataFrame:
+    docs = ops.distinct_documents(docs)
     return ops.rollup_components(ops.components(docs, LINES), LINES)
 
 
-def daily_rollup_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+def daily_rollup_by_position(docs: DataFrame) -> DataFrame:
     """Tables joined on entity and position only: an order's documents all meet one another."""
-    docs = stored_documents(spark, sf_dir, entity="l_orderkey")
     return ops.rollup_components(ops.components(docs, LINES), LINES, keys=("codigo_ibge", "idx"))
 
 
-def aligned_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = ops.distinct_documents(stored_documents(spark, sf_dir))
+def aligned_components(docs: DataFrame) -> DataFrame:
+    docs = ops.distinct_documents(docs)
     return ops.align_components(ops.components(docs, LINES), LINES)
 
 
@@ -365,7 +360,8 @@ def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimension_refined(spark, sf_dir)
 
 
-QUERIES: dict[str, Query] = {
+# Operators on the stored documents of order lines.
+ON_DOCUMENTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "explode_time": explode_time,
     "explode_humidity": explode_humidity,
     "explode_temperature": explode_temperature,
@@ -381,6 +377,18 @@ QUERIES: dict[str, Query] = {
     "daily_rollup_components": daily_rollup_components,
     "daily_rollup_by_position": daily_rollup_by_position,
     "aligned_components": aligned_components,
+}
+
+# The column that is the entity, where it is not the supplier.
+ENTITIES = {"daily_rollup_by_position": "l_orderkey"}
+
+
+def _on_stored(name: str) -> Query:
+    operator, entity = ON_DOCUMENTS[name], ENTITIES.get(name, "l_suppkey")
+    return lambda spark, sf_dir: operator(stored_documents(spark, sf_dir, entity))
+
+
+QUERIES: dict[str, Query] = {name: _on_stored(name) for name in ON_DOCUMENTS} | {
     "daily_rollup_events": daily_rollup_events,
     "dimension_refined": dimension_refined,
     "dimension_trusted": dimension_trusted,

@@ -56,6 +56,8 @@ def test_unknown_metric_and_distinct_mode_are_errors(spark):
         explode_metric(two_months(spark), "pressure")
     with pytest.raises(ValueError):
         explode_time(two_months(spark), distinct="all")
+    with pytest.raises(ValueError):
+        hourly_wide(two_months(spark), distinct="all")
 
 
 @pytest.mark.parametrize("array", [None, []])

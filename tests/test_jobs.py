@@ -106,4 +106,5 @@ def test_backfill_by_year_of_the_day(spark, lake):
     assert daily(backfill(spark, lake, years=[2023])) == [every[0], every[2]]
     table = backfill(spark, lake)
     assert daily(table) == every
+    assert daily(backfill(spark, lake, years=[2023], document_years=[2023])) == [*every[:2], (1, 2023, "2023-01-01", 9.0)]
     assert "gerado_em" in table.columns
