@@ -6,17 +6,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from chuvisco.llm.packing import pack_documents
+from chuvisco.llm.secrets import scan_secrets
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(documents(spark, sf_dir))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 QUERIES = {
+    "op3_secret_scans": op3_secret_scans,
     "op6_best_fit_packing": op6_best_fit_packing,
 }
 
