@@ -60,7 +60,7 @@ def test_ends_on_cycles_and_on_bombs():
 
 def test_failing_matches_still_take_their_text():
     assert base_spans("token=token:abcdef") == []
-    assert base_spans("toKen=abcdef ſecret=abcdef") == []  # letters of other scripts that fold to ASCII
+    assert base_spans("to\u212aen=abcdef \u017fecret=abcdef") == []  # letters of other scripts that fold to ASCII
     assert base_spans("API_KEY': \"Zz9+/_\"") == [("assign", 0, 17)]
     assert base_spans("AKIA" + "B" * 15 + " AKIA" + "B" * 16) == [("access", 20, 40)]
     assert base_spans("g" + "0a" * 12) == [("hex", 1, 25)]
