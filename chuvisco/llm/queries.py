@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from chuvisco.llm.language import identify
 from chuvisco.llm.packing import pack_documents
 from chuvisco.llm.secrets import scan_secrets
 
@@ -21,9 +22,14 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op3_secret_scans": op3_secret_scans,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLES: dict[str, str] = {}
