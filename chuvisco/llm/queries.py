@@ -8,12 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from chuvisco.llm.language import identify
 from chuvisco.llm.packing import pack_documents
 from chuvisco.llm.secrets import scan_secrets
+from chuvisco.llm.suffixes import remove_repeats
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir))
+
+
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(documents(spark, sf_dir))
 
@@ -27,6 +32,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op3_secret_scans": op3_secret_scans,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op10_language_id": op10_language_id,

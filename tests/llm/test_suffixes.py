@@ -1,0 +1,107 @@
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+import chuvisco.llm.suffixes as suffixes
+from chuvisco.llm.queries import op1_suffix_array_dedup
+from chuvisco.llm.suffixes import anchors, remove_repeats, repeated_windows, suffix_array, without_repeats
+
+
+@given(st.one_of(st.binary(max_size=60), st.text(alphabet="ab", max_size=60).map(str.encode)))
+@settings(max_examples=600, deadline=None)
+def test_suffixes_are_in_order(text):
+    assert suffix_array(text) == sorted(range(len(text)), key=lambda i: text[i:])
+
+
+def test_periodic_and_doubled_texts():
+    for text in (b"a" * 500, b"ab" * 300, b"abcabd" * 100, bytes(range(256)) * 3, b"banana" * 2):
+        assert suffix_array(text) == sorted(range(len(text)), key=lambda i: text[i:])
+
+
+@pytest.mark.parametrize(("width", "reach"), [(400, 256), (100, 50), (64, 33)])
+def test_every_window_has_one_anchor_and_equal_windows_equal_keys(width, reach):
+    rng = random.Random(width)
+    base = bytes(rng.choice(b"abcdefgh ") for _ in range(3000))
+    docs = [base[:2000], b"xy" + base[500:1500] + base[100:400], b"a" * 900, b"", base[700 : 700 + width], base[: width - 1]]
+    data, starts = np.frombuffer(b"".join(docs), np.uint8), np.cumsum([0, *map(len, docs)])
+    keys, seen = {}, []
+    for text, _, lo, hi, key, _ in zip(*anchors(data, starts, width, reach), strict=True):
+        for p in range(lo, hi + 1):
+            assert starts[text] <= p and p + width <= starts[text + 1]
+            keys.setdefault(bytes(data[p : p + width]), set()).add(key)
+            seen.append(p)
+    assert sorted(seen) == [p for a, b in zip(starts, starts[1:]) for p in range(a, b - width + 1)]
+    assert all(len(k) == 1 for k in keys.values())
+
+
+def test_windows_found_are_the_repeated_ones():
+    found = repeated_windows([b"xxabcdefyy", b"zabcdefz", b"q"], 4)
+    assert [f.tolist() for f in found] == [[2, 3, 4], [1, 2, 3], []]
+
+
+def by_hand(texts, width):
+    held = [(t or "").encode() for _, t in texts]
+    times = Counter(t[i : i + width] for t in held for i in range(len(t) - width + 1))
+    rows = []
+    for (doc, _), t in zip(texts, held):
+        gone = np.zeros(len(t) + 1, bool)
+        for i in range(len(t) - width + 1):
+            if times[t[i : i + width]] > 1:
+                gone[i : i + width] = True
+        n = int((gone & ~np.r_[False, gone[:-1]]).sum())
+        kept = bytes(np.frombuffer(t, np.uint8)[~gone[:-1]])
+        rows.append((doc, len(t), int(gone.sum()), n, hashlib.sha256(kept).hexdigest()))
+    return sorted(map(repr, rows))
+
+
+def as_rows(df):
+    return sorted(repr((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)) for r in df.collect())
+
+
+def passages(seed):
+    """Shared passages with other text around them, near copies, copies, and repeats within one text."""
+    rng = random.Random(seed)
+
+    def text(n):
+        return "".join(rng.choice("abcdeé ") for _ in range(n))
+
+    shared = [text(rng.randint(300, 900)) for _ in range(3)]
+    texts = [(i, text(rng.randint(0, 300)) + rng.choice(shared) + text(rng.randint(0, 300))) for i in range(24)]
+    near = list(text(1500))
+    for i in range(6):
+        copy = near.copy()
+        copy[rng.randrange(1500)] = "#"
+        texts.append((50 + i, "".join(copy)))
+    twice = text(450)
+    texts += [(80, twice + "!" + twice), (81, "a" * 1000), (82, ("xyz" * 140)[:401]), (83, texts[0][1]), (84, None), (85, "")]
+    texts += [(None, shared[0]), (86, texts[1][1]), (86, texts[1][1]), (86, text(500))]
+    return texts
+
+
+@pytest.mark.parametrize("crowd", [512, 2])
+@pytest.mark.parametrize("width", [400, 200])
+def test_rows_equal_brute_force(spark, monkeypatch, crowd, width):
+    monkeypatch.setattr(suffixes, "CROWD", crowd)
+    texts = passages(crowd + width)
+    df = spark.createDataFrame([(k, t, 1, "x") for k, t in texts], "doc_id long, text string, row int, lo string")
+    assert as_rows(remove_repeats(df, width)) == by_hand(texts, width)
+
+
+def test_rewritten_texts_keep_all_columns(spark):
+    texts = passages(1)
+    df = spark.createDataFrame([(k, "x", t, 2) for k, t in texts], "doc_id long, lo string, text string, key int")
+    out = without_repeats(df)
+    assert out.schema == df.schema and out.count() == len(texts)
+    left = {r.doc_id: r.text for r in out.collect()}
+    assert left[80] == "!" and left[81] == "" and left[84] is None and left[85] == ""
+    assert as_rows(remove_repeats(df.limit(0))) == []
+
+
+def test_query_over_the_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    assert as_rows(op1_suffix_array_dedup(spark, sf_dir)) == by_hand([tuple(r) for r in docs], 400)
