@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from chuvisco.llm.jaccard import near_duplicates
 from chuvisco.llm.language import identify
 from chuvisco.llm.packing import pack_documents
 from chuvisco.llm.secrets import scan_secrets
@@ -27,6 +28,11 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(documents(spark, sf_dir), words=3, percent=90)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents(spark, sf_dir))
 
@@ -35,6 +41,7 @@ QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op3_secret_scans": op3_secret_scans,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op10_language_id": op10_language_id,
 }
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Iterator
+from functools import cache
 from uuid import uuid4
 
 import numpy as np
@@ -75,5 +76,23 @@ def strings(data: np.ndarray, starts: np.ndarray) -> pa.Array:
     )
 
 
+@cache
+def _powers(base: int, exponent: int) -> tuple[np.ndarray, np.ndarray]:
+    both = []
+    for factor in (base, pow(base, -1, 1 << 64)):
+        held = np.full(1 << exponent, factor, np.uint64)
+        held[0] = 1
+        both.append(np.cumprod(held))
+    return tuple(both)
+
+
+def stretch_hashes(data: np.ndarray, base: int):
+    """A function that gives the polynomial hash, modulo 2**64, of any stretches of ``data``, wherever they stand."""
+    up, down = _powers(base, max(22, (len(data) + 1).bit_length()))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
+    return lambda start, end: (sums[end] - sums[start]) * down[start]
+
+
 def table(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)

@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chuvisco.llm.shared import flat, slices, stored, table
+from chuvisco.llm.shared import flat, slices, stored, stretch_hashes, table
 
 #: Bytes of contexts that one suffix array takes together.
 BUCKET = 1 << 17
@@ -127,16 +126,6 @@ _OTHER = np.uint64(0xD6E8FEB86659FD93)
 _BITS = 30
 
 
-@cache
-def _powers(exponent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of ``_OTHER`` and of its inverse modulo 2**64, up to 2**exponent."""
-    inverse = np.uint64(pow(int(_OTHER), -1, 1 << 64))
-    n = 1 << exponent
-    up, down = np.full(n, _OTHER), np.full(n, inverse)
-    up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
-
-
 def anchors(data: np.ndarray, starts: np.ndarray, width: int, reach: int) -> tuple[np.ndarray, ...]:
     """Which stretches of window starts belong to which anchor, with a hash of what all windows of such an anchor share
     and one of all that its windows cover.
@@ -187,10 +176,7 @@ def anchors(data: np.ndarray, starts: np.ndarray, width: int, reach: int) -> tup
             key += factor * grown[size][at + done]
             done += size
             factor = np.uint64(pow(int(_ODD), done, 1 << 64))
-    up, down = _powers(max(22, int(n).bit_length()))
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
-    whole = (sums[hi + width] - sums[lo]) * down[lo]
+    whole = stretch_hashes(data, int(_OTHER))(lo, hi + width)
     whole ^= ((at - lo).astype(np.uint64) << np.uint64(40)) ^ ((hi - lo).astype(np.uint64) << np.uint64(52))
     return text[lo], at, lo, hi, key, whole
 
