@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from chuvisco.llm.fingerprints import fingerprint_documents
 from chuvisco.llm.jaccard import near_duplicates
 from chuvisco.llm.language import identify
 from chuvisco.llm.packing import pack_documents
@@ -20,6 +21,10 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir))
 
 
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(documents(spark, sf_dir))
+
+
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(documents(spark, sf_dir))
 
@@ -39,6 +44,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
+    "op2_document_fingerprints": op2_document_fingerprints,
     "op3_secret_scans": op3_secret_scans,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
