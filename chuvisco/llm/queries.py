@@ -9,6 +9,7 @@ from chuvisco.llm.fingerprints import fingerprint_documents
 from chuvisco.llm.jaccard import near_duplicates
 from chuvisco.llm.language import identify
 from chuvisco.llm.packing import pack_documents
+from chuvisco.llm.search import top_products
 from chuvisco.llm.secrets import scan_secrets
 from chuvisco.llm.suffixes import remove_repeats
 
@@ -29,6 +30,10 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(documents(spark, sf_dir))
 
 
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -46,9 +51,26 @@ QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_document_fingerprints": op2_document_fingerprints,
     "op3_secret_scans": op3_secret_scans,
+    "op5_exact_top_k": op5_exact_top_k,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op10_language_id": op10_language_id,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_exact_top_k": """
+        WITH proper AS (
+            SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, max(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))) AS s
+            FROM proper AS q JOIN proper AS c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+            WHERE q.vec_id % 100 = 0 GROUP BY ALL
+        ), ranked AS (
+            SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) AS rank, vec_id, s FROM scored
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(s AS BIGINT) AS score FROM ranked WHERE rank <= 10
+    """,
+}
