@@ -9,6 +9,7 @@ from chuvisco.llm.fingerprints import fingerprint_documents
 from chuvisco.llm.jaccard import near_duplicates
 from chuvisco.llm.language import identify
 from chuvisco.llm.packing import pack_documents
+from chuvisco.llm.scoring import score_documents
 from chuvisco.llm.search import top_products
 from chuvisco.llm.secrets import scan_secrets
 from chuvisco.llm.suffixes import remove_repeats
@@ -30,6 +31,10 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(documents(spark, sf_dir))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(documents(spark, sf_dir))
+
+
 def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_products(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -51,6 +56,7 @@ QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_document_fingerprints": op2_document_fingerprints,
     "op3_secret_scans": op3_secret_scans,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_exact_top_k": op5_exact_top_k,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
