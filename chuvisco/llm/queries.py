@@ -13,6 +13,7 @@ from chuvisco.llm.scoring import score_documents
 from chuvisco.llm.search import top_products
 from chuvisco.llm.secrets import scan_secrets
 from chuvisco.llm.suffixes import remove_repeats
+from chuvisco.llm.token_counts import token_counts
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,6 +49,10 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents(spark, sf_dir))
 
@@ -60,6 +65,7 @@ QUERIES = {
     "op5_exact_top_k": op5_exact_top_k,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
+    "op9_token_counts": op9_token_counts,
     "op10_language_id": op10_language_id,
 }
 
