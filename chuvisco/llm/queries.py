@@ -9,6 +9,7 @@ from chuvisco.llm.fingerprints import fingerprint_documents
 from chuvisco.llm.jaccard import near_duplicates
 from chuvisco.llm.language import identify
 from chuvisco.llm.packing import pack_documents
+from chuvisco.llm.pieces import segment_documents
 from chuvisco.llm.scoring import score_documents
 from chuvisco.llm.search import top_products
 from chuvisco.llm.secrets import scan_secrets
@@ -44,6 +45,10 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_sentencepiece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment_documents(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(documents(spark, sf_dir), words=3, percent=90)
     return found.select("doc_id", "n_shingles", "component_id")
@@ -64,6 +69,7 @@ QUERIES = {
     "op4_lm_scoring": op4_lm_scoring,
     "op5_exact_top_k": op5_exact_top_k,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_sentencepiece_dropout": op7_sentencepiece_dropout,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_token_counts": op9_token_counts,
     "op10_language_id": op10_language_id,
