@@ -16,8 +16,10 @@ from chuvisco.llm.shared import flat, slices, stored, stretch_hashes, table
 
 #: Bytes of contexts that one suffix array takes together.
 BUCKET = 1 << 17
-#: Different contexts of one key beyond which its windows are compared one by one instead.
-CROWD = 512
+#: Windows of a context that are looked at together once their key is known to have unlike contexts.
+PIECE = 32
+#: Different contexts of one piece's key beyond which its windows are compared one by one instead.
+CROWD = 2048
 
 
 def suffix_array(text: bytes) -> list[int]:
@@ -182,7 +184,15 @@ def anchors(data: np.ndarray, starts: np.ndarray, width: int, reach: int) -> tup
 
 
 _ANCHORS = pa.schema(
-    [("row", pa.int64()), ("doc_id", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("key", pa.int64()), ("ctx", pa.int64())]
+    [
+        ("row", pa.int64()),
+        ("doc_id", pa.int64()),
+        ("at", pa.int32()),
+        ("lo", pa.int32()),
+        ("hi", pa.int32()),
+        ("key", pa.int64()),
+        ("ctx", pa.int64()),
+    ]
 )
 
 
@@ -192,28 +202,28 @@ def _spans(found: DataFrame, width: int, reach: int) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             data, starts = flat(batch.column("text"))
-            text, _, lo, hi, key, whole = anchors(data, starts, width, reach)
+            text, at, lo, hi, key, whole = anchors(data, starts, width, reach)
             if len(text):
                 index = pa.array(text)
                 yield table(
                     _ANCHORS,
                     row=batch.column("row").take(index),
                     doc_id=batch.column("doc_id").take(index),
+                    at=at - starts[text],
                     lo=lo - starts[text],
                     hi=hi - starts[text],
                     key=key.view(np.int64),
                     ctx=whole.view(np.int64),
                 )
 
-    marks = stored(found.mapInArrow(emit, "row long, doc_id long, lo int, hi int, key long, ctx long"))
+    marks = stored(found.mapInArrow(emit, "row long, doc_id long, at int, lo int, hi int, key long, ctx long"))
     twice = marks.groupBy("key").count().where("count > 1").select("key")
     likely = stored(marks.join(twice, "key"))
     # copies of a whole context: each of its windows occurs as often; one of them stands for all from here on
-    contexts = likely.groupBy("key", "ctx").agg(F.count("*").alias("copies"), F.min(F.struct("row", "doc_id", "lo", "hi")).alias("rep"))
+    contexts = likely.groupBy("key", "ctx").agg(F.count("*").alias("copies"), F.min(F.struct("row", "doc_id", "at", "lo", "hi")).alias("rep"))
     copied = likely.join(contexts.where("copies > 1").select("key", "ctx"), ["key", "ctx"]).select("row", "doc_id", "lo", "hi")
-    unlike = contexts.groupBy("key").agg(F.count("*").alias("crowd"), F.min("copies").alias("least")).where("crowd > 1 AND least = 1")
-    open_ = contexts.join(unlike.select("key", "crowd"), "key").select("key", "crowd", "copies", "rep.*")
-    wanted = open_.groupBy("row", "doc_id").agg(F.collect_list(F.struct("key", "crowd", "copies", "lo", "hi")).alias("wanted"))
+    open_ = contexts.join(_unlike(contexts, "key"), "key").select("key", "copies", "rep.*")
+    wanted = open_.groupBy("row", "doc_id").agg(F.collect_list(F.struct("key", "copies", "at", "lo", "hi")).alias("wanted"))
     texts = found.join(wanted, (found.row == wanted.row) & found.doc_id.eqNullSafe(wanted.doc_id)).select(
         found.row, found.doc_id, F.encode("text", "UTF-8").alias("bytes"), "wanted"
     )
@@ -222,8 +232,59 @@ def _spans(found: DataFrame, width: int, reach: int) -> DataFrame:
         .select("row", "doc_id", "bytes", F.explode("wanted").alias("w"))
         .select("row", "doc_id", "w.*", F.expr(f"substring(bytes, w.lo + 1, w.hi - w.lo + {width})").alias("bytes"))
     )
-    return copied.unionByName(_by_suffixes(cut.where(f"crowd <= {CROWD}"), width)).unionByName(
-        _by_windows(cut.where(f"crowd > {CROWD}"), width)
+    return copied.unionByName(_in_pieces(cut, width))
+
+
+def _unlike(contexts: DataFrame, key: str) -> DataFrame:
+    """Keys with several contexts of which one at least has no copy."""
+    counted = contexts.groupBy(key).agg(F.count("*").alias("crowd"), F.min("copies").alias("least"))
+    return counted.where("crowd > 1 AND least = 1").select(key, "crowd")
+
+
+def _in_pieces(cut: DataFrame, width: int) -> DataFrame:
+    """Repeated windows of contexts whose key other contexts have.
+
+    Once more by keys and copies, now for ``PIECE`` windows at a time, which have nearly all of their bytes in common:
+    most contexts differ in those and drop out before suffix arrays are built.
+    """
+    size = min(PIECE, width)
+    each = cut.withColumn("j", F.expr(f"explode(sequence((at - hi) DIV {size}, (at - lo) DIV {size}))")).withColumns(
+        {"from": F.expr(f"greatest(lo, at - {size} * j - {size - 1})"), "to": F.expr(f"least(hi, at - {size} * j)")}
+    )
+    shared = F.expr(f"substring(bytes, at - {size} * j - lo + 1, {width - size + 1})")
+    whole = F.expr(f"substring(bytes, from - lo + 1, to - from + {width})")
+    pieces = stored(
+        each.select(
+            "row",
+            "doc_id",
+            "lo",
+            "from",
+            "to",
+            "copies",
+            F.xxhash64("key", "j", shared).alias("piece"),
+            F.md5(F.concat(F.encode(F.concat_ws(" ", F.col("at") - F.col("from"), F.col("to") - F.col("from")), "UTF-8"), whole)).alias("ctx"),
+        )
+    )
+    contexts = pieces.groupBy("piece", "ctx").agg(F.sum("copies").alias("copies"), F.min(F.struct("row", "doc_id", "lo", "from", "to")).alias("rep"))
+    several = contexts.where("copies > 1").select("piece", "ctx")
+    copied = pieces.where("copies = 1").join(several, ["piece", "ctx"]).select("row", "doc_id", F.col("from").alias("lo"), F.col("to").alias("hi"))
+    open_ = contexts.join(_unlike(contexts, "piece"), "piece").select("piece", "crowd", "copies", "rep.*")
+    held = cut.select("row", "doc_id", F.col("lo").alias("base"), "bytes")
+    same = (open_.row == held.row) & open_.doc_id.eqNullSafe(held.doc_id) & (open_.lo == held.base)
+    left = stored(
+        open_.join(held, same).select(
+            open_.row,
+            open_.doc_id,
+            F.col("piece").alias("key"),
+            "crowd",
+            "copies",
+            F.col("from").alias("lo"),
+            F.col("to").alias("hi"),
+            F.expr(f"substring(bytes, from - lo + 1, to - from + {width})").alias("bytes"),
+        )
+    )
+    return copied.unionByName(_by_suffixes(left.where(f"crowd <= {CROWD}"), width)).unionByName(
+        _by_windows(left.where(f"crowd > {CROWD}"), width)
     )
 
 

@@ -83,7 +83,7 @@ def passages(seed):
     return texts
 
 
-@pytest.mark.parametrize("crowd", [512, 2])
+@pytest.mark.parametrize("crowd", [2048, 2])
 @pytest.mark.parametrize("width", [400, 200])
 def test_rows_equal_brute_force(spark, monkeypatch, crowd, width):
     monkeypatch.setattr(suffixes, "CROWD", crowd)
