@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chuvisco.llm.links import components
-from chuvisco.llm.shared import flat, slices, stored, stretch_hashes, table
+from chuvisco.llm.shared import among, flat, slices, stored, stretch_hashes, table
 
 #: Bits of the sketch that pairs are first compared by.
 BITS = 1024
@@ -18,8 +18,6 @@ BITS = 1024
 SURE = 28
 #: Rows of one key that are compared with each other in one task; larger groups are dealt out in blocks.
 BLOCK = 1024
-#: Keys that a join may send to all tasks; more are joined by a shuffle.
-SMALL = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -162,16 +160,10 @@ def _sketched(docs: DataFrame, words: int, bands: Bands) -> DataFrame:
     return docs.mapInArrow(emit, "doc_id long, row long, node long, n long, sketch binary, keys array<long>")
 
 
-def _only(docs: DataFrame, wanted: DataFrame, on: str) -> DataFrame:
-    """``docs`` whose ``on`` is wanted: sent to all tasks if there are few enough, else shuffled."""
-    small = wanted.count() <= SMALL
-    return docs.join(F.broadcast(wanted) if small else wanted, on)
-
-
 def _linked(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
     """Those of ``pairs (a, b)`` that are alike, by their sets themselves."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "row"), "node")
-    chosen = _only(docs, stored(wanted), "row").dropDuplicates(["node"]).select("node", "text")
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "row"), "node"))
+    chosen = among(docs, wanted.select("row").distinct(), "row").join(wanted, "row").dropDuplicates(["node"]).select("node", "text")
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("node", pa.int64()), ("elements", pa.binary())])
@@ -284,8 +276,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, key: str
     Two texts are linked if the Jaccard similarity of their sets of ``words``-word shingles is ``percent`` in a hundred
     or more; a component is all that links reach, named by its smallest key. Texts with fewer words have one shingle,
     empty and null ones none and no links. A null key is a row like any other but names no component that has another
-    key. ``row`` is a hash of key and text, ``component_row`` the smallest of the component. Other columns are not looked
-    at.
+    key. ``row`` is a hash of key and text, ``component_row`` that of the row that names the component. Other columns are
+    not looked at.
 
     Texts with equal sets are one node. Each sketch segment that two nodes have in common makes them candidates: all
     nodes of a segment's key are first held against the smallest and the largest; what then is in one component needs
@@ -326,11 +318,23 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, key: str
     parts = components(links)
 
     named = sets.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
-    smallest = named.where("n > 0").groupBy("part").agg(F.min("doc_id").alias("smallest"), F.min("row").alias("smallest_row"))
+    smallest = named.where("n > 0").groupBy("part").agg(F.min(F.struct(F.isnull("doc_id").alias("no_key"), "doc_id", "row")).alias("smallest"))
     return named.join(smallest, "part", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(F.col("n") > 0, F.col("smallest.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
         "row",
-        F.when(F.col("n") > 0, F.col("smallest_row")).otherwise(F.col("row")).alias("component_row"),
+        F.when(F.col("n") > 0, F.col("smallest.row")).otherwise(F.col("row")).alias("component_row"),
     )
+
+
+def without_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each component, that of the smallest key; of repeated rows one stays. Texts without
+    words stay."""
+    found = stored(near_duplicates(docs, words, percent, key, text).select("row", "component_row"))
+    gone = found.where("row <> component_row").select("row").distinct()
+    twice = stored(found.where("row = component_row").groupBy("row").count().where("count > 1").select("row"))
+    marked = docs.withColumn("__row", F.xxhash64(F.col(text).cast("string"), F.col(key).cast("long")))
+    rows = twice.withColumnRenamed("row", "__row")
+    single = among(marked, stored(gone.union(twice)).withColumnRenamed("row", "__row"), "__row", "left_anti")
+    return single.unionByName(among(marked, rows, "__row").dropDuplicates(["__row"])).drop("__row")

@@ -39,6 +39,16 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+#: Rows that a join may send to all tasks (8 bytes each); more are joined by a shuffle.
+SMALL = 1 << 20
+
+
+def among(docs: DataFrame, wanted: DataFrame, on: str, how: str = "left_semi") -> DataFrame:
+    """``docs`` whose ``on`` is among (``left_semi``) or not among (``left_anti``) the distinct values in ``wanted``,
+    which is stored: sent to all tasks if they are few enough, so that ``docs`` stay where they are, else shuffled."""
+    return docs.join(F.broadcast(wanted) if wanted.count() <= SMALL else wanted, on, how)
+
+
 def texts_of(docs: DataFrame, key: str, text: str, *others: str) -> DataFrame:
     """Key and text under names of our own, so that other columns cannot clash with what an operator adds."""
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), *others)

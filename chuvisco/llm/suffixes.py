@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chuvisco.llm.shared import flat, slices, stored, stretch_hashes, table
+from chuvisco.llm.shared import among, flat, slices, stored, stretch_hashes, table
 
 #: Bytes of contexts that one suffix array takes together.
 BUCKET = 1 << 17
@@ -224,6 +224,8 @@ def _spans(found: DataFrame, width: int, reach: int) -> DataFrame:
     copied = likely.join(contexts.where("copies > 1").select("key", "ctx"), ["key", "ctx"]).select("row", "doc_id", "lo", "hi")
     open_ = contexts.join(_unlike(contexts, "key"), "key").select("key", "copies", "rep.*")
     wanted = open_.groupBy("row", "doc_id").agg(F.collect_list(F.struct("key", "copies", "at", "lo", "hi")).alias("wanted"))
+    wanted = stored(wanted)
+    found = among(found, wanted.select("row").distinct(), "row")
     texts = found.join(wanted, (found.row == wanted.row) & found.doc_id.eqNullSafe(wanted.doc_id)).select(
         found.row, found.doc_id, F.encode("text", "UTF-8").alias("bytes"), "wanted"
     )
@@ -342,9 +344,9 @@ def covered(spans: list, width: int) -> list[tuple[int, int]]:
 
 
 def with_repeats(docs: DataFrame, width: int = 400, reach: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with ``repeats``: an array of stretches of window starts, null where nothing repeats.
+    """``docs`` with ``__repeats``: an array of stretches of window starts, null where nothing repeats.
 
-    Text and key are told apart from other columns by position; rows without text have no repeats.
+    Only texts in which something repeats are moved. Rows without text have no repeats.
     """
     reach = reach or max(1, min(256, width - 144))
     if width < 16 + reach:
@@ -353,14 +355,17 @@ def with_repeats(docs: DataFrame, width: int = 400, reach: int = 0, key: str = "
     plain = marked.where(F.octet_length(text) >= width).select(
         F.col("__row").alias("row"), F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")
     )
-    spans = (
+    spans = stored(
         _spans(plain, width, reach)
         .groupBy("row", "doc_id")
         .agg(F.collect_set(F.struct("lo", "hi")).alias("__repeats"))
-        .select(F.col("row").alias("__of"), F.col("doc_id").alias("__doc"), "__repeats")
+        .select(F.col("row").alias("__row"), F.col("doc_id").alias("__doc"), "__repeats")
     )
-    on = (F.col("__row") == F.col("__of")) & F.col(key).cast("long").eqNullSafe(F.col("__doc"))
-    return marked.join(spans, on, "left").drop("__row", "__of", "__doc")
+    rows = spans.select("__row").distinct()
+    same = (F.col("one.__row") == F.col("other.__row")) & F.col(f"one.{key}").cast("long").eqNullSafe(F.col("__doc"))
+    touched = among(marked, rows, "__row").alias("one").join(spans.alias("other"), same, "left").select("one.*", "__repeats")
+    left_alone = among(marked, rows, "__row", "left_anti").withColumn("__repeats", F.lit(None).cast("array<struct<lo:int,hi:int>>"))
+    return touched.unionByName(left_alone).drop("__row")
 
 
 _REMOVED = pa.schema(

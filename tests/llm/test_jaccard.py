@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 import chuvisco.llm.jaccard as jaccard
+import chuvisco.llm.shared as shared
 from chuvisco.llm.jaccard import Bands, near_duplicates, shingle_sets, sketch
 from chuvisco.llm.links import components
 from chuvisco.llm.queries import op8_ngram_jaccard_join
@@ -120,7 +121,7 @@ def corpus(seed):
 @pytest.mark.parametrize(("words", "percent"), [(3, 90), (5, 80)])
 def test_rows_equal_brute_force(spark, monkeypatch, block, words, percent):
     monkeypatch.setattr(jaccard, "BLOCK", block)
-    monkeypatch.setattr(jaccard, "SMALL", 10 if block == 3 else 1 << 20)
+    monkeypatch.setattr(shared, "SMALL", 10 if block == 3 else 1 << 20)
     texts = corpus(block + words)
     df = spark.createDataFrame([(k, t, "x", 1, 2) for k, t in texts], "doc_id long, text string, node string, n int, key int")
     assert as_rows(near_duplicates(df, words, percent)) == by_hand(texts, words, percent)
