@@ -23,11 +23,15 @@ def work_folder(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="shared-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_folder()
     return f"{root.rstrip('/')}/llm-{uuid4().hex}"
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="shared-")
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again: lineage ends there, and a lost executor costs a
     file read. The files go when the session ends."""
