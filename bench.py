@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from chuvisco.operators import align_components, components, daily_rollup, hourly_wide
-from registry.inputs import LINES, stored_documents
+from registry.inputs import LINES, name_shared_folder, stored_documents
 from registry.queries import ENTITIES, ON_DOCUMENTS, QUERIES
 
 WHOLE = (
@@ -72,6 +72,7 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
 
+    name_shared_folder(spark)
     stored = {}
 
     def store(entity: str) -> None:

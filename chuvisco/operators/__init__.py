@@ -2,7 +2,7 @@
 
 from chuvisco.operators.daily import align_components, daily_rollup, rollup_components
 from chuvisco.operators.dimension import build_refined, build_trusted
-from chuvisco.operators.documents import distinct_documents, latest_documents
+from chuvisco.operators.documents import distinct_documents, latest_documents, of_days, with_days
 from chuvisco.operators.hourly import components, explode_metric, explode_time, hourly_wide
 from chuvisco.operators.requests import extraction_requests, pending_requests
 from chuvisco.operators.upsert import merge_upsert, upsert_table
@@ -19,6 +19,8 @@ __all__ = [
     "extraction_requests",
     "hourly_wide",
     "latest_documents",
+    "of_days",
+    "with_days",
     "merge_upsert",
     "pending_requests",
     "rollup_components",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from chuvisco.schemas import WEATHER, Layout
 
 ARRIVAL = ("recebido_em", "documento")
+DAYS = ("primeiro_dia", "ultimo_dia")
 
 
 def distinct_documents(docs: DataFrame, ignore: Sequence[str] = ARRIVAL) -> DataFrame:
@@ -24,11 +26,33 @@ def distinct_documents(docs: DataFrame, ignore: Sequence[str] = ARRIVAL) -> Data
 def latest_documents(
     docs: DataFrame, layout: Layout = WEATHER, order_by: Sequence[str] = ARRIVAL
 ) -> DataFrame:
-    """Keep the last delivery of each document, by the ``order_by`` columns.
+    """Keep the last delivery of each document, by the ``order_by`` columns and then by content.
 
-    The choice is an aggregate, not a window: each task passes on one candidate per document, so
-    the number of deliveries of one document is no limit.
+    Many documents may lie in one file and share its stamp; of differing ones the largest by value
+    stays, whatever order they are read in. The choice is an aggregate, not a window: each task
+    passes on one candidate per document, so the number of deliveries of one document is no limit.
     """
-    rest = [c for c in docs.columns if c not in layout.keys]
-    newest = F.max_by(F.struct(*rest), F.struct(*order_by)).alias("newest")
+    rest = [c for c in docs.columns if c not in (*layout.keys, *order_by)]
+    newest = F.max(F.struct(*order_by, *rest)).alias("newest")
     return docs.groupBy(*layout.keys).agg(newest).select(*layout.keys, "newest.*").select(*docs.columns)
+
+
+def with_days(docs: DataFrame, layout: Layout = WEATHER) -> DataFrame:
+    """``docs`` with the first and the last day of their readings, null where no time can be read.
+
+    In a stored table these columns let a scan skip documents of other days.
+    """
+    days = F.transform(F.col(layout.time), lambda time: time.try_cast("timestamp_ntz").cast("date"))
+    return docs.withColumns({DAYS[0]: F.array_min(days), DAYS[1]: F.array_max(days)})
+
+
+def of_days(docs: DataFrame, start: date | str | None = None, end: date | str | None = None) -> DataFrame:
+    """Documents that can hold readings of an inclusive range of days, by the columns of :func:`with_days`; all, if they
+    are not there."""
+    if not set(DAYS) <= set(docs.columns):
+        return docs
+    if start is not None:
+        docs = docs.filter(F.col(DAYS[1]) >= F.lit(start).cast("date"))
+    if end is not None:
+        docs = docs.filter(F.col(DAYS[0]) <= F.lit(end).cast("date"))
+    return docs

@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chuvisco.operators.documents import of_days
 from chuvisco.schemas import WEATHER, Layout
 
 
@@ -64,9 +65,11 @@ def hourly_wide(
     inner join by position would, it stops at the shortest array and leaves out a document that has
     no entity or lacks an array. Null elements stay.
 
-    ``start`` and ``end`` keep an inclusive range of days.
+    ``start`` and ``end`` keep an inclusive range of days: documents of other days are skipped if
+    they carry their days, and readings outside are dropped from the array before rows are made.
     """
     _check_distinct(distinct)
+    docs = of_days(docs, start, end)
     arrays = {"time": layout.time} | {m.name: m.values for m in layout.metrics}
     carried = {f"unit_{m.name}": m.unit for m in layout.metrics}
     carried |= {_leaf(path): path for path in layout.attributes}
@@ -76,19 +79,32 @@ def hourly_wide(
     )
     if distinct == "documents":
         narrow = narrow.distinct()
-    rows = (
-        narrow.withColumn("_length", F.coalesce(F.least(*[F.size(name) for name in arrays]), F.lit(0)))
-        .select(*layout.keys, *carried, "_length", F.posexplode(F.arrays_zip(*arrays)).alias("idx", "_reading"))
-        .filter(F.col("idx") < F.col("_length"))
-        .select(
-            *layout.keys,
-            "idx",
-            _wall_clock("_reading.time").alias("time"),
-            *[F.col(f"_reading.{m.name}") for m in layout.metrics],
-            *carried,
+    length = F.coalesce(F.least(*[F.size(name) for name in arrays]), F.lit(0))
+    readings = F.arrays_zip(*arrays)
+    if start is None and end is None:
+        rows = (
+            narrow.withColumn("_length", length)
+            .select(*layout.keys, *carried, "_length", F.posexplode(readings).alias("idx", "_reading"))
+            .filter(F.col("idx") < F.col("_length"))
+            .withColumn("_reading", F.col("_reading").withField("time", _wall_clock("_reading.time")))
         )
-    )
-    rows = between_days(rows, F.col("time").cast("date"), start, end)
+    else:
+
+        def placed(reading: Column, idx: Column) -> Column:
+            return F.struct(idx.alias("idx"), reading.withField("time", reading["time"].try_cast("timestamp_ntz")).alias("_reading"))
+
+        def kept(reading: Column) -> Column:
+            day = reading["_reading"]["time"].cast("date")
+            inside = reading["idx"] < length
+            for bound, after in ((start, True), (end, False)):
+                if bound is not None:
+                    limit = F.lit(bound).cast("date")
+                    inside &= (day >= limit) if after else (day <= limit)
+            return inside
+
+        within = F.filter(F.transform(readings, placed), kept)
+        rows = narrow.select(*layout.keys, *carried, F.inline(within))
+    rows = rows.select(*layout.keys, "idx", "_reading.time", *[F.col(f"_reading.{m.name}") for m in layout.metrics], *carried)
     if distinct == "rows":
         rows = rows.distinct()
     return rows.orderBy("time", *layout.keys, "idx") if sort else rows

@@ -8,18 +8,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chuvisco.sinks import path_exists, staged, write_table
+from chuvisco.sinks import path_exists, replace_table, staged, write_table
 from chuvisco.sources import read_table
 
-# Partitions named in one condition at most.
-MOST_LISTED = 200
-
 
 def merge_upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``old`` with every row whose key is in ``new`` replaced, and the other rows of ``new`` added.
 
     All columns of ``old`` are replaced; ``new`` must have them. Null keys match nothing. Rows of
-    ``new`` with the same key are an error (``ValueError``), found by a job over the key columns.
+    ``new`` with the same key make the query fail: they are counted where they are brought together
+    by key, so the check takes no job of its own.
 
     A key that fills ``old`` is no hot spot: the replacing join is a plain left join, whose left
     side adaptive execution splits, and the inserting one sees each old key once per task.
@@ -29,22 +27,20 @@ def merge_upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFra
     if missing:
         raise ValueError(f"new rows lack columns {missing}")
     new = new.select(*[F.col(f.name).cast(f.dataType) for f in old.schema])
-    keyed = new.dropna(subset=keys)
     unkeyed = new.filter(reduce(Column.__or__, [F.col(k).isNull() for k in keys]))
-    require_unique(keyed, keys)
-
-    replacement = keyed.select(*keys, F.struct(*new.columns).alias("_new"))
+    replacement = _one_per_key(new.dropna(subset=keys), keys)
     current = F.struct(*old.columns)
     updated = old.join(replacement, keys, "left").select(F.coalesce("_new", current).alias("_row")).select("_row.*")
-    inserted = keyed.join(old.select(*keys).distinct(), keys, "left_anti").select(*old.columns)
+    inserted = replacement.join(old.select(*keys).distinct(), keys, "left_anti").select("_new.*")
     return updated.unionByName(inserted).unionByName(unkeyed)
 
 
-def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
-    """Raise ``ValueError`` if a key occurs more than once."""
-    repeated = df.groupBy(*keys).count().filter(F.col("count") > 1).select(*keys).head(1)
-    if repeated:
-        raise ValueError(f"several rows have the key {repeated[0].asDict()}")
+def _one_per_key(new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each row of ``new`` as ``_new`` beside its key; the query fails on a key that has several."""
+    grouped = new.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*new.columns)).alias("_new"))
+    shown = F.concat_ws(", ", *[F.concat(F.lit(f"{k}="), F.col(k).cast("string")) for k in keys])
+    message = F.concat(F.lit("several rows have the key "), shown)
+    return grouped.select(*keys, F.when(F.col("_n") > 1, F.raise_error(message)).otherwise(F.col("_new")).alias("_new"))
 
 
 def upsert_table(
@@ -59,7 +55,9 @@ def upsert_table(
 
     ``partition_by`` columns must be among the keys; only the partitions that ``new`` touches are
     then read and rewritten. ``new`` is read from a working copy, as it is gone through several
-    times, and so are the merged rows, because the table cannot be overwritten while it is read.
+    times. Without partitions the merged table is written beside the old one, which it replaces when
+    it is whole. With them, merged rows are written to a working copy first, because a table cannot
+    be overwritten while it is read. Either way a failing upsert leaves the old rows where they were.
     """
     outside = [c for c in partition_by if c not in keys]
     if outside:
@@ -67,27 +65,32 @@ def upsert_table(
     spark = new.sparkSession
     new = staged(new, "new")
     if not path_exists(spark, path):
-        require_unique(new.dropna(subset=list(keys)), keys)
-        write_table(new, path, fmt, partition_by=partition_by, sort_by=sort_by)
+        none = new.limit(0)
+        replace_table(merge_upsert(none, new, keys), path, fmt, partition_by=partition_by, sort_by=sort_by)
         return
     old = read_table(spark, path, fmt)
-    if partition_by:
-        old = _touched(old, new, partition_by)
-    merged = staged(merge_upsert(old, new, keys), "upsert")
+    if not partition_by:
+        replace_table(merge_upsert(old, new, keys), path, fmt, sort_by=sort_by)
+        return
+    merged = staged(merge_upsert(_touched(old, new, partition_by), new, keys), "upsert")
     write_table(merged, path, fmt, partition_by=partition_by, sort_by=sort_by)
 
 
 def _touched(old: DataFrame, new: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Rows of ``old`` in partitions that occur in ``new``.
+    """Rows of ``old`` in partitions that occur in ``new``, by one plan for any number of them.
 
-    A plain condition lets the scan skip the other directories; with more partitions than fit in
-    one, they are joined instead.
+    The range of each partition column, one row on the driver, is a condition that lets the scan
+    skip the directories outside; a semi-join on the columns leaves out those in between. Partitions
+    of a null come from a branch of their own, as equality does not find them.
     """
-    partitions = new.select(*partition_by).distinct()
-    listed = partitions.limit(MOST_LISTED + 1).collect()
-    if len(listed) > MOST_LISTED:
-        renamed = partitions.toDF(*[f"_{c}" for c in partition_by])
-        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in partition_by]
-        return old.join(renamed, reduce(Column.__and__, same), "left_semi")
-    same = [reduce(Column.__and__, [F.col(c).eqNullSafe(row[c]) for c in partition_by]) for row in listed]
-    return old.filter(reduce(Column.__or__, same, F.lit(False)))
+    touched = new.select(*partition_by).distinct()
+    ends = [(F.min(c).alias(f"min_{i}"), F.max(c).alias(f"max_{i}")) for i, c in enumerate(partition_by)]
+    ranges = touched.agg(*[e for pair in ends for e in pair]).first()
+    whole = reduce(Column.__and__, [F.col(c).isNotNull() for c in partition_by])
+    between = [F.col(c).between(F.lit(ranges[f"min_{i}"]), F.lit(ranges[f"max_{i}"])) for i, c in enumerate(partition_by)]
+    within = reduce(Column.__and__, between, whole)
+    known = old.filter(within).join(touched.filter(within), list(partition_by), "left_semi").select(*old.columns)
+
+    renamed = touched.filter(~whole).toDF(*[f"_{c}" for c in partition_by])
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in partition_by])
+    return known.unionByName(old.filter(~whole).join(renamed, same, "left_semi"))

@@ -6,9 +6,9 @@ run for the same period wrote.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,10 +18,10 @@ from chuvisco.functions.periods import period_path
 from chuvisco.functions.stamp import stamp
 from chuvisco.operators.daily import daily_rollup
 from chuvisco.operators.dimension import build_refined, build_trusted
-from chuvisco.operators.documents import ARRIVAL, distinct_documents, latest_documents
+from chuvisco.operators.documents import ARRIVAL, DAYS, distinct_documents, latest_documents, with_days
 from chuvisco.operators.hourly import components, hourly_wide
 from chuvisco.schemas import DOCUMENT, MUNICIPALITIES, STATES, WEATHER, Layout
-from chuvisco.sinks import write_table
+from chuvisco.sinks import path_exists, remove_path, staged, write_table
 from chuvisco.sources import read_csv, read_documents, read_table
 
 
@@ -68,10 +68,11 @@ def compact(
     """Documents with ``ano`` and ``mes`` to the merged Parquet table, replacing the months they cover.
 
     Repeated documents are dropped. ``latest`` also settles differing deliveries of one document,
-    in favour of the last. ``arrange`` is as for :func:`write_table`.
+    in favour of the last. The table keeps the first and last day of each document's readings, by
+    which later scans skip documents. ``arrange`` is as for :func:`write_table`.
     """
     docs = latest_documents(docs, layout).drop(*ARRIVAL) if latest else distinct_documents(docs)
-    write_table(docs, lake.merged("clima"), partition_by=("ano", "mes"), arrange=arrange)
+    write_table(with_days(docs, layout), lake.merged("clima"), partition_by=("ano", "mes"), sort_by=DAYS, arrange=arrange)
 
 
 def compact_month(
@@ -79,11 +80,15 @@ def compact_month(
 ) -> None:
     """The month's landed JSON documents, in ``YYYY/MM`` of the raw tree, to the merged table.
 
-    They all go to one directory, so dropping repeated ones is the only shuffle.
+    They all go to one directory, so dropping repeated ones is the only shuffle. A month without
+    documents leaves no directory.
     """
     docs = read_documents(spark, period_path(lake.raw("clima"), when), schema, arrival=latest)
     docs = docs.withColumns({"ano": F.lit(when.year), "mes": F.lit(when.month)})
-    compact(docs, lake, layout, latest, arrange=None)
+    if docs.isEmpty():
+        _remove_month(spark, lake.merged("clima"), when.year, when.month)
+    else:
+        compact(docs, lake, layout, latest, arrange=None)
 
 
 def refresh_month(
@@ -92,40 +97,92 @@ def refresh_month(
     """Bring a landed month through merged and refined to the daily table; returns that table.
 
     Refined rows come from one document each, so only the month's partition is rewritten, by the
-    tasks that read the documents. A day can take readings from several documents, so the daily rows
-    are those of the whole year's documents.
+    tasks that read the documents. A day can take readings from several documents, and documents can
+    cross the ends of months. So the daily rows of every month that the landed documents hold days of,
+    or held before, are made anew from all documents with days in those months.
     """
+    before = _days_of_month(spark, lake, when)
     compact_month(spark, lake, when, layout, schema, latest)
-    year = read_table(spark, lake.merged("clima"), years=[when.year])
-    for name, table in components(year.filter(F.col("mes") == when.month), layout).items():
-        write_table(table, lake.refined(f"clima/{name}"), partition_by=("ano", "mes"), arrange=None)
-
-    daily = daily_rollup(hourly_wide(year, layout), layout, by=("ano",))
-    _write_daily(stamp(daily), lake, layout)
+    touched = [d for d in (*before, *_days_of_month(spark, lake, when)) if d is not None]
+    merged = _merged(spark, lake)
+    month = None if merged is None else merged.filter((F.col("ano") == when.year) & (F.col("mes") == when.month))
+    empty = month is None or month.isEmpty()
+    names = [layout.time_table, *[m.table for m in layout.metrics]]
+    tables = {} if empty else components(month.drop(*DAYS), layout)
+    for name in names:
+        if empty:
+            _remove_month(spark, lake.refined(f"clima/{name}"), when.year, when.month)
+        else:
+            write_table(tables[name], lake.refined(f"clima/{name}"), partition_by=("ano", "mes"), arrange=None)
+    if touched:
+        start, end = min(touched).replace(day=1), _month_end(max(touched))
+        _write_days(spark, lake, layout, merged, start, end)
     return read_table(spark, lake.trusted("clima"))
 
 
 def backfill(
-    spark: SparkSession,
-    lake: Lake,
-    years: Iterable[int] | None = None,
-    layout: Layout = WEATHER,
-    document_years: Iterable[int] | None = None,
+    spark: SparkSession, lake: Lake, years: Iterable[int] | None = None, layout: Layout = WEATHER
 ) -> DataFrame:
     """Daily rows of the given years, or of all, from the merged documents; returns the daily table.
 
-    All years are made in one pass and laid out by the year of the day. ``document_years`` names the
-    years whose documents can hold those days, and the others are not read; without it all are, as
-    any document might.
+    All are made in one pass and laid out by the year and month of the day. Of the merged table, only
+    documents with days between the first and the last year asked for are read. Readings whose time
+    cannot be read have no day and are in no partition.
     """
-    hourly = hourly_wide(read_table(spark, lake.merged("clima"), years=document_years), layout)
-    if years is not None:
-        hourly = hourly.filter(F.year("time").isin(*years))
-    daily = daily_rollup(hourly, layout).withColumn("ano", F.year("data"))
-    _write_daily(stamp(daily), lake, layout)
+    merged = _merged(spark, lake)
+    if years is None:
+        _write_days(spark, lake, layout, merged)
+    else:
+        chosen = sorted(set(years))
+        _write_days(spark, lake, layout, merged, date(chosen[0], 1, 1), date(chosen[-1], 12, 31), chosen)
     return read_table(spark, lake.trusted("clima"))
 
 
-def _write_daily(daily: DataFrame, lake: Lake, layout: Layout) -> None:
-    """The daily table, in the order of year, entity and day."""
-    write_table(daily, lake.trusted("clima"), partition_by=("ano",), sort_by=(layout.entity, "data"), arrange="range")
+def _merged(spark: SparkSession, lake: Lake) -> DataFrame | None:
+    return read_table(spark, lake.merged("clima")) if path_exists(spark, lake.merged("clima")) else None
+
+
+def _days_of_month(spark: SparkSession, lake: Lake, when: date) -> tuple:
+    """First and last day of readings in a month's merged documents."""
+    merged = _merged(spark, lake)
+    if merged is None:
+        return ()
+    month = merged.filter((F.col("ano") == when.year) & (F.col("mes") == when.month))
+    return tuple(month.agg(F.min(DAYS[0]), F.max(DAYS[1])).first())
+
+
+def _month_end(day: date) -> date:
+    return (day.replace(day=28) + timedelta(days=4)).replace(day=1) - timedelta(days=1)
+
+
+def _write_days(
+    spark: SparkSession,
+    lake: Lake,
+    layout: Layout,
+    merged: DataFrame | None,
+    start: date | None = None,
+    end: date | None = None,
+    years: Sequence[int] | None = None,
+) -> None:
+    """The daily rows of whole months in the order of month, entity and day; months left without rows go."""
+    path = lake.trusted("clima")
+    if merged is not None:
+        daily = daily_rollup(hourly_wide(merged, layout, start, end), layout).filter(F.col("data").isNotNull())
+        daily = daily.withColumns({"ano": F.year("data"), "mes": F.month("data")})
+        if years is not None:
+            daily = daily.filter(F.col("ano").isin(*years))
+        made = staged(stamp(daily), "daily")
+        write_table(made, path, partition_by=("ano", "mes"), sort_by=(layout.entity, "data"), arrange="range")
+        full = {(r.ano, r.mes) for r in made.select("ano", "mes").distinct().collect()}
+    else:
+        full = set()
+    # the months there are, a few hundred at most
+    there = read_table(spark, path).select("ano", "mes").distinct().collect() if path_exists(spark, path) else []
+    for ano, mes in ((r.ano, r.mes) for r in there):
+        asked = (years is None or ano in years) and (start is None or start <= date(ano, mes, 1) <= end)
+        if asked and (ano, mes) not in full:
+            _remove_month(spark, path, ano, mes)
+
+
+def _remove_month(spark: SparkSession, path: str, ano: int, mes: int) -> None:
+    remove_path(spark, f"{path}/ano={ano}/mes={mes}")

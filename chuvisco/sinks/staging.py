@@ -2,24 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
-from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Setting of a session that names a shared folder where ``spark.checkpoint.dir`` does not.
+WORK_FOLDER = "spark.chuvisco.workFolder"
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path under ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only a local session may leave that setting out; it then gets one temporary folder. What is
-    written there is removed when the session's JVM ends.
+    A session without that setting must name one under ``WORK_FOLDER``, as tests do, or is refused. What is written there is
+    removed by :func:`release`, or when the session's JVM ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(WORK_FOLDER, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = _local_folder()
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     folder = f"{root.rstrip('/')}/work-{uuid4().hex}"
     files, path = _file_system(spark, folder)
     files.mkdirs(path)
@@ -33,16 +33,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(location)
 
 
+def release(spark: SparkSession, path: str) -> None:
+    """Remove the working folder that holds ``path``, which :func:`work_path` gave."""
+    remove_path(spark, path.rsplit("/", 1)[0])
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    files, location = _file_system(spark, path)
+    files.delete(location, True)
+
+
+def move_path(spark: SparkSession, path: str, to: str) -> None:
+    files, location = _file_system(spark, path)
+    if not files.rename(location, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"{path} cannot be moved to {to}")
+
+
 def _file_system(spark: SparkSession, path: str):
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="run-")
-
-
 def staged(df: DataFrame, name: str = "staged") -> DataFrame:
     """Write ``df`` as Parquet to a working path and read it back.
 

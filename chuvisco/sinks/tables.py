@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from uuid import uuid4
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chuvisco.sinks.staging import move_path, path_exists, remove_path
+
 
 def write_table(
     df: DataFrame,
@@ -50,6 +53,25 @@ def write_table(
     writer.save(path)
 
 
+def replace_table(df: DataFrame, path: str, fmt: str = "parquet", **how) -> None:
+    """Write a whole table beside ``path`` and put it in its place when all of it is there.
+
+    ``df`` may read the table it replaces. A write that fails leaves the old table as it was; between
+    the two renames the old one still lies next to ``path`` under a name of its own.
+    """
+    spark, mark = df.sparkSession, uuid4().hex
+    beside, before = f"{path.rstrip('/')}-new-{mark}", f"{path.rstrip('/')}-old-{mark}"
+    try:
+        write_table(df, beside, fmt, **how)
+    except BaseException:
+        remove_path(spark, beside)
+        raise
+    if path_exists(spark, path):
+        move_path(spark, path, before)
+    move_path(spark, beside, path)
+    remove_path(spark, before)
+
+
 def gather(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Bring rows of a partition directory together, so that each task writes to few of them.
 

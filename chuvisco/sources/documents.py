@@ -9,8 +9,9 @@ from pyspark.sql import types as T
 from chuvisco.schemas import DOCUMENT, as_struct
 
 # Year and month directories, as ``2023/07`` or ``ano=2023/mes=07``.
-_PERIOD_DIRS = r"/(?:ano=)?(\d{4})/(?:mes=)?(\d{1,2})/"
-_YEAR_DIR = r"/(?:ano=)?(\d{4})/"
+# Those nearest to the file count, as any folder above the lake may be a number too.
+_PERIOD_DIRS = r"^.*/(?:ano=)?(\d{4})/(?:mes=)?(\d{1,2})/"
+_YEAR_DIR = r"^.*/(?:ano=)?(\d{4})/"
 # Arrival stamp in a file name: ``{entity}_{yyyymmddHHMMSS}_{uuid}``.
 _NAME_STAMP = r"_(\d{14})_"
 
@@ -28,8 +29,8 @@ def read_documents(
     ``recursive`` reads a whole tree of sub-directories. Directories named ``column=value`` below
     ``path`` become columns when it is off.
 
-    ``period`` is ``"month"`` or ``"year"`` to add ``ano`` (and ``mes``) from the directory names;
-    a document is only known apart from another of the same entity by its period.
+    ``period`` is ``"month"`` or ``"year"`` to add ``ano`` (and ``mes``) from the names of the directories nearest to the
+    file; a document is only known apart from another of the same entity by its period.
 
     ``arrival`` adds ``documento`` (file name) and ``recebido_em`` (the stamp in the file name, or
     else the time the file was written), by which re-deliveries are ordered.

@@ -41,13 +41,3 @@ def register_views(tables: Mapping[str, DataFrame]) -> None:
     """Make each table known to ``spark.sql`` under its name, for the session."""
     for name, table in tables.items():
         table.createOrReplaceTempView(name)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of a scan over all cores, if the scan has fewer splits than the session has cores.
-
-    One gzip file or one row group is read by a single task, and so is all work up to the next
-    shuffle. A scan with splits enough is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

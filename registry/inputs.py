@@ -6,6 +6,7 @@ so a supplier or an order with any share of the rows costs no task more than ano
 
 from __future__ import annotations
 
+import tempfile
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from chuvisco.schemas import DOCUMENT, WEATHER, Layout, Metric
 from chuvisco.sinks import staged
-from chuvisco.sources import spread
+from chuvisco.sinks.staging import WORK_FOLDER
 
 # A line's document has its own name, since a supplier has many lines in a month.
 LINES = replace(WEATHER, document=("codigo_ibge", "ano", "mes", "remessa"))
@@ -27,6 +28,13 @@ EVENTS = Layout(
 )
 
 
+def name_shared_folder(spark: SparkSession) -> None:
+    """Give a local session that names no shared folder one of its own."""
+    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.master.startswith("local["):
+        if spark.conf.get(WORK_FOLDER, None) is None:
+            spark.conf.set(WORK_FOLDER, tempfile.mkdtemp(prefix="shared-"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -34,10 +42,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def line_documents(spark: SparkSession, sf_dir: str, entity: str = "l_suppkey") -> DataFrame:
     """One document per order line, with one reading per unit of its line number.
 
-    Readings lie six hours apart and stay in the month of shipping. Lines of 10 % discount have no
+    Readings lie six hours apart from the day of shipping on, so some go on into the next month or year. Lines of 10 % discount have no
     humidity, untaxed lines lack the first value of it, and returned lines the last wind speed.
     """
-    lines = spread(table(spark, sf_dir, "lineitem"))
+    # one row group is one task's; dealt out anew, whatever the number of rows and cores
+    lines = table(spark, sf_dir, "lineitem").hint("rebalance")
     day = F.to_date("l_shipdate")
     positions = F.sequence(F.lit(0), F.col("l_linenumber") - 1)
     discount = F.round(F.col("l_discount") * 100)
@@ -47,9 +56,8 @@ def line_documents(spark: SparkSession, sf_dir: str, entity: str = "l_suppkey")
         return F.transform(positions, value)
 
     def wall_clock(i: Column) -> Column:
-        offset = ((F.dayofmonth(day) - 1 + F.floor(i / 4)) % 28).cast("int")
         hour = F.lpad((i % 4 * 6).cast("string"), 2, "0")
-        return F.concat(F.date_add(F.trunc(day, "MM"), offset).cast("string"), F.lit("T"), hour, F.lit(":00"))
+        return F.concat(F.date_add(day, F.floor(i / 4).cast("int")).cast("string"), F.lit("T"), hour, F.lit(":00"))
 
     humidity = F.when(
         discount != 10, each(lambda i: F.when((F.col("l_tax") != 0) | (i > 0), F.col("l_quantity") + i))
@@ -96,6 +104,12 @@ def stored_documents(spark: SparkSession, sf_dir: str, entity: str = "l_suppkey"
     return staged(line_documents(spark, sf_dir, entity), "documents")
 
 
+def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The region of each supplier."""
+    supplier = table(spark, sf_dir, "supplier").withColumn("codigo_uf", F.col("s_nationkey").cast("long"))
+    return supplier.join(states(spark, sf_dir), "codigo_uf").select(F.col("s_suppkey").alias("codigo_ibge"), "regiao")
+
+
 def municipalities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as municipalities of their nation; nation 0 has no capital flag."""
     return table(spark, sf_dir, "customer").select(

@@ -6,7 +6,7 @@ _LINES = """
 lines AS (
     SELECT concat_ws('-', l_suppkey, l_orderkey, l_linenumber, l_partkey, CAST(l_shipdate AS DATE)) AS remessa,
            l_suppkey, l_orderkey, CAST(year(l_shipdate) AS INTEGER) AS ano, CAST(month(l_shipdate) AS INTEGER) AS mes,
-           CAST(date_trunc('month', l_shipdate) AS DATE) AS month_start, CAST(day(l_shipdate) AS INTEGER) AS dom,
+           CAST(l_shipdate AS DATE) AS shipped,
            l_linenumber AS n, l_linenumber - CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS n_wind,
            round(l_discount * 100) AS discount, round(l_extendedprice * 100) AS cents,
            l_tax, l_quantity, l_partkey, l_linestatus, l_returnflag,
@@ -15,8 +15,8 @@ lines AS (
 ), positions AS (
     SELECT lines.*, CAST(unnest(range(n)) AS INTEGER) AS idx FROM lines
 ), readings AS (
-    SELECT *, month_start + CAST((dom - 1 + idx // 4) % 28 AS INTEGER) AS data,
-           CAST(month_start + CAST((dom - 1 + idx // 4) % 28 AS INTEGER) AS TIMESTAMP)
+    SELECT *, shipped + CAST(idx // 4 AS INTEGER) AS data,
+           CAST(shipped + CAST(idx // 4 AS INTEGER) AS TIMESTAMP)
                + to_hours(CAST(idx % 4 * 6 AS BIGINT)) AS time,
            CASE WHEN l_tax <> 0 OR idx > 0 THEN l_quantity + idx END AS relativehumidity_2m,
            cents - idx AS temperature_2m,
@@ -65,7 +65,8 @@ FROM wide GROUP BY l_suppkey, data"""
 _DISTINCT_DAILY = _DAILY.replace("SELECT concat_ws", "SELECT DISTINCT concat_ws")
 
 _DAILY_BY_YEAR = f"""WITH {_DISTINCT_LINES}
-SELECT l_suppkey AS codigo_ibge, data, CAST(year(data) AS INTEGER) AS ano, {_MEASURES}
+SELECT l_suppkey AS codigo_ibge, data, CAST(year(data) AS INTEGER) AS ano, CAST(month(data) AS INTEGER) AS mes,
+    {_MEASURES}
 FROM wide {{where}} GROUP BY l_suppkey, data"""
 
 _DIMENSION = """
@@ -97,6 +98,7 @@ SELECT ano, codigo_ibge, time, valor, prioridade FROM new
 WHERE NOT EXISTS (SELECT 1 FROM old WHERE old.codigo_ibge = new.codigo_ibge AND old.time = new.time)"""
 
 
+# The address of a request, which must be the same text on both sides.
 def _requests(periods: str, last: str, directory: str, period_columns: str, where: str = "") -> str:
     return f"""WITH dimension AS ({_DIMENSION}), periods AS ({periods}), requests AS (
     SELECT codigo_ibge, regiao, {period_columns}, first AS data_inicial, CAST({last} AS DATE) AS data_final,
@@ -168,7 +170,7 @@ FROM events GROUP BY user_id, CAST(ts AS DATE)""",
 SELECT l_suppkey AS codigo_ibge, time AS data_hora, relativehumidity_2m AS humidade_relativa,
     '%' AS unidade_humidade_relativa, temperature_2m AS temperatura, unit_temperature_2m AS unidade_temperatura,
     windspeed_10m AS velocidade_do_vento, 'km/h' AS unidade_velocidade_do_vento, l_quantity AS elevacao,
-    l_linestatus AS fuso_horario, l_returnflag AS abreviacao_fuso_horario,
+    CAST(l_partkey AS DOUBLE) AS latitude, l_tax AS longitude, l_linestatus AS fuso_horario, l_returnflag AS abreviacao_fuso_horario,
     CAST(n * -3600 AS BIGINT) AS deslocamento_fuso_horario_em_segundos
 FROM wide""",
     "csv_landing": """
@@ -183,6 +185,8 @@ FROM customer""",
     "documents_landing": _HUMIDITY,
     "documents_recursive": _TEMPERATURE,
     "documents_subtree": f"WITH {_LINES} SELECT {_TIME_COLUMNS} FROM readings WHERE ano = 1997",
+    "documents_region": f"""{_TEMPERATURE} JOIN supplier ON s_suppkey = l_suppkey
+JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'EUROPE'""",
     "documents_compacted": _DISTINCT_WIND,
     "table_years": f"WITH {_HISTORY} SELECT * FROM history WHERE ano IN (1996, 1998)",
     "table_glob": f"WITH {_HISTORY} SELECT * FROM history WHERE ano BETWEEN 1990 AND 1999",

@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chuvisco import operators as ops
-from chuvisco.functions import annotate, require_annotations
+from chuvisco.functions import annotate, require_annotations, stamp
 from chuvisco.functions.metadata import MUNICIPALITY_COLUMNS, WEATHER_COLUMNS
 from chuvisco.functions.periods import period_path, reference_date
 from chuvisco.plans import Lake, backfill, compact, refresh_month, run_dimension
 from chuvisco.schemas import MUNICIPALITIES, MUNICIPALITIES_WIDE, Layout, assert_schema
-from chuvisco.sinks import land_csv, land_documents, work_path, write_table
+from chuvisco.sinks import land_csv, land_documents, staged, work_path, write_table
 from chuvisco.sources import read_csv, read_documents, read_table, register_views
 from registry.inputs import (
     EVENTS,
@@ -23,9 +23,10 @@ from registry.inputs import (
     LINES,
     line_documents,
     municipalities,
+    name_shared_folder,
     orders_history,
+    regions,
     states,
-    stored_documents,
     table,
 )
 
@@ -104,13 +105,12 @@ def daily_rollup(docs: DataFrame) -> DataFrame:
 
 
 def daily_rollup_range(docs: DataFrame) -> DataFrame:
-    hourly = ops.hourly_wide(docs, LINES)
-    return ops.daily_rollup(hourly, LINES, date(1996, 1, 1), date(1996, 12, 31), sort=True)
+    year = date(1996, 1, 1), date(1996, 12, 31)
+    return ops.daily_rollup(ops.hourly_wide(ops.with_days(docs, LINES), LINES, *year), LINES, sort=True)
 
 
 def daily_rollup_components(docs: DataFrame) -> DataFrame:
-    docs = ops.distinct_documents(docs)
-    return ops.rollup_components(ops.components(docs, LINES), LINES)
+    return ops.rollup_components(ops.components(_merged(docs), LINES), LINES)
 
 
 def daily_rollup_by_position(docs: DataFrame) -> DataFrame:
@@ -119,8 +119,12 @@ def daily_rollup_by_position(docs: DataFrame) -> DataFrame:
 
 
 def aligned_components(docs: DataFrame) -> DataFrame:
-    docs = ops.distinct_documents(docs)
-    return ops.align_components(ops.components(docs, LINES), LINES)
+    return ops.align_components(ops.components(_merged(docs), LINES), LINES)
+
+
+def _merged(docs: DataFrame) -> DataFrame:
+    """Documents without copies as a table, which each component table reads its own array of."""
+    return staged(ops.distinct_documents(docs), "merged")
 
 
 def daily_rollup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,15 +169,20 @@ def hourly_annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
         "windspeed_10m": "velocidade_do_vento",
         "unit_windspeed_10m": "unidade_velocidade_do_vento",
         "elevation": "elevacao",
+        "latitude": "latitude",
+        "longitude": "longitude",
         "timezone": "fuso_horario",
         "timezone_abbreviation": "abreviacao_fuso_horario",
         "utc_offset_seconds": "deslocamento_fuso_horario_em_segundos",
     }
     path = work_path(spark, "annotated")
-    hourly = ops.hourly_wide(stored_documents(spark, sf_dir), LINES)
-    named = hourly.select("ano", *[F.col(old).alias(new) for old, new in names.items()])
+    hourly = ops.hourly_wide(line_documents(spark, sf_dir), LINES)
+    named = stamp(hourly.select("ano", *[F.col(old).alias(new) for old, new in names.items()]))
     write_table(annotate(named, WEATHER_COLUMNS), path, partition_by=("ano",), sort_by=("codigo_ibge", "data_hora"))
-    return require_annotations(read_table(spark, path).drop("ano"))
+    described = require_annotations(read_table(spark, path).drop("ano"))
+    if set(described.columns) != set(WEATHER_COLUMNS):
+        raise ValueError("a column of the dictionary is missing")
+    return described.drop("gerado_em")
 
 
 # Landing and tables
@@ -209,6 +218,15 @@ def documents_subtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.explode_time(landed, LINES)
 
 
+def documents_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One region's directory of a landing tree by region and year."""
+    path = work_path(spark, "landing")
+    docs = line_documents(spark, sf_dir).join(regions(spark, sf_dir), "codigo_ibge")
+    land_documents(docs, path, LINE_ENVELOPE, partition_by=("regiao", "ano", "mes"))
+    landed = read_documents(spark, f"{path}/regiao=EUROPE", LINE_DOCUMENT, recursive=True, period="month")
+    return ops.explode_metric(landed, "temperature_2m", LINES)
+
+
 def documents_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _merged_lake(spark, sf_dir)
     return ops.explode_metric(read_table(spark, lake.merged("clima")), "windspeed_10m", LINES)
@@ -240,7 +258,7 @@ def schema_replacement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def views_cte(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_views({"documentos_de_linhas": stored_documents(spark, sf_dir)})
+    register_views({"documentos_de_linhas": line_documents(spark, sf_dir)})
     return spark.sql("""
         WITH medidas AS (
             SELECT codigo_ibge, payload.hourly_units.temperature_2m AS unidade,
@@ -360,7 +378,7 @@ def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimension_refined(spark, sf_dir)
 
 
-# Operators on the stored documents of order lines.
+# Operators on the documents of order lines.
 ON_DOCUMENTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "explode_time": explode_time,
     "explode_humidity": explode_humidity,
@@ -383,12 +401,20 @@ ON_DOCUMENTS: dict[str, Callable[[DataFrame], DataFrame]] = {
 ENTITIES = {"daily_rollup_by_position": "l_orderkey"}
 
 
-def _on_stored(name: str) -> Query:
+def _on_lines(name: str) -> Query:
     operator, entity = ON_DOCUMENTS[name], ENTITIES.get(name, "l_suppkey")
-    return lambda spark, sf_dir: operator(stored_documents(spark, sf_dir, entity))
+    return lambda spark, sf_dir: operator(line_documents(spark, sf_dir, entity))
+
+
+def _with_folder(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        name_shared_folder(spark)
+        return query(spark, sf_dir)
 
+    return run
 
-QUERIES: dict[str, Query] = {name: _on_stored(name) for name in ON_DOCUMENTS} | {
+
+_ALL: dict[str, Query] = {name: _on_lines(name) for name in ON_DOCUMENTS} | {
     "daily_rollup_events": daily_rollup_events,
     "dimension_refined": dimension_refined,
     "dimension_trusted": dimension_trusted,
@@ -400,6 +426,7 @@ QUERIES: dict[str, Query] = {name: _on_stored(name) for name in ON_DOCUMENTS} |
     "documents_landing": documents_landing,
     "documents_recursive": documents_recursive,
     "documents_subtree": documents_subtree,
+    "documents_region": documents_region,
     "documents_compacted": documents_compacted,
     "table_years": table_years,
     "table_glob": table_glob,
@@ -417,3 +444,5 @@ QUERIES: dict[str, Query] = {name: _on_stored(name) for name in ON_DOCUMENTS} |
     "backfill_years": backfill_years,
     "refresh_month_job": refresh_month_job,
 }
+
+QUERIES: dict[str, Query] = {name: _with_folder(query) for name, query in _ALL.items()}

@@ -6,6 +6,7 @@ import pytest
 from build import document, documents, hours, two_months
 
 from chuvisco.functions import dictionary, period_path
+from chuvisco.operators import hourly_wide
 from chuvisco.plans import Lake, backfill, compact, compact_month, refresh_month, run_dimension
 from chuvisco.schemas import MUNICIPALITIES_WIDE, STATES
 from chuvisco.sinks import land_csv, land_documents
@@ -81,7 +82,7 @@ def test_last_delivery_of_a_month_wins(spark, lake, tmp_path):
         (folder / f"1_2023080120300{n}_x.json.gz").write_bytes(part.read_bytes())
     compact_month(spark, lake, when, latest=True)
     merged = read_table(spark, lake.merged("clima"))
-    assert merged.columns == ["codigo_ibge", "payload", "ano", "mes"]
+    assert merged.columns == ["codigo_ibge", "payload", "primeiro_dia", "ultimo_dia", "ano", "mes"]
     assert [r.payload.hourly.temperature_2m for r in merged.collect()] == [[7.0]]
     compact_month(spark, lake, when)
     assert read_table(spark, lake.merged("clima")).count() == 2
@@ -106,5 +107,33 @@ def test_backfill_by_year_of_the_day(spark, lake):
     assert daily(backfill(spark, lake, years=[2023])) == [every[0], every[2]]
     table = backfill(spark, lake)
     assert daily(table) == every
-    assert daily(backfill(spark, lake, years=[2023], document_years=[2023])) == [*every[:2], (1, 2023, "2023-01-01", 9.0)]
     assert "gerado_em" in table.columns
+    plan = hourly_wide(read_table(spark, lake.merged("clima")), start=date(2023, 1, 1))._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ultimo_dia,2023-01-01)" in plan
+
+
+def test_a_day_has_one_row_whatever_documents_hold_it(spark, lake):
+    docs = documents(
+        spark,
+        document(1, 2023, 12, ["2023-12-31T23:00", "2024-01-01T00:00"], [1.0, 1.0], [1.0, 2.0], [1.0, 1.0]),
+        document(1, 2024, 1, ["2024-01-01T01:00", "2024-02-01T00:00"], [1.0, 1.0], [4.0, 8.0], [1.0, 1.0]),
+    )
+    wanted = [(1, 2023, "2023-12-31", 1.0), (1, 2024, "2024-01-01", 3.0), (1, 2024, "2024-02-01", 8.0)]
+    for when in (date(2023, 12, 1), date(2024, 1, 1), date(2023, 12, 1)):
+        land(docs, lake, when)
+        table = refresh_month(spark, lake, when)
+    assert daily(table) == wanted
+    assert daily(backfill(spark, lake)) == wanted
+
+
+def test_a_month_without_documents_leaves_nothing(spark, lake, tmp_path):
+    docs, july = two_months(spark), date(2023, 7, 1)
+    for when in (july, date(2023, 8, 1)):
+        land(docs, lake, when)
+        refresh_month(spark, lake, when)
+    for file in (tmp_path / "lake" / "raw" / "clima" / "2023" / "07").glob("*.json.gz"):
+        file.write_bytes(b"")
+        file.rename(file.with_suffix(".bak"))
+    assert daily(refresh_month(spark, lake, july)) == [(1, 2023, "2023-08-01", 101.0)]
+    assert {r.mes for r in read_table(spark, lake.refined("clima/humidade")).collect()} == {8}
+    assert {r.mes for r in read_table(spark, lake.merged("clima")).collect()} == {8}

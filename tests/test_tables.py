@@ -13,11 +13,11 @@ from pyspark.sql import types as T
 
 from chuvisco.functions import annotate, dictionary, require_annotations, stamp
 from chuvisco.functions.metadata import MUNICIPALITY_COLUMNS, WEATHER_COLUMNS
-from chuvisco.operators import explode_metric, explode_time, merge_upsert, upsert_table
-import chuvisco.operators.upsert as upsert_module
+from chuvisco.operators import explode_metric, explode_time, latest_documents, merge_upsert, upsert_table
+from chuvisco.operators.upsert import _touched
 from chuvisco.schemas import DOCUMENT, MUNICIPALITIES, MUNICIPALITIES_WIDE, assert_schema
 from chuvisco.sinks import land_csv, land_documents, staged, work_path, write_table
-from chuvisco.sources import header_mismatch, read_csv, read_documents, read_table, register_views, spread
+from chuvisco.sources import header_mismatch, read_csv, read_documents, read_table, register_views
 
 ROWS = "codigo_ibge LONG, time TIMESTAMP_NTZ, valor DOUBLE"
 
@@ -60,6 +60,16 @@ def test_csv_binds_by_position_and_the_header_can_be_checked(spark, tmp_path):
         read_csv(spark, path, "codigo STRING, nome STRING", check_header=True)
 
 
+def test_header_of_every_file_is_checked(spark, tmp_path):
+    for name, text in (("a", "x,y,z\n1,2,3\n"), ("b", "y,x,z\n1,2,3\n")):
+        write_gzip(tmp_path / "in" / f"{name}.csv.gz", text)
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(tmp_path / "in"), "x INT, y INT", check_header=True).collect()
+    write_gzip(tmp_path / "in" / "b.csv.gz", "x,y,z\n4,5,6\n")
+    found = read_csv(spark, str(tmp_path / "in"), "x INT, y INT", check_header=True)
+    assert sorted(map(tuple, found.collect())) == [(1, 2), (4, 5)]
+
+
 def test_csv_lands_as_gzip_with_header(spark, tmp_path):
     path = str(tmp_path / "out")
     land_csv(spark.createDataFrame([(1, "São Paulo, capital")], "a INT, b STRING").coalesce(1), path)
@@ -112,6 +122,22 @@ def test_recursive_scan_takes_the_period_from_the_folders(spark, tmp_path, folde
     assert {r.ano for r in years.collect()} == {2023}
 
 
+def test_period_comes_from_the_folders_nearest_to_the_file(spark, tmp_path):
+    root = tmp_path / "1234" / "12" / "raw"
+    write_gzip(root / "2023" / "07" / "a.json.gz", json.dumps({"codigo_ibge": 1}))
+    for path, recursive in ((f"{root}/2023/07", False), (str(root), True)):
+        (row,) = read_documents(spark, path, recursive=recursive, period="month").collect()
+        assert (row.ano, row.mes) == (2023, 7)
+        assert read_documents(spark, path, recursive=recursive, period="year").first().ano == 2023
+
+
+def test_last_delivery_does_not_depend_on_row_order(spark):
+    rows = [document(1, 2023, 7, hours("2023-07-01", 1), [1.0], [v], [1.0]) for v in (9.0, 1.0, 5.0)]
+    for order in (rows, rows[::-1], [rows[1], rows[0], rows[2]]):
+        docs = documents(spark, *order).withColumns({"recebido_em": F.lit("20230801"), "documento": F.lit("a")})
+        assert [r.payload.hourly.temperature_2m for r in latest_documents(docs).collect()] == [[9.0]]
+
+
 def test_partitioned_landing_has_its_period_as_columns(spark, tmp_path):
     path = str(tmp_path / "landing")
     land_documents(two_months(spark), path, partition_by=("ano", "mes"))
@@ -210,15 +236,6 @@ def test_views_are_known_to_sql(spark):
     assert spark.sql("SELECT (SELECT count(*) FROM uma) + (SELECT count(*) FROM duas) AS n").first().n == 3
 
 
-def test_spread_splits_only_what_has_too_few_splits(spark, tmp_path):
-    write_gzip(tmp_path / "one.csv.gz", "a\n" + "1\n" * 100)
-    one = read_csv(spark, str(tmp_path / "one.csv.gz"), "a INT")
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(one).rdd.getNumPartitions() == cores and spread(one).count() == 100
-    many = spark.range(0, 100, numPartitions=cores)
-    assert spread(many) is many
-
-
 def test_schema_assertion(spark):
     df = spark.createDataFrame([(1, "x")], "a LONG, b STRING")
     assert assert_schema(df, "a LONG, b STRING") is df
@@ -227,6 +244,15 @@ def test_schema_assertion(spark):
             assert_schema(df, wrong)
 
 
+def test_a_session_without_a_shared_folder_is_refused(spark, monkeypatch, tmp_path):
+    named = {"spark.checkpoint.dir": None, "spark.chuvisco.workFolder": None}
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: named[key])
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_path(spark, "x")
+    named["spark.chuvisco.workFolder"] = str(tmp_path)
+    assert work_path(spark, "x").startswith(f"{tmp_path}/work-")
+
+
 def test_working_folder_is_the_one_the_session_names(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert work_path(spark, "x").startswith(f"{folder}/work-")
@@ -295,8 +321,11 @@ def test_upsert_replaces_every_old_row_of_a_key(spark):
 
 def test_upsert_refuses_a_repeated_key_and_missing_columns(spark):
     old, new = readings(spark, (1, 0, 1.0)), readings(spark, (1, 0, 2.0), (1, 0, 3.0))
-    with pytest.raises(ValueError, match="codigo_ibge"):
-        merge_upsert(old, new, ("codigo_ibge", "time"))
+    with pytest.raises(Exception, match="several rows have the key codigo_ibge=1"):
+        merge_upsert(old, new, ("codigo_ibge", "time")).collect()
+    unmatched = readings(spark, (9, 0, 2.0), (9, 0, 3.0))
+    with pytest.raises(Exception, match="several rows have the key codigo_ibge=9"):
+        merge_upsert(old, unmatched, ("codigo_ibge", "time")).collect()
     with pytest.raises(ValueError, match="valor"):
         merge_upsert(old, new.drop("valor"), ("codigo_ibge", "time"))
 
@@ -337,9 +366,39 @@ def test_table_upsert_rewrites_only_the_partitions_it_touches(spark, tmp_path):
     assert files(path, "dia=1/*.parquet") == untouched
 
 
-def test_table_upsert_joins_when_partitions_are_too_many_to_list(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(upsert_module, "MOST_LISTED", 1)
-    test_table_upsert_rewrites_only_the_partitions_it_touches(spark, tmp_path)
+@pytest.mark.parametrize("count", [5, 250])
+def test_scan_of_the_old_table_is_pruned_for_any_number_of_partitions(spark, tmp_path, count):
+    path = str(tmp_path / "t")
+    rows = spark.range(0, 600).select(F.col("id").cast("int").alias("dia"), F.col("id").alias("codigo"), F.lit(1.0).alias("valor"))
+    write_table(rows, path, partition_by=("dia",))
+    new = rows.filter(f"dia >= 100 AND dia < {100 + 2 * count} AND dia % 2 = 0").withColumn("valor", F.lit(2.0))
+    plan = _touched(read_table(spark, path), staged(new), ["dia"])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dia" in plan and ">= 100" in plan
+    untouched = files(path, "dia=101/*.parquet") + files(path, "dia=99/*.parquet")
+    upsert_table(new, path, ("dia", "codigo"), partition_by=("dia",))
+    assert read_table(spark, path).filter("valor = 2").count() == count and read_table(spark, path).count() == 600
+    assert files(path, "dia=101/*.parquet") + files(path, "dia=99/*.parquet") == untouched
+
+
+def test_a_failing_upsert_leaves_the_old_table_whole(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert_table(readings(spark, (1, 0, 1.0), (2, 0, 2.0)), path, ("codigo_ibge", "time"))
+    bad = readings(spark, (1, 0, 5.0)).withColumn("valor", F.raise_error(F.lit("broken")).cast("double"))
+    with pytest.raises(Exception, match="broken"):
+        upsert_table(bad, path, ("codigo_ibge", "time"))
+    with pytest.raises(Exception, match="several rows"):
+        upsert_table(readings(spark, (1, 0, 5.0), (1, 0, 6.0)), path, ("codigo_ibge", "time"))
+    assert values(read_table(spark, path)) == [(1, 0, 1.0), (2, 0, 2.0)]
+    assert os.listdir(tmp_path) == ["t"]
+
+
+def test_upsert_moves_large_inputs_three_times_at_most(spark, settings, plan_after_run):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    keys = spark.range(0, 1000, numPartitions=4)
+    old = keys.select(F.col("id").alias("k"), F.xxhash64("id").alias("v"))
+    new = keys.select((F.col("id") + 500).alias("k"), F.lit(1).cast("long").alias("v"))
+    plan = plan_after_run(merge_upsert(old, new, ["k"])).split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning") <= 4  # the old keys once more, without their rows
 
 
 def test_table_upsert_without_partitions(spark, tmp_path):
@@ -349,7 +408,7 @@ def test_table_upsert_without_partitions(spark, tmp_path):
     assert values(read_table(spark, path)) == [(1, 0, 5.0), (2, 0, 2.0)]
     with pytest.raises(ValueError, match="not keys"):
         upsert_table(readings(spark, (1, 0, 5.0)), path, ("codigo_ibge",), partition_by=("time",))
-    with pytest.raises(ValueError, match="several rows"):
+    with pytest.raises(Exception, match="several rows"):
         upsert_table(readings(spark, (1, 0, 5.0), (1, 0, 6.0)), str(tmp_path / "u"), ("codigo_ibge", "time"))
 
 
