@@ -22,6 +22,7 @@ from registry.queries import ENTITIES, ON_DOCUMENTS, QUERIES
 
 WHOLE = (
     "daily_rollup_events",
+    "month_documents_daily",
     "dimension_refined",
     "dimension_by_region",
     "csv_landing",

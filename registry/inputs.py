@@ -99,6 +99,51 @@ def line_documents(spark: SparkSession, sf_dir: str, entity: str = "l_suppkey")
     )
 
 
+def month_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document of one month of hourly readings per customer, under the default key of entity, year and month.
+
+    Every third customer lacks each fifth value of humidity, every tenth has no wind.
+    """
+    key, last = F.col("c_custkey"), F.last_day("first").cast("date")
+    customers = table(spark, sf_dir, "customer").hint("rebalance")
+    dated = customers.withColumns(
+        {"ano": (2008 + key % 3).cast("int"), "mes": (1 + F.floor(key / 3) % 12).cast("int")}
+    ).withColumn("first", F.make_date("ano", "mes", F.lit(1)))
+    positions = F.sequence(F.lit(0), F.dayofmonth(last) * 24 - 1)
+
+    def each(value) -> Column:
+        return F.transform(positions, value)
+
+    def wall_clock(i: Column) -> Column:
+        day = F.date_add(F.col("first"), F.floor(i / 24).cast("int")).cast("string")
+        return F.concat(day, F.lit("T"), F.lpad((i % 24).cast("string"), 2, "0"), F.lit(":00"))
+
+    cents = F.round(F.col("c_acctbal") * 100)
+    hourly = F.struct(
+        each(wall_clock).alias("time"),
+        each(lambda i: F.when((key % 3 != 0) | (i % 5 != 0), ((key * 7 + i) % 100).cast("double"))).alias("relativehumidity_2m"),
+        each(lambda i: cents - i).alias("temperature_2m"),
+        F.when(key % 10 != 0, each(lambda i: (i % 30).cast("double"))).alias("windspeed_10m"),
+    )
+    units = F.struct(
+        F.lit("iso8601").alias("time"),
+        F.lit("%").alias("relativehumidity_2m"),
+        F.lit("°C").alias("temperature_2m"),
+        F.lit("km/h").alias("windspeed_10m"),
+    )
+    payload = F.struct(
+        F.col("c_acctbal").alias("elevation"),
+        F.lit(0.0).alias("latitude"),
+        F.lit(0.0).alias("longitude"),
+        F.lit("UTC").alias("timezone"),
+        F.lit("UTC").alias("timezone_abbreviation"),
+        F.lit(0).cast("long").alias("utc_offset_seconds"),
+        hourly.alias("hourly"),
+        units.alias("hourly_units"),
+    )
+    return dated.select(key.alias("codigo_ibge"), payload.alias("payload"), "ano", "mes")
+
+
 def stored_documents(spark: SparkSession, sf_dir: str, entity: str = "l_suppkey") -> DataFrame:
     """The documents of the order lines as a Parquet table, as operators find them in a lake."""
     return staged(line_documents(spark, sf_dir, entity), "documents")

@@ -69,6 +69,18 @@ SELECT l_suppkey AS codigo_ibge, data, CAST(year(data) AS INTEGER) AS ano, CAST(
     {_MEASURES}
 FROM wide {{where}} GROUP BY l_suppkey, data"""
 
+_MONTHS = f"""WITH docs AS (
+    SELECT c_custkey, c_acctbal, make_date(2008 + c_custkey % 3, 1 + c_custkey // 3 % 12, 1) AS first FROM customer
+), readings AS (
+    SELECT *, CAST(unnest(range(24 * day(last_day(first)))) AS INTEGER) AS idx FROM docs WHERE c_custkey % 10 <> 0
+), wide AS (
+    SELECT c_custkey AS codigo_ibge, first + CAST(idx // 24 AS INTEGER) AS data,
+           CASE WHEN c_custkey % 3 <> 0 OR idx % 5 <> 0 THEN CAST((c_custkey * 7 + idx) % 100 AS DOUBLE) END AS relativehumidity_2m,
+           round(c_acctbal * 100) - idx AS temperature_2m, CAST(idx % 30 AS DOUBLE) AS windspeed_10m
+    FROM readings
+)
+SELECT codigo_ibge, CAST(data AS DATE) AS data, {_MEASURES} FROM wide {{where}} GROUP BY codigo_ibge, CAST(data AS DATE)"""
+
 _DIMENSION = """
     SELECT DISTINCT c_custkey AS codigo_ibge, c_name AS nome, c_acctbal AS latitude, c_acctbal / 2 AS longitude,
            nullif(c_nationkey, 0) = 1 AS e_capital, concat('N', n_nationkey) AS uf, n_name AS nome_estado,
@@ -162,6 +174,9 @@ FROM wide""",
 SELECT user_id, CAST(ts AS DATE) AS data, ROUND(AVG(value), 6) AS valor_media,
     MIN(value) AS valor_minima, MAX(value) AS valor_maxima
 FROM events GROUP BY user_id, CAST(ts AS DATE)""",
+    "month_documents_daily": _MONTHS.format(where=""),
+    "month_documents_range": _MONTHS.format(where="WHERE data BETWEEN DATE '2009-12-20' AND DATE '2010-02-10'"),
+    "month_documents_components": _MONTHS.format(where=""),
     "dimension_refined": _DIMENSION,
     "dimension_trusted": _TRUSTED,
     "dimension_annotated": _DIMENSION,

@@ -22,6 +22,7 @@ from registry.inputs import (
     LINE_ENVELOPE,
     LINES,
     line_documents,
+    month_documents,
     municipalities,
     name_shared_folder,
     orders_history,
@@ -133,6 +134,23 @@ def daily_rollup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.withColumn("valor_media", F.round("valor_media", 6))
 
 
+def month_documents_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months of hourly readings under the default key of documents."""
+    return ops.daily_rollup(ops.hourly_wide(month_documents(spark, sf_dir)))
+
+
+def month_documents_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days across the turn of a year, from a merged table whose documents carry their days."""
+    lake, days = Lake(work_path(spark, "lake")), (date(2009, 12, 20), date(2010, 2, 10))
+    compact(month_documents(spark, sf_dir), lake)
+    return ops.daily_rollup(ops.hourly_wide(read_table(spark, lake.merged("clima")), start=days[0], end=days[1]))
+
+
+def month_documents_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four tables of the months, aligned by position."""
+    return ops.rollup_components(ops.components(_merged(month_documents(spark, sf_dir))))
+
+
 # Dimension
 
 
@@ -416,6 +434,9 @@ def _with_folder(query: Query) -> Query:
 
 _ALL: dict[str, Query] = {name: _on_lines(name) for name in ON_DOCUMENTS} | {
     "daily_rollup_events": daily_rollup_events,
+    "month_documents_daily": month_documents_daily,
+    "month_documents_range": month_documents_range,
+    "month_documents_components": month_documents_components,
     "dimension_refined": dimension_refined,
     "dimension_trusted": dimension_trusted,
     "dimension_annotated": dimension_annotated,
