@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 from collections.abc import Iterator
+from contextlib import suppress
 from functools import cache
 from uuid import uuid4
 
@@ -14,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a task turns into arrays at once.
-STEP = 4 << 20
+STEP = 1 << 20
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -70,7 +72,15 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = STEP) -> Iterator[pa.RecordBatch]:
-    """The batches, cut where ``limit`` bytes of text come together; a longer text stays whole."""
+    """The batches, cut where ``limit`` bytes of text come together; a longer text stays whole. After the last one the
+    worker gives unused memory back, as it may wait long for its next task."""
+    yield from _cut(batches, column, limit)
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    pa.default_memory_pool().release_unused()
+
+
+def _cut(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -102,7 +112,7 @@ def _powers(base: int, exponent: int) -> tuple[np.ndarray, np.ndarray]:
 
 def stretch_hashes(data: np.ndarray, base: int):
     """A function that gives the polynomial hash, modulo 2**64, of any stretches of ``data``, wherever they stand."""
-    up, down = _powers(base, max(22, (len(data) + 1).bit_length()))
+    up, down = _powers(base, max(20, (len(data) + 1).bit_length()))
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
     return lambda start, end: (sums[end] - sums[start]) * down[start]

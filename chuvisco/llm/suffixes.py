@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from chuvisco.llm.shared import among, flat, slices, stored, stretch_hashes, table
 
 #: Bytes of contexts that one suffix array takes together.
-BUCKET = 1 << 17
+BUCKET = 1 << 16
 #: Windows of a context that are looked at together once their key is known to have unlike contexts.
 PIECE = 32
 #: Different contexts of one piece's key beyond which its windows are compared one by one instead.
@@ -217,8 +217,8 @@ def _spans(found: DataFrame, width: int, reach: int) -> DataFrame:
                 )
 
     marks = stored(found.mapInArrow(emit, "row long, doc_id long, at int, lo int, hi int, key long, ctx long"))
-    twice = marks.groupBy("key").count().where("count > 1").select("key")
-    likely = stored(marks.join(twice, "key"))
+    twice = stored(marks.groupBy("key").count().where("count > 1").select("key"))
+    likely = stored(among(marks, twice, "key"))
     # copies of a whole context: each of its windows occurs as often; one of them stands for all from here on
     contexts = likely.groupBy("key", "ctx").agg(F.count("*").alias("copies"), F.min(F.struct("row", "doc_id", "at", "lo", "hi")).alias("rep"))
     copied = likely.join(contexts.where("copies > 1").select("key", "ctx"), ["key", "ctx"]).select("row", "doc_id", "lo", "hi")
@@ -348,7 +348,7 @@ def with_repeats(docs: DataFrame, width: int = 400, reach: int = 0, key: str = "
 
     Only texts in which something repeats are moved. Rows without text have no repeats.
     """
-    reach = reach or max(1, min(256, width - 144))
+    reach = reach or max(1, min(256, max(width - 144, width // 2)))
     if width < 16 + reach:
         raise ValueError("width must be 17 at least")
     marked = docs.withColumn("__row", F.xxhash64(F.col(text).cast("string"), F.col(key).cast("long")))
@@ -390,7 +390,7 @@ def remove_repeats(docs: DataFrame, width: int = 400, key: str = "doc_id", text:
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = pc.fill_null(batch.column("text").cast(pa.large_binary()), b"")
             columns = {n: [] for n in _REMOVED.names} | {"doc_id": batch.column("doc_id")}
             for value, repeats in zip(texts, batch.column("__repeats").to_pylist(), strict=True):
@@ -412,7 +412,7 @@ def without_repeats(docs: DataFrame, width: int = 400, key: str = "doc_id", text
     place, schema = docs.columns.index(text), docs.schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, text):
             columns = list(batch.columns[:-1])
             values = columns[place].to_pylist()
             for i, repeats in enumerate(batch.columns[-1].to_pylist()):

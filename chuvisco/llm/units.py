@@ -15,8 +15,9 @@ import pyarrow.compute as pc
 
 from chuvisco.llm.shared import strings
 
-#: Units kept per Python worker; the store is emptied when it is full.
-KEPT = 400_000
+#: Units in a store of a Python worker. Two are kept: when the newer one is full, it takes the place of the older one, so
+#: units that keep coming stay known.
+KEPT = 120_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -37,7 +38,7 @@ def _tokenizer(path: str):
 
     made = Tokenizer.from_file(path)
     special = tuple(t.content.encode() for t in made.get_added_tokens_decoder().values())
-    return made, special, {}
+    return made, special, [{}, {}]
 
 
 def unit_starts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -60,7 +61,7 @@ def unit_starts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 def encode(path: str, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts one after another, and where each text's ids start (and the last ones end)."""
-    made, special, store = _tokenizer(path)
+    made, special, stores = _tokenizer(path)
     texts = len(starts) - 1
     if any(data.tobytes().find(s) >= 0 for s in special):
         whole = [bytes(data[a:b]).decode("utf-8", "replace") for a, b in zip(starts[:-1], starts[1:], strict=True)]
@@ -71,14 +72,16 @@ def encode(path: str, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray,
         return np.zeros(0, np.uint32), np.zeros(texts + 1, np.int64)
     coded = pc.dictionary_encode(strings(data, cuts))
     units = coded.dictionary.to_pylist()
-    known = [store.get(u) for u in units]
+    older, newer = stores
+    if len(newer) > KEPT:
+        older, newer = stores[:] = newer, {}
+    known = [newer.get(u) or older.get(u) for u in units]
     lacking = [i for i, k in enumerate(known) if k is None]
+    newer.update(zip(units, known, strict=True))
     if lacking:
-        if len(store) + len(lacking) > KEPT:
-            store.clear()
         fresh = made.encode_batch_fast([units[i].decode("utf-8", "replace") for i in lacking], add_special_tokens=False)
         for i, e in zip(lacking, fresh, strict=True):
-            store[units[i]] = known[i] = np.array(e.ids, np.uint32).tobytes()
+            newer[units[i]] = known[i] = np.array(e.ids, np.uint32).tobytes()
     held = np.frombuffer(b"".join(known), np.uint32)
     length = np.fromiter(map(len, known), np.int64, len(known)) // 4
     first = np.r_[0, np.cumsum(length)[:-1]]
