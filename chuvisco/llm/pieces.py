@@ -21,7 +21,7 @@ SPACE = "▁"
 #: Letters of a unit up to which all units are merged side by side; longer ones have an agenda of their own.
 SHORT = 48
 #: Bytes of text whose units are segmented together.
-STEP = 12 << 20
+STEP = 3 << 20
 _NEVER = np.int64(1) << 40
 _BASE = 0x9E3779B97F4A7C15
 
