@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import lzma
@@ -31,7 +30,15 @@ _UNICODE = re.compile(
     r"(?:\\u[dD][89abAB][0-9A-Fa-f]{2}\\u[dD][c-fC-F][0-9A-Fa-f]{2})|\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})"
     r"|\\x([0-9A-Fa-f]{2})|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});"
 )
-_CODED = re.compile(r"[A-Za-z0-9+/]{12,}={0,2}|[A-Za-z0-9_-]{12,}={0,2}")
+#: A run of both base64 alphabets, line breaks inside it included, and what may stand in it where compressed bytes begin.
+_CODED = re.compile(
+    r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{12}|[A-Za-z0-9+/_-]++[ \t]*+[\r\n])[A-Za-z0-9+/_-]+(?:(?:[ \t]*+[\r\n])++[ \t]*+[A-Za-z0-9+/_-]+)*={0,2}"
+)
+_PACKED = re.compile(r"(?=H4sI|e[A-P][A-Za-z0-9+/]|Qlpo|/Td6WFoA)")
+_ALPHABET = str.maketrans("-_", "+/", " \t\r\n")
+#: No secret, and no code for one, is without so many of these in a row.
+_PLAIN = re.compile(rb"[\t\r\n\x20-\x7e]{12}")
+_UTF8 = re.compile(rb"(?:[\x00-\x7f]|[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3})+")
 
 #: What a text must hold for a step to find anything, for a first look at many texts at once.
 _HINTS = {
@@ -40,7 +47,7 @@ _HINTS = {
     "hex": r"[0-9a-f]{24}",
     "escaped": r"%[0-9A-Fa-f]{2}",
     "unicode": r"\\[ux]|&#",
-    "coded": r"[A-Za-z0-9+/_-]{12}",
+    "coded": r"[A-Za-z0-9+/_-](?:(?:[ \t]*[\r\n][\r\n\t ]*)?[A-Za-z0-9+/_-]){11}",
 }
 
 
@@ -142,10 +149,15 @@ class _Room:
         return True
 
 
-def _unpacked(data: bytes, room: _Room) -> bytes | None:
-    """``data`` without its compressed layers; None if there is no room for them."""
-    seen = set()
-    while data not in seen:
+class _Full(Exception):
+    """There is no room for a layer."""
+
+
+def _unpacked(data: memoryview, room: _Room) -> tuple[bytes, int] | None:
+    """What the compressed bytes that ``data`` begins with hold, without further compressed layers, and how many they
+    are; None if it does not begin with such."""
+    found, seen = None, set()
+    while True:
         if data[:2] == b"\x1f\x8b":
             codec = zlib.decompressobj(31)
         elif data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0:
@@ -155,30 +167,75 @@ def _unpacked(data: bytes, room: _Room) -> bytes | None:
         elif data[:6] == b"\xfd7zXZ\x00":
             codec = lzma.LZMADecompressor()
         else:
-            return data
-        seen.add(data)
+            return found
         try:
             out = codec.decompress(data, room.left + 1)
         except (zlib.error, OSError, lzma.LZMAError, EOFError):
-            return data
+            return found
         if not room.take(len(out)):
-            return None
+            raise _Full
+        found = out, found[1] if found else len(data) - len(codec.unused_data)
+        if out in seen:
+            return found
+        seen.add(out)
         data = out
-    return data
 
 
 def _coded(layer: Layer, room: _Room) -> Iterator[Layer]:
+    """What base64 runs hold. Both alphabets are read as one and line breaks are left out. Where in a run the code begins
+    is not known (a path or a word may stand before it), so it is read from each of four places on, which are all there
+    are: compressed bytes are looked for everywhere, other text is what is UTF-8."""
     for m in _CODED.finditer(layer.text):
-        body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        if len(body) % 4 == 1:
-            body = body[:-1]
-        try:
-            data = _unpacked(base64.b64decode(body + "=" * (-len(body) % 4)), room)
-            text = data.decode() if data else ""
-        except (binascii.Error, UnicodeDecodeError):
+        if m.end() - m.start() < 12:
+            continue
+        run = m[0].rstrip("=")
+        body = run.translate(_ALPHABET)
+        n = len(body)
+        if n < 12:
+            continue
+
+        def stretch(first: int, last: int) -> tuple[int, int]:
+            if n < len(run):
+                kept = [i for i, c in enumerate(run) if c not in " \t\r\n"]
+                begin, end = kept[first], kept[min(last, n) - 1] + 1
+            else:
+                begin, end = first, last
+            return layer.origin(m.start() + begin, m.end() if last >= n - 1 else m.start() + end)
+
+        phases: dict[int, bytes] = {}
+
+        def phase(p: int) -> bytes:
+            if p not in phases:
+                text = body[p : n - (n - p) % 4] if (n - p) % 4 == 1 else body[p:]
+                phases[p] = base64.b64decode(text + "=" * (-len(text) % 4))
+            return phases[p]
+
+        until, packed = 0, []
+        for hit in _PACKED.finditer(body):
+            first = hit.start()
+            if first < until:
+                continue
+            try:
+                found = _unpacked(memoryview(phase(first % 4))[first // 4 * 3 :], room)
+            except _Full:
+                continue
+            if found:
+                until = first + -(-found[1] * 4 // 3)
+                packed.append((first, until))
+                if _PLAIN.search(found[0]):
+                    yield Layer(found[0].decode("utf-8", "replace"), region=stretch(first, until))
+        if n < 16:
             continue
-        if text and all(c.isprintable() or c in "\t\r\n" for c in text):
-            yield Layer(text, region=layer.origin(*m.span()))
+        for p in range(4):
+            data = phase(p)
+            if not _PLAIN.search(data):
+                continue
+            for part in _UTF8.finditer(data):
+                if _PLAIN.search(part[0]):
+                    ends = p + part.start() * 4 // 3, p + -(-part.end() * 4 // 3)
+                    # names and short contents stand readable in compressed bytes, all of which are then the stretch
+                    whole = next(((a, b) for a, b in packed if a <= ends[0] < b), ends)
+                    yield Layer(part[0].decode("utf-8", "replace"), region=stretch(*whole))
 
 
 def find_secrets(text: str, hints: set[str], most: int) -> tuple[list, set, int, int]:

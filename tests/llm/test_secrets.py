@@ -3,14 +3,16 @@ import bz2
 import gzip
 import hashlib
 import lzma
+import random
 import re
 import urllib.parse
 import zlib
 
+import pyarrow as pa
 import pytest
 
 from chuvisco.llm.queries import op3_secret_scans
-from chuvisco.llm.secrets import base_spans, find_secrets, redact, scan_secrets
+from chuvisco.llm.secrets import base_spans, find_secrets, hints_of, redact, scan_secrets
 
 ALL = {"assign", "access", "hex", "escaped", "unicode", "coded"}
 SECRET = "password = hunter22"
@@ -48,6 +50,29 @@ def test_layers_are_unwrapped_and_mapped(inner):
         assert (start, end) == (9, 9 + len(inner))
 
 
+def wrapped(code, columns, end="\n"):
+    return end.join(code[i : i + columns] for i in range(0, len(code), columns))
+
+
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, zlib.compress, bz2.compress, lzma.compress])
+def test_alphabets_paths_and_lines(pack):
+    rng = random.Random(5)
+    for i in range(40):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(25)]
+        data = pack(" ".join([*words[:12], f"password = hunter{i:05}", *words[12:]]).encode())
+        plain, safe = base64.b64encode(data).decode(), base64.urlsafe_b64encode(data).decode()
+        for code in (plain, safe, safe.rstrip("="), wrapped(plain, 76), wrapped(safe, 64, "\r\n  "), wrapped(plain, 10)):
+            for before in ("", "see ", "below\n", "https://h.example/path/", "a/", "a_", "ab-", "abc/"):
+                spans, refused = hidden(f"é {before}{code} after")
+                (start, end) = next((a, b) for kind, a, b in spans if kind == "assign")
+                assert not refused and 2 <= start <= 2 + len(before) + 48 * 4 and end <= 2 + len(before + code)
+
+
+def test_runs_inside_a_line_break_are_hinted():
+    code = wrapped(base64.b64encode(SECRET.encode()).decode(), 7)
+    assert "coded" in hints_of(pa.array([code]))[0]
+
+
 def test_escapes_map_code_point_by_code_point():
     assert hidden("x tok%65n=abc%64ef y")[0] == {("assign", 2, 18)}
 
