@@ -10,7 +10,9 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -18,6 +20,8 @@ from pyspark.sql import DataFrame
 from chuvisco.llm.shared import slices, table, texts_of
 
 KINDS = ("assign", "access", "hex")
+#: How often the layers that are not compressed may be as long as the document together; see ``_Room``.
+DEPTH = 64
 _ORDER = {kind: i for i, kind in enumerate(KINDS)}
 _ASSIGN = re.compile(
     r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.IGNORECASE | re.ASCII
@@ -35,6 +39,8 @@ _CODED = re.compile(
     r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{12}|[A-Za-z0-9+/_-]++[ \t]*+[\r\n])[A-Za-z0-9+/_-]+(?:(?:[ \t]*+[\r\n])++[ \t]*+[A-Za-z0-9+/_-]+)*={0,2}"
 )
 _PACKED = re.compile(r"(?=H4sI|e[A-P][A-Za-z0-9+/]|Qlpo|/Td6WFoA)")
+#: A word and a blank after it that no pattern and no code crosses.
+_CUT = re.compile(r"(?<!\S)[^\s%\\&:=\"']++\x20(?=[^\s%\\&:=\"'])")
 _ALPHABET = str.maketrans("-_", "+/", " \t\r\n")
 #: No secret, and no code for one, is without so many of these in a row.
 _PLAIN = re.compile(rb"[\t\r\n\x20-\x7e]{12}")
@@ -69,14 +75,22 @@ class Layer:
     document's own text), or all of it from one stretch (``region``)."""
 
     text: str
-    starts: list[int] | None = None
-    ends: list[int] | None = None
+    starts: np.ndarray | None = None
+    ends: np.ndarray | None = None
     region: tuple[int, int] | None = None
 
     def origin(self, start: int, end: int) -> tuple[int, int]:
         if self.region:
             return self.region
-        return (self.starts[start], self.ends[end - 1]) if self.starts is not None else (start, end)
+        return (int(self.starts[start]), int(self.ends[end - 1])) if self.starts is not None else (start, end)
+
+    def part(self, start: int, end: int) -> Layer:
+        text = self.text[start:end]
+        if self.region:
+            return Layer(text, region=self.region)
+        if self.starts is not None:
+            return Layer(text, self.starts[start:end], self.ends[start:end])
+        return Layer(text, np.arange(start, end, dtype=np.int32), np.arange(start + 1, end + 1, dtype=np.int32))
 
     def replaced(self, found: list[tuple[int, int, str]]) -> Layer:
         """With stretches replaced by other text, each of whose code points comes from the whole stretch."""
@@ -87,17 +101,33 @@ class Layer:
         parts.append(self.text[at:])
         if self.region:
             return Layer("".join(parts), region=self.region)
-        starts, ends, at = [], [], 0
-        own = (self.starts, self.ends) if self.starts is not None else (range(len(self.text)), range(1, len(self.text) + 1))
-        for start, end, text in [*found, (len(self.text), len(self.text), "")]:
-            starts += own[0][at:start]
-            ends += own[1][at:start]
-            if text:
-                a, b = self.origin(start, end)
-                starts += [a] * len(text)
-                ends += [b] * len(text)
-            at = end
-        return Layer("".join(parts), starts, ends)
+        size = np.ones(len(self.text), np.int32)
+        first = np.array([f[0] for f in found])
+        inner = np.zeros(len(self.text) + 1, np.int32)
+        np.add.at(inner, first, 1)
+        np.add.at(inner, [f[1] for f in found], -1)
+        size[np.cumsum(inner[:-1]) > 0] = 0
+        size[first] = [len(f[2]) for f in found]
+        starts, ends = self.starts.copy(), self.ends.copy()
+        ends[first] = self.ends[[f[1] - 1 for f in found]]
+        return Layer("".join(parts), np.repeat(starts, size), np.repeat(ends, size))
+
+
+def _escapes(layer: Layer) -> Iterator[Layer]:
+    """The stretches of a text that hold escapes, up to where nothing reaches across: a single blank between what is no
+    part of an escape, a quote or a sign of assignment."""
+    text = layer.text
+    first = min((m.start() for m in (_ESCAPED.search(text), _UNICODE.search(text)) if m), default=-1)
+    if first < 0:
+        return
+    begin = 0
+    for m in _CUT.finditer(text):
+        if m.end() > first:
+            if _ESCAPED.search(text, begin, m.end()) or _UNICODE.search(text, begin, m.end()):
+                yield layer.part(begin, m.end())
+        begin = m.end()
+    if _ESCAPED.search(text, begin) or _UNICODE.search(text, begin):
+        yield layer.part(begin, len(text))
 
 
 def _url(layer: Layer) -> Iterator[Layer]:
@@ -136,16 +166,24 @@ def _unicode(layer: Layer) -> Iterator[Layer]:
 
 
 class _Room:
-    """What one document may still unpack, so that a few compressed bytes cannot fill a task's memory."""
+    """What one document may still unpack, so that a few compressed bytes cannot fill a task's memory; and how much text
+    its other layers, which are never longer than what they come from, may be looked at together: ``DEPTH`` times the
+    document and what was unpacked, beside ``most``, so that no depth of codes takes more than linear time."""
 
-    def __init__(self, most: int):
-        self.left, self.refused = most, 0
+    def __init__(self, most: int, length: int):
+        self.left, self.steps, self.refused = most, most + DEPTH * length, []
 
     def take(self, n: int) -> bool:
         if n > self.left:
-            self.refused += 1
             return False
         self.left -= n
+        self.steps += DEPTH * n
+        return True
+
+    def look(self, n: int) -> bool:
+        if n > self.steps:
+            return False
+        self.steps -= n
         return True
 
 
@@ -218,6 +256,7 @@ def _coded(layer: Layer, room: _Room) -> Iterator[Layer]:
             try:
                 found = _unpacked(memoryview(phase(first % 4))[first // 4 * 3 :], room)
             except _Full:
+                room.refused.append(stretch(first, n))
                 continue
             if found:
                 until = first + -(-found[1] * 4 // 3)
@@ -239,22 +278,36 @@ def _coded(layer: Layer, room: _Room) -> Iterator[Layer]:
 
 
 def find_secrets(text: str, hints: set[str], most: int) -> tuple[list, set, int, int]:
-    """Base spans; all spans, those of inner layers where the outermost encoded text stands; layers; layers refused.
+    """Base spans; all spans, those of inner layers where the outermost encoded text stands; layers; layers refused."""
+    base, spans, layers, refused = search(text, hints, most)
+    return base, spans, layers, len(refused)
+
+
+def search(text: str, hints: set[str], most: int) -> tuple[list, set, int, list[tuple[int, int]]]:
+    """The same, with the stretches of the document that hold the refused layers.
 
     A worklist holds the layers not yet looked at. Each is searched, and what its escapes, escapes of code points and
-    base64 runs (unpacked if compressed) decode to is put on the list, until nothing new comes. A layer that was seen
-    at the same place of the document is not looked at again, which also ends cycles.
+    base64 runs (unpacked if compressed) decode to is put on the list, until nothing new comes. Escapes are decoded in
+    the stretches that hold them, as far as a pattern may reach around them. A layer that was seen at the same place of
+    the document is not looked at again, which also ends cycles.
     """
     base = base_spans(text, hints)
-    spans, room = set(base), _Room(most)
+    spans, room = set(base), _Room(most, len(text))
     if not hints & {"escaped", "unicode", "coded"}:
-        return base, spans, 0, 0
-    work, seen, layers = [Layer(text)], {(None, text)}, 0
+        return base, spans, 0, []
+    work, seen, layers = [Layer(text)], set(), 0
     while work:
         layer = work.pop()
-        for inner in (*_url(layer), *_unicode(layer), *_coded(layer, room)):
-            mark = (inner.region, inner.text)
-            if mark in seen or not room.take(len(inner.text)):
+        decoded = (inner for part in _escapes(layer) for step in (_url, _unicode) for inner in step(part))
+        for inner in chain(decoded, _coded(layer, room)):
+            if not inner.text:
+                continue
+            place = inner.origin(0, len(inner.text))
+            mark = (inner.region is None, place, inner.text)
+            if mark in seen:
+                continue
+            if not room.look(len(inner.text)):
+                room.refused.append(place)
                 continue
             seen.add(mark)
             layers += 1
@@ -296,8 +349,9 @@ def scan_secrets(docs: DataFrame, most: int = 64 << 20, key: str = "doc_id", tex
     """Spans of secrets in each whole text, a row per row of ``docs``.
 
     ``n_assign``, ``n_access``, ``n_hex`` and ``base_sha256`` are of the text as it stands; ``spans`` adds those of
-    decoded layers. ``most`` is the number of characters and unpacked bytes all layers of one document may have
-    together; layers beyond it are not looked at and are counted in ``n_refused``. Null is an empty text, which has no
+    decoded layers. ``most`` is the number of bytes all compressed layers of one document may unpack to together; layers
+    beyond it, and those of codes in codes after ``DEPTH`` times the document's length of other layers and as much again
+    as ``most``, are not looked at and are counted in ``n_refused``. Null is an empty text, which has no
     spans; null and repeated keys are rows like any other; other columns are not looked at.
     """
 
@@ -326,8 +380,9 @@ def scan_secrets(docs: DataFrame, most: int = 64 << 20, key: str = "doc_id", tex
 
 
 def redact(docs: DataFrame, mask: str = "[SECRET]", most: int = 64 << 20, text: str = "text") -> DataFrame:
-    """``docs`` with every span of a secret replaced by ``mask``; spans that touch or overlap get one. All other columns
-    and rows stay, null texts stay null."""
+    """``docs`` with every span of a secret replaced by ``mask``; spans that touch or overlap get one. A stretch whose
+    layers there is no room for (see ``scan_secrets``) may hide a secret and is masked as a whole. All other columns and
+    rows stay, null texts stay null."""
     place = docs.columns.index(text)
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -337,8 +392,8 @@ def redact(docs: DataFrame, mask: str = "[SECRET]", most: int = 64 << 20, text:
             out = values.to_pylist()
             for i, hints in enumerate(hints_of(texts)):
                 if hints:
-                    spans = find_secrets(out[i], hints, most)[1]
-                    out[i] = _masked(out[i], spans, mask)
+                    _, spans, _, refused = search(out[i], hints, most)
+                    out[i] = _masked(out[i], spans | {("refused", *place) for place in refused}, mask)
             columns = list(batch.columns)
             columns[place] = pa.array(out, values.type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)

@@ -11,6 +11,7 @@ import zlib
 import pyarrow as pa
 import pytest
 
+from chuvisco.llm import secrets
 from chuvisco.llm.queries import op3_secret_scans
 from chuvisco.llm.secrets import base_spans, find_secrets, hints_of, redact, scan_secrets
 
@@ -83,6 +84,43 @@ def test_ends_on_cycles_and_on_bombs():
     assert hidden("%2525252525 \\u005cu0025 &#38;#37;")[1] == 0
 
 
+@pytest.mark.parametrize("odd", ["\xa0", "\u200d", "\xad", "\ufeff", "\0", "\f"])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress])
+def test_characters_that_do_not_print_hide_nothing(odd, pack):
+    code = base64.b64encode(pack(f"one{odd}two {SECRET} three{odd}".encode())).decode()
+    assert hidden(f"see {code} after")[0] == {("assign", 4, 4 + len(code))}
+
+
+def test_escapes_take_no_room_and_map_within_long_texts():
+    plain = "some words, and others. " * 2000
+    text = f"{plain}tok%65n=abc%64ef {plain}pass%2577ord = \\u0068unter22 {plain}password%3A hunter22 {plain}password %3D hunter23"
+    spans, refused = hidden(text, 100)
+    assert not refused
+    at = [text.index(s) for s in ("tok%", "pass%25", "password%3A", "password %3D")]
+    ends = [at[0] + 16, at[1] + 28, at[2] + 20, at[3] + 21]
+    assert {("assign", a, b) for a, b in zip(at, ends)} <= spans
+    # nested beyond what may be looked at: counted, not endless
+    assert hidden("%" + "25" * 5000 + "41", 100)[1] == 1
+
+
+def test_split_runs_give_the_same_as_whole_texts():
+    rng = random.Random(9)
+    parts = ["password", " ", " ", ":", "=", "%3A", "%20", "\\u003d", "hunter22", "word", "&#61;", "\n", "\"", "%0A", CODED[:8], CODED[8:], "%2525", "41", "."]
+    for _ in range(4000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(3, 14)))
+        split = find_secrets(text, ALL, 1 << 20)[1]
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(secrets, "_CUT", re.compile("(?!)"))
+            assert find_secrets(text, ALL, 1 << 20)[1] == split, text
+
+
+def test_what_cannot_be_looked_at_is_masked(spark):
+    bomb = base64.b64encode(gzip.compress(b"a b " * (1 << 20) + SECRET.encode())).decode()
+    df = spark.createDataFrame([(1, f"before {bomb} after"), (2, "all is well %41")], "doc_id long, text string")
+    assert [r.text for r in redact(df, most=1 << 20).collect()] == ["before [SECRET] after", "all is well %41"]
+    assert [r.n_refused for r in scan_secrets(df, most=1 << 20).collect()] == [1, 0]
+
+
 def test_failing_matches_still_take_their_text():
     assert base_spans("token=token:abcdef") == []
     assert base_spans("to\u212aen=abcdef \u017fecret=abcdef") == []  # letters of other scripts that fold to ASCII
