@@ -17,6 +17,9 @@ from chuvisco.llm.shared import flat, slices, table, texts_of
 #: Features: byte pairs as they are, and byte triples hashed to as many places.
 PLACES = 1 << 16
 UNKNOWN = "und"
+#: Distinct labelled texts from which on it is learned what no longer is a text of a learned language; unknown n-grams
+#: that a single odd word brings, for these do not come one by one.
+LEAST, BURST = 30, 16
 
 #: White space becomes a blank, other ASCII that is no letter vanishes, A-Z become lower case.
 _MAP = np.zeros(256, np.uint8)
@@ -63,12 +66,14 @@ def grams(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 @dataclass(frozen=True)
 class Model:
-    """``weights``: per place a weight for each bit; ``codes``: per language its bits."""
+    """``weights``: per place a weight for each bit; ``codes``: per language its bits; ``limits``: the share of unknown
+    n-grams and the loss per bit from which on a text is rejected, none if too few texts were there to learn them."""
 
     languages: list[str]
     codes: np.ndarray
     weights: np.ndarray
     bias: np.ndarray
+    limits: tuple[float, float] | None = None
 
     def margins(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """What the binary classifier of each bit says of each text: the mean weight of its n-grams, scaled."""
@@ -78,6 +83,23 @@ class Model:
         sums = np.stack([np.bincount(owner, w[place], texts) for w in self.weights], axis=1)
         return sums / count[:, None] + self.bias
 
+    def rejected(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Whether a text is in none of the languages: it has n-grams and none was seen in learning, more of them are unknown
+        than labelled texts (and a few odd words) have, or its nearest code word is farther away than those of labelled
+        texts and another one almost as near. Without limits nothing is."""
+        texts = len(starts) - 1
+        if self.limits is None:
+            return np.zeros(texts, bool)
+        share, most = self.limits
+        place, owner = grams(data, starts)
+        n = np.bincount(owner, minlength=texts)
+        known = np.bincount(owner, (self.weights != 0).any(axis=0)[place], texts)
+        expected = share * n
+        unknown = n - known > expected + 3 * np.sqrt(BURST * expected) + BURST
+        margins = self.margins(data, starts)
+        loss = np.logaddexp(0, -margins[:, None, :] * self.codes[None, :, :]).mean(axis=2).min(axis=1)
+        return ((n > 0) & (known == 0)) | unknown | ((loss > most) & self.decode(margins)[2])
+
     def decode(self, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Nearest code word by loss, its score, and whether another one is almost as near.
 
@@ -124,7 +146,18 @@ def fit(texts: list[str], languages: list[str], rounds: int = 40, rate: float =
             bias[b] -= rate / 10 * pull.sum() / np.sqrt(step_bias[b])
     whole = np.zeros((codes.shape[1], 2 * PLACES), np.float32)
     whole[:, used] = weight / spread
-    return Model(names, codes, whole, bias)
+    first = np.unique(texts, return_index=True)[1]
+    limits = None
+    if len(first) >= LEAST:
+        distinct = np.isin(row, first)
+        once = np.bincount(column[distinct], minlength=len(used)) == 1
+        # each labelled text as if it had not been there to learn from
+        lone = np.bincount(row[distinct], (n * once[column])[distinct], len(texts))[first] / count[first]
+        margins = np.stack([np.bincount(row, value * w[column], len(texts)) for w in weight], axis=1) + bias
+        loss = np.logaddexp(0, -margins[:, None, :] * codes[None, :, :]).mean(axis=2).min(axis=1)
+        # no nearer than a text that says nothing, whose loss is log 2
+        limits = min(3 * float(np.quantile(lone, 0.99)), 0.25), max(float(loss.max()), float(np.log(2)))
+    return Model(names, codes, whole, bias, limits)
 
 
 def training_sample(docs: DataFrame, fold: int, folds: int, most: int, characters: int) -> tuple[list[str], list[str]]:
@@ -209,14 +242,14 @@ def identify(
 
 
 def keep_identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows whose text has a language: those without text, letters, or any byte n-gram seen in learning go."""
+    """The rows whose text has a language: those without text or letters go, and those the model rejects (see
+    ``Model.rejected``). A model that learned from nothing, or from fewer than ``LEAST`` distinct texts, rejects none."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        predict = predictor(shared.value)
         for batch in slices(batches, text):
-            names, _, _ = predict(batch.column(place))
-            yield batch.filter(pa.array([n != UNKNOWN for n in names]))
+            texts = batch.column(place)
+            yield batch.filter(pa.array(has_letter(texts) & ~shared.value.rejected(*flat(texts))))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -26,7 +26,7 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language is found; those without text or without a letter go."""
+    """Documents in which a language is found; those without text, without a letter or in none of the learned languages go."""
     return keep_identified(docs, learned(docs.select("doc_id", "text", "lang")))
 
 

@@ -68,6 +68,30 @@ def test_labels_and_keys_of_the_held_out_fold_change_nothing(spark):
     assert first == second
 
 
+JUNK = {
+    "letters": "".join(chr(97 + i * i * 31 % 26) + chr(65 + i * 7 % 26) + chr(97 + i * i * i * 5 % 26) for i in range(150)),
+    "repeated": "zqzqzq xkx " * 40,
+    "russian": "Все люди рождаются свободными и равными в своем достоинстве и правах. ",
+    "chinese": "人人生而自由在尊嚴和權利上一律平等",
+    "one": "人",
+    "greek": "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια. ",
+    "finnish": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto. " * 3,
+}
+
+
+def test_junk_and_unseen_scripts_go_and_labelled_texts_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    model = learned(docs)
+    odd = spark.createDataFrame([(10**6 + i, t, None) for i, t in enumerate(JUNK.values())], docs.schema)
+    kept = {r.doc_id for r in keep_identified(docs.union(odd), model).collect()}
+    assert kept == {r.doc_id for r in docs.collect()}
+
+
+def test_letters_stay_where_nothing_can_be_learned(spark):
+    df = rows(spark, (1, "some text", None), (2, "12 34", None), (3, None, "en"))
+    assert [r.doc_id for r in keep_identified(df, learned(df.where("doc_id < 3"))).collect()] == [1]
+
+
 def test_query_predicts_held_out_documents(spark):
     found = op10_language_id(spark, "/root/testdata/sf0.01").collect()
     lang = {r.doc_id: r.lang for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang").collect()}
