@@ -15,15 +15,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from chuvisco.llm.jaccard import mix
-from chuvisco.llm.shared import flat, slices, stretch_hashes, strings, table, texts_of
+from chuvisco.llm.shared import flat, slices, strings, table, texts_of
 
 SPACE = "▁"
 #: Letters of a unit up to which all units are merged side by side; longer ones have an agenda of their own.
 SHORT = 48
 #: Bytes of text whose units are segmented together.
-STEP = 3 << 20
+STEP = 1 << 20
 _NEVER = np.int64(1) << 40
-_BASE = 0x9E3779B97F4A7C15
 
 
 @dataclass(frozen=True)
@@ -85,13 +84,23 @@ def skipped(key: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np.ndar
     """Whether the merge of the stretches ``start .. middle`` and ``middle .. end`` of a unit is left out."""
     if rate <= 0:
         return np.zeros(len(key), bool)
+    return _lost(key, _places(start, middle, end), rate)
+
+
+def _places(start: np.ndarray, middle: np.ndarray, end: np.ndarray) -> np.ndarray:
     place = (start.astype(np.uint64) << np.uint64(42)) ^ (middle.astype(np.uint64) << np.uint64(21)) ^ end.astype(np.uint64)
-    return mix(key ^ mix(place + np.uint64(1))) < np.uint64(min(rate, 1.0) * (2**64 - 2**12))
+    return mix(place + np.uint64(1))
+
 
+def _lost(key: np.ndarray, places: np.ndarray, rate: float) -> np.ndarray:
+    return mix(key ^ places) < np.uint64(min(rate, 1.0) * (2**64 - 2**12))
 
-def segment(pieces: Pieces, points: np.ndarray, starts: np.ndarray, keys: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
+
+def segment(
+    pieces: Pieces, points: np.ndarray, starts: np.ndarray, keys: np.ndarray, rate: float, merges: list | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Symbols of all units one after another: ids, or for a letter without a piece -1 - its code point; and how many
-    each unit has.
+    each unit has. ``merges`` gets the units, starts, middles and ends of the merges that were made.
 
     Units merge side by side: in each round every unit takes the candidate of the best rank, leftmost first, that its
     key does not skip, and only the pairs beside a merge are looked up anew. A candidate is known by where it starts,
@@ -129,6 +138,8 @@ def segment(pieces: Pieces, points: np.ndarray, starts: np.ndarray, keys: np.nda
             if not len(symbol):
                 break
         chosen = np.flatnonzero(np.repeat(best, size) == rank * np.int64(1 << 22) + start)
+        if merges is not None:
+            merges.append((unit[chosen], start[chosen], end[chosen], end[chosen + 1]))
         symbol[chosen], end[chosen] = result[chosen], end[chosen + 1]
         rank[chosen] = _NEVER
         keep = np.ones(len(symbol), bool)
@@ -173,12 +184,14 @@ def segment_long(pieces: Pieces, points: np.ndarray, key: np.uint64, rate: float
 
 
 def encode(
-    path: str, data: np.ndarray, starts: np.ndarray, owners: np.ndarray, seed: int = 0, rate: float = 0.1, variants: int = 4
+    path: str, data: np.ndarray, starts: np.ndarray, owners: np.ndarray, seed: int = 0, rate: float = 0.1
 ) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts one after another, and where each text's start. Texts get a blank in front.
 
-    A unit is a run of blanks and what follows up to the next blank; no piece reaches from one into the next. A unit's
-    merges are skipped by its text, the seed and one of ``variants`` numbers that follow from owner and place.
+    A unit is a run of blanks and what follows up to the next blank; no piece reaches from one into the next. Each
+    unit's merges are skipped by the seed, its owner and its place, so every occurrence has skips of its own. Where
+    none of the merges is skipped that are made without skips, the segmentation is the one without skips, which equal
+    units share; only the other occurrences are segmented by themselves.
     """
     pieces = load(path)
     texts = len(starts) - 1
@@ -197,32 +210,53 @@ def encode(
     coded = pc.dictionary_encode(strings(padded, np.r_[first, len(padded)]))
     code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     place = np.arange(len(code)) - np.repeat(bounds[:-1], np.diff(bounds))
-    owner = np.repeat(owners, np.diff(bounds)).astype(np.uint64)
-    turn = mix(mix(owner + np.uint64(seed)) + place.astype(np.uint64)) % np.uint64(max(variants, 1))
-    kinds, code = np.unique(code * max(variants, 1) + turn.astype(np.int64), return_inverse=True)
-    units = coded.dictionary.take(pa.array(kinds // max(variants, 1)))
-    held, at = flat(units)
-    content = stretch_hashes(held, _BASE)(at[:-1], at[1:])
-    keys = mix(content ^ mix((kinds % max(variants, 1)).astype(np.uint64) + np.uint64(seed * 1_000_003 + 1)))
+    owner = np.repeat(mix(owners.astype(np.uint64) + mix(np.array([seed & (2**64 - 1)], np.uint64))), np.diff(bounds))
+    keys = mix(owner + place.astype(np.uint64))
+    held, at = flat(coded.dictionary)
     points = np.frombuffer(bytes(held).decode("utf-8", "replace").encode("utf-32-le"), np.uint32).astype(np.int64)
     letter = np.r_[0, np.cumsum((held & 0xC0) != 0x80)][at]
     sizes = np.diff(letter)
-    short = sizes <= SHORT
-    chosen = np.repeat(short, sizes)
-    symbols, counts = segment(pieces, points[chosen], np.r_[0, np.cumsum(sizes[short])], keys[short], rate)
-    parts, n = [symbols], np.zeros(len(kinds), np.int64)
-    n[short] = counts
-    begins = np.zeros(len(kinds), np.int64)
-    begins[short] = np.cumsum(counts) - counts
-    total = len(symbols)
-    for u in np.flatnonzero(~short).tolist():
-        parts.append(segment_long(pieces, points[letter[u] : letter[u + 1]], keys[u], rate))
+    short = np.flatnonzero(sizes <= SHORT)
+
+    # all short units without skips, and which occurrences skip a merge of these
+    merges: list[tuple] = []
+    plain, counts = _short(pieces, points, letter, short, np.zeros(len(short), np.uint64), 0.0, merges)
+    n, begins = np.zeros(len(code), np.int64), np.zeros(len(code), np.int64)
+    kind = np.full(len(sizes), -1)
+    kind[short] = np.arange(len(short))
+    kind = kind[code]
+    is_short = kind >= 0
+    n[is_short], begins[is_short] = counts[kind[is_short]], (np.cumsum(counts) - counts)[kind[is_short]]
+    parts, total = [plain], len(plain)
+    own = np.zeros(len(code), bool)
+    if rate > 0 and merges:
+        units, *ends = (np.concatenate(x) for x in zip(*merges, strict=True))
+        order = np.argsort(units, kind="stable")
+        places = _places(*ends)[order]
+        made = np.bincount(units, minlength=len(short))
+        offset = np.cumsum(made) - made
+        some = np.flatnonzero(is_short)
+        for low in range(0, len(some), 1 << 16):
+            part = some[low : low + (1 << 16)]
+            times = made[kind[part]]
+            before = np.cumsum(times) - times
+            which = np.arange(int(times.sum())) + np.repeat(offset[kind[part]] - before, times)
+            lost = _lost(np.repeat(keys[part], times), places[which], rate)
+            own[np.repeat(part, times)[lost]] = True
+    varied = np.flatnonzero(own)
+    for low in range(0, len(varied), 1 << 16):
+        part = varied[low : low + (1 << 16)]
+        symbols, counts = _short(pieces, points, letter, code[part], keys[part], rate)
+        n[part], begins[part] = counts, total + np.cumsum(counts) - counts
+        parts.append(symbols)
+        total += len(symbols)
+    for u in np.flatnonzero(~is_short).tolist():
+        parts.append(segment_long(pieces, points[letter[code[u]] : letter[code[u] + 1]], keys[u], rate))
         begins[u], n[u] = total, len(parts[-1])
         total += n[u]
     symbols = np.concatenate(parts)
-    lengths = n[code]
-    ends = np.cumsum(lengths)
-    where = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins[code] - (ends - lengths), lengths)
+    ends = np.cumsum(n)
+    where = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins - (ends - n), n)
     ids = symbols[where]
     edges = np.r_[0, ends][bounds]
     gone = np.repeat(nothing, np.diff(edges))
@@ -230,6 +264,16 @@ def encode(
     return _as_bytes(pieces, ids, edges)
 
 
+def _short(
+    pieces: Pieces, points: np.ndarray, letter: np.ndarray, units: np.ndarray, keys: np.ndarray, rate: float, merges: list | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """``segment`` for some of the units that ``letter`` parts ``points`` into."""
+    sizes = letter[units + 1] - letter[units]
+    edges = np.r_[0, np.cumsum(sizes)]
+    which = np.arange(edges[-1]) + np.repeat(letter[units] - edges[:-1], sizes)
+    return segment(pieces, points[which], edges, keys, rate, merges)
+
+
 def _as_bytes(pieces: Pieces, ids: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Letters without a piece as the ids of their bytes."""
     lone = np.flatnonzero(ids < 0)
@@ -265,20 +309,56 @@ _OUT = pa.schema(
 )
 
 
+_IDS = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
+
+
+def _segmented(batches: Iterator[pa.RecordBatch], model: str, seed: int, rate: float) -> Iterator[tuple]:
+    for batch in slices(batches, limit=STEP):
+        data, starts = flat(batch.column("text"))
+        owners = pc.fill_null(batch.column("doc_id"), -1).to_numpy(zero_copy_only=False).view(np.uint64)
+        yield batch, data, starts, *encode(model, data, starts, owners, seed, rate)
+
+
+def segmentations(
+    docs: DataFrame, model: str, seed: int = 0, rate: float = 0.1, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``doc_id`` and the ids of a varied segmentation of each whole text, a row per row of ``docs``; those whose digests
+    ``segment_documents`` gives. Null texts have no ids."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, _, _, ids, edges in _segmented(batches, model, seed, rate):
+            lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(ids, pa.int32()))
+            yield table(_IDS, doc_id=batch.column("doc_id"), ids=lists)
+
+    return texts_of(docs, key, text).mapInArrow(run, "doc_id long, ids array<int>")
+
+
+def decoded(found: DataFrame, model: str, ids: str = "ids") -> DataFrame:
+    """``found`` with the column ``ids`` decoded to the texts it was made of; null stays null."""
+    place = found.columns.index(ids)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = list(batch.columns)
+            columns[place] = pa.array([None if i is None else decode(model, np.array(i, np.int64)) for i in columns[place].to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    schema = ", ".join(f"`{f.name}` {'string' if f.name == ids else f.dataType.simpleString()}" for f in found.schema)
+    return found.mapInArrow(run, schema)
+
+
 def segment_documents(
-    docs: DataFrame, model: str, seed: int = 0, rate: float = 0.1, variants: int = 4, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, model: str, seed: int = 0, rate: float = 0.1, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """A varied segmentation of each whole text and what it decodes to, a row per row of ``docs``.
+    """Digests of a varied segmentation of each whole text and of what it decodes to, a row per row of ``docs``; the ids
+    themselves are those of ``segmentations``.
 
-    Segmentations follow from text, key and ``seed`` alone. Null texts are empty and have no tokens; null and repeated
-    keys are rows like any other; other columns are not looked at.
+    Segmentations follow from text, key, ``seed`` and ``rate`` alone; each occurrence of a word has one of its own. Null
+    texts are empty and have no tokens; null and repeated keys are rows like any other; other columns are not looked at.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, limit=STEP):
-            data, starts = flat(batch.column("text"))
-            owners = pc.fill_null(batch.column("doc_id"), -1).to_numpy(zero_copy_only=False).view(np.uint64)
-            ids, edges = encode(model, data, starts, owners, seed, rate, variants)
+        for batch, data, starts, ids, edges in _segmented(batches, model, seed, rate):
             columns = {n: [] for n in _OUT.names} | {"doc_id": batch.column("doc_id"), "n_tokens": np.diff(edges)}
             for a, b, c, d in zip(starts[:-1], starts[1:], edges[:-1], edges[1:], strict=True):
                 own, whole = ids[c:d], bytes(data[a:b])

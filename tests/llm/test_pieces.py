@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -7,7 +8,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from sentencepiece import SentencePieceProcessor
 
-from chuvisco.llm.pieces import decode, encode, load, segment, segment_documents, segment_long
+from chuvisco.llm.pieces import _short as short
+from chuvisco.llm.pieces import decode, decoded, encode, load, segment, segment_documents, segment_long, segmentations
 from chuvisco.llm.queries import op7_sentencepiece_dropout
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -57,6 +59,43 @@ def test_seeds_keys_and_places_vary_segmentations():
     assert len(first[0]) > plain and len(encoded([text], rate=1.0)[0]) >= len(text)
 
 
+def test_each_occurrence_is_segmented_by_itself():
+    word = " internationalization"
+    words = [i.tolist() for i in encoded(["internationalization"] * 400, rate=0.1)]
+    (within,) = encoded([(word * 400)[1:]], rate=0.1)
+    parts, at = [], 0
+    while at < len(within):
+        end = at + 1
+        while len(b"".join(load(PATH).decoded[i] for i in within[at:end])) < len(word):
+            end += 1
+        parts.append(tuple(within[at:end].tolist()))
+        at = end
+    assert len(parts) == 400
+    assert len(set(parts)) > 20 and len({tuple(w) for w in words}) > 20
+
+
+@pytest.mark.parametrize("rate", [0.1, 0.5])
+def test_shared_segmentations_are_those_of_each_unit_alone(rate):
+    text = "the representation of the representation is the internationalization " * 30
+    calls = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr("chuvisco.llm.pieces._short", lambda *a: calls.append(a) or short(*a))
+        (ids,) = encoded([text], rate=rate)
+    assert 0 < len(calls[1][3]) < len(text.split())
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr("chuvisco.llm.pieces.SHORT", 0)
+        assert encoded([text], rate=rate)[0].tolist() == ids.tolist()
+
+
+def test_tables_of_ids_decode_to_the_texts(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*ODD, None, "a few words " * 50])], "doc_id long, text string")
+    ids = segmentations(df, PATH)
+    assert {r.doc_id: r.ids_crc32 for r in segment_documents(df, PATH).collect()} == {
+        r.doc_id: zlib.crc32(np.array(r.ids, "<u4").tobytes()) for r in ids.collect()
+    }
+    assert {r.doc_id: r.ids for r in decoded(ids, PATH).collect()} == {r.doc_id: r.text or "" for r in df.collect()}
+
+
 def test_rows_with_nulls_copies_and_clashing_columns(spark):
     texts = [*enumerate(ODD), (90, None), (None, "a b"), (91, "same word"), (91, "same word"), (92, "long words " * 30000), (93, "y" * 20000)]
     df = spark.createDataFrame([(k, t, "x", 1) for k, t in texts], "doc_id long, text string, lossless string, n_tokens int")
