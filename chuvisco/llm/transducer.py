@@ -214,10 +214,10 @@ class Transducer:
     def counts(self, symbols: np.ndarray) -> np.ndarray:
         """What each symbol of a stream gives out.
 
-        The stream is cut into chunks. A chunk's map from entry to exit state is the same for all entries once it has
-        read white space or a stop: all chunks run from there side by side, and maps then compose from left to right:
-        the exit of a chunk is the entry of the next one's head. Chunks without such a symbol are functions of their
-        entry, and run when it is known.
+        The stream is cut into chunks. A chunk's exit state is the same for all entries once it has read white space or a
+        stop: all chunks run from there side by side, and the exit of a chunk is the entry of the next one's head. No maps
+        from entry to exit states are made or composed: chunks without such a symbol run one after another, each when its
+        entry is known.
         """
         n = len(symbols)
         rows = max(1, -(-n // CHUNK))
