@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from chuvisco.llm.fingerprints import fingerprint_documents
 from chuvisco.llm.jaccard import near_duplicates
 from chuvisco.llm.language import identify
+from chuvisco.llm.manifest import audit
+from chuvisco.llm.oracles import OP11
 from chuvisco.llm.packing import pack_documents
 from chuvisco.llm.pieces import segment_documents
 from chuvisco.llm.scoring import score_documents
@@ -62,6 +64,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents(spark, sf_dir))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_document_fingerprints": op2_document_fingerprints,
@@ -73,6 +79,7 @@ QUERIES = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_token_counts": op9_token_counts,
     "op10_language_id": op10_language_id,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 ORACLES: dict[str, str] = {
@@ -91,4 +98,5 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(s AS BIGINT) AS score FROM ranked WHERE rank <= 10
     """,
+    "op11_merkle_manifest": OP11,
 }
