@@ -58,3 +58,16 @@ OP11 = f"""WITH RECURSIVE leaves AS (
 SELECT doc_id, leaf, tops.h AS subroot, root.h AS root, sha256(proof) AS proof_sha256, e.h AS folded_root, e.h = root.h AS verified
 FROM placed JOIN tops ON tops.part IS NOT DISTINCT FROM placed.part JOIN outer_ways_ends AS e USING (row)
 JOIN (SELECT h FROM upper_nodes WHERE n = 1) AS root ON true"""
+
+
+OP12 = """WITH held AS (
+    SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+    FROM pages
+)
+SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + CAST((CAST('0x' || substr(h, CAST(1 + 5 * (i // 4) AS BIGINT), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS BIGINT), 1)), '')
+           AS payload_digest,
+       CASE WHEN coalesce(first = page_id, first IS NULL) THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN NOT coalesce(first = page_id, first IS NULL) THEN first END AS refers_to
+FROM held"""

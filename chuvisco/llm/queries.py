@@ -5,11 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from chuvisco.llm.archives import archived_pages
 from chuvisco.llm.fingerprints import fingerprint_documents
 from chuvisco.llm.jaccard import near_duplicates
 from chuvisco.llm.language import identify
 from chuvisco.llm.manifest import audit
-from chuvisco.llm.oracles import OP11
+from chuvisco.llm.oracles import OP11, OP12
 from chuvisco.llm.packing import pack_documents
 from chuvisco.llm.pieces import segment_documents
 from chuvisco.llm.scoring import score_documents
@@ -68,6 +69,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(documents(spark, sf_dir))
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_document_fingerprints": op2_document_fingerprints,
@@ -80,6 +85,7 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_language_id": op10_language_id,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_warc": op12_warc,
 }
 
 ORACLES: dict[str, str] = {
@@ -99,4 +105,5 @@ ORACLES: dict[str, str] = {
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(s AS BIGINT) AS score FROM ranked WHERE rank <= 10
     """,
     "op11_merkle_manifest": OP11,
+    "op12_warc": OP12,
 }
