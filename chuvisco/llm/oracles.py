@@ -71,3 +71,29 @@ SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
        CASE WHEN coalesce(first = page_id, first IS NULL) THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN NOT coalesce(first = page_id, first IS NULL) THEN first END AS refers_to
 FROM held"""
+
+
+_TERMS = r"""unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))"""
+
+OP13 = f"""WITH numbered AS (
+    SELECT row_number() OVER () AS row, doc_id, text FROM documents
+), counts AS (
+    SELECT row, doc_id, term, count(*) AS tf FROM (SELECT row, doc_id, {_TERMS} AS term FROM numbered) GROUP BY ALL
+), lengths AS (
+    SELECT row, CAST(sum(tf) AS BIGINT) AS n FROM counts GROUP BY row
+), whole AS (
+    SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS total FROM lengths
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM counts, whole GROUP BY term, n_docs
+), asked AS (
+    SELECT DISTINCT item_id, text, {_TERMS} AS term FROM benchmark
+), scored AS (
+    SELECT item_id, a.text, row, any_value(doc_id) AS doc_id,
+           CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * n_docs) // total))))) AS BIGINT) AS score
+    FROM asked AS a JOIN counts USING (term) JOIN weights USING (term) JOIN lengths USING (row), whole
+    WHERE doc_id IS NOT NULL GROUP BY item_id, a.text, row
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10"""

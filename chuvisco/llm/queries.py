@@ -10,9 +10,10 @@ from chuvisco.llm.fingerprints import fingerprint_documents
 from chuvisco.llm.jaccard import near_duplicates
 from chuvisco.llm.language import identify
 from chuvisco.llm.manifest import audit
-from chuvisco.llm.oracles import OP11, OP12
+from chuvisco.llm.oracles import OP11, OP12, OP13
 from chuvisco.llm.packing import pack_documents
 from chuvisco.llm.pieces import segment_documents
+from chuvisco.llm.ranking import rank_documents
 from chuvisco.llm.scoring import score_documents
 from chuvisco.llm.search import top_products
 from chuvisco.llm.secrets import scan_secrets
@@ -73,6 +74,10 @@ def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_document_fingerprints": op2_document_fingerprints,
@@ -86,6 +91,7 @@ QUERIES = {
     "op10_language_id": op10_language_id,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_warc": op12_warc,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 ORACLES: dict[str, str] = {
@@ -106,4 +112,5 @@ ORACLES: dict[str, str] = {
     """,
     "op11_merkle_manifest": OP11,
     "op12_warc": OP12,
+    "op13_ranked_search": OP13,
 }

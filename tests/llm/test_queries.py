@@ -15,5 +15,5 @@ def test_query_equals_sql(spark, name):
 
 def test_all_are_registered():
     names = contract.queries().keys()
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 13)} and QUERIES.keys() | {"pipeline"} <= names
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)} and QUERIES.keys() | {"pipeline"} <= names
     assert ORACLES.keys() <= contract.oracle_sql().keys()
