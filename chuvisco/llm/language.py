@@ -9,10 +9,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from chuvisco.llm.shared import flat, slices, table, texts_of
+from chuvisco.llm.shared import flat, slices, stored, table, texts_of
 
 #: Features: byte pairs as they are, and byte triples hashed to as many places.
 PLACES = 1 << 16
@@ -115,19 +115,32 @@ class Model:
         return best, share[np.arange(len(best)), best], close
 
 
-def fit(texts: list[str], languages: list[str], rounds: int = 40, rate: float = 4.0, decay: float = 1e-4) -> Model:
-    """Logistic regression for each bit on the relative frequencies of n-grams (their square roots would need the whole
-    text before any weight is looked up; means can be summed)."""
-    names = sorted(set(languages))
+def fit(texts: list[str], languages: list[str]) -> Model:
     held = [t.encode("utf-8", "replace") for t in texts]
     place, owner = grams(np.frombuffer(b"".join(held), np.uint8), np.cumsum([0, *map(len, held)]))
-    count = np.maximum(np.bincount(owner, minlength=len(texts)), 1)
+    cell, n = np.unique(owner.astype(np.int64) * 2 * PLACES + place, return_counts=True)
+    return fit_counts(cell // (2 * PLACES), cell % (2 * PLACES), n, np.unique(texts, return_inverse=True)[1], languages)
+
+
+def fit_counts(
+    row: np.ndarray,
+    place: np.ndarray,
+    n: np.ndarray,
+    names_of_texts: np.ndarray,
+    languages: list[str],
+    rounds: int = 40,
+    rate: float = 4.0,
+    decay: float = 1e-4,
+) -> Model:
+    """Logistic regression for each bit on the relative frequencies of n-grams (their square roots would need the whole
+    text before any weight is looked up; means can be summed). Text ``row`` has the n-gram at ``place`` ``n`` times; equal
+    texts have equal names."""
+    names, texts = sorted(set(languages)), len(languages)
+    count = np.maximum(np.bincount(row, n, texts), 1)
     used, column = np.unique(place, return_inverse=True)
     # relative frequency times the place's inverse mean frequency, so that rare and common n-grams learn alike
-    cell, n = np.unique(owner.astype(np.int64) * len(used) + column, return_counts=True)
-    row, column = cell // max(len(used), 1), cell % max(len(used), 1)
     value = n / count[row]
-    spread = np.sqrt(np.bincount(column, value, len(used)) / max(len(texts), 1)) + 1e-3
+    spread = np.sqrt(np.bincount(column, value, len(used)) / max(texts, 1)) + 1e-3
     value = value / spread[column]
     codes = code_words(len(names))
     target = codes[np.searchsorted(names, languages)].astype(float)
@@ -137,7 +150,7 @@ def fit(texts: list[str], languages: list[str], rounds: int = 40, rate: float =
     share = (1 / (len(classes) * sizes))[np.searchsorted(classes, languages)]  # each language counts alike
     for _ in range(rounds):
         for b in range(codes.shape[1]):
-            margin = np.bincount(row, value * weight[b][column], len(texts)) + bias[b]
+            margin = np.bincount(row, value * weight[b][column], texts) + bias[b]
             pull = -share * target[:, b] / (1 + np.exp(np.clip(target[:, b] * margin, -50, 50)))
             slope = np.bincount(column, value * pull[row], len(used)) + decay * weight[b]
             step[b] += slope**2
@@ -146,34 +159,57 @@ def fit(texts: list[str], languages: list[str], rounds: int = 40, rate: float =
             bias[b] -= rate / 10 * pull.sum() / np.sqrt(step_bias[b])
     whole = np.zeros((codes.shape[1], 2 * PLACES), np.float32)
     whole[:, used] = weight / spread
-    first = np.unique(texts, return_index=True)[1]
+    first = np.unique(names_of_texts, return_index=True)[1]
     limits = None
     if len(first) >= LEAST:
         distinct = np.isin(row, first)
         once = np.bincount(column[distinct], minlength=len(used)) == 1
         # each labelled text as if it had not been there to learn from
-        lone = np.bincount(row[distinct], (n * once[column])[distinct], len(texts))[first] / count[first]
-        margins = np.stack([np.bincount(row, value * w[column], len(texts)) for w in weight], axis=1) + bias
+        lone = np.bincount(row[distinct], (n * once[column])[distinct], texts)[first] / count[first]
+        margins = np.stack([np.bincount(row, value * w[column], texts) for w in weight], axis=1) + bias
         loss = np.logaddexp(0, -margins[:, None, :] * codes[None, :, :]).mean(axis=2).min(axis=1)
         # no nearer than a text that says nothing, whose loss is log 2
         limits = min(3 * float(np.quantile(lone, 0.99)), 0.25), max(float(loss.max()), float(np.log(2)))
     return Model(names, codes, whole, bias, limits)
 
 
-def training_sample(docs: DataFrame, fold: int, folds: int, most: int, characters: int) -> tuple[list[str], list[str]]:
-    """At most ``most`` labelled rows outside the held-out fold, those of the smallest hashes, each cut to ``characters``.
-    That bound is for learning alone; predictions read whole texts. The share of hashes that gives about as many rows is
-    found first, so no more than those leave the tasks."""
+_SAMPLED = pa.schema([("lang", pa.string()), ("order", pa.int64()), ("places", pa.binary()), ("counts", pa.binary())])
+
+
+def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The n-gram counts of whole texts, once a task for each text and language."""
+    seen = set()
+    for batch in slices(batches):
+        names = list(zip(batch.column("lang").to_pylist(), batch.column("order").to_pylist(), strict=True))
+        new = [i for i, name in enumerate(names) if not (name in seen or seen.add(name))]
+        if not new:
+            continue
+        place, owner = grams(*flat(batch.column("text").take(pa.array(new))))
+        cell, n = np.unique(owner.astype(np.int64) * 2 * PLACES + place, return_counts=True)
+        ends = np.searchsorted(cell, np.arange(1, len(new)) * 2 * PLACES)
+        places = [x.astype(np.int32).tobytes() for x in np.split(cell % (2 * PLACES), ends)]
+        counts = [x.astype(np.int64).tobytes() for x in np.split(n, ends)]
+        yield table(_SAMPLED, lang=[names[i][0] for i in new], order=[names[i][1] for i in new], places=places, counts=counts)
+
+
+def training_sample(docs: DataFrame, fold: int, folds: int, most: int, least: int) -> list[Row]:
+    """The n-gram counts of labelled texts outside the held-out fold: of each language the texts of the smallest hashes,
+    ``most`` in all languages together, but ``least`` of each where it has so many. Copies count once. Counts are of
+    whole texts, made where these are; at most twice ``PLACES`` a text come to the driver."""
     labelled = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(fold, folds))
-    share = min(1.0, 1.1 * most / max(labelled.count(), 1))
-    rows = (
-        labelled.withColumn("order", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 31)))
-        .where(F.col("order") <= int(share * (1 << 31)))
-        .select(F.substring("text", 1, characters).alias("text"), "lang", "order")
-        .collect()
-    )
-    rows = sorted(rows, key=lambda r: (r.order, r.lang, r.text))[:most]
-    return [r.text for r in rows], [r.lang for r in rows]
+    labelled = labelled.select("lang", "text", F.pmod(F.xxhash64("text"), F.lit(1 << 31)).alias("order"))
+    sizes = labelled.groupBy("lang").agg(F.approx_count_distinct("order").alias("n")).collect()  # a row a language
+    if not sizes:
+        return []
+    each = max(least, most // len(sizes))
+    limits = [(r.lang, int(min(1.0, 1.5 * each / max(r.n, 1)) * (1 << 31))) for r in sizes]
+    limits = docs.sparkSession.createDataFrame(limits, "lang string, upto long")
+    near = labelled.join(F.broadcast(limits), "lang").where("order <= upto").select("lang", "order").distinct()
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
+    drawn = stored(near.withColumn("rank", rank).where(F.col("rank") <= each).select("lang", "order"))
+    texts = labelled.join(F.broadcast(drawn), ["lang", "order"]).select("lang", "order", "text")
+    counts = texts.mapInArrow(_sampled, "lang string, order long, places binary, counts binary")
+    return sorted(counts.dropDuplicates(["lang", "order"]).collect(), key=lambda r: (r.order, r.lang))
 
 
 def held_out(fold: int, folds: int):
@@ -204,11 +240,14 @@ def predictor(model: Model):
     return predict
 
 
-def learned(docs: DataFrame, fold: int = 0, folds: int = 5, most: int = 2000, characters: int = 1500) -> Model:
-    texts, languages = training_sample(docs, fold, folds, most, characters)
-    if not texts:
+def learned(docs: DataFrame, fold: int = 0, folds: int = 5, most: int = 2000, least: int = 50) -> Model:
+    rows = training_sample(docs, fold, folds, most, least)
+    if not rows:
         return Model([], code_words(1), np.zeros((0, 2 * PLACES), np.float32), np.zeros(0))
-    return fit(texts, languages)
+    places = [np.frombuffer(r.places, np.int32) for r in rows]
+    counts = np.concatenate([np.frombuffer(r.counts, np.int64) for r in rows])
+    owner = np.repeat(np.arange(len(rows)), [len(p) for p in places])
+    return fit_counts(owner, np.concatenate(places), counts, np.array([r.order for r in rows]), [r.lang for r in rows])
 
 
 def identify(
@@ -216,20 +255,21 @@ def identify(
     fold: int = 0,
     folds: int = 5,
     most: int = 2000,
-    characters: int = 1500,
+    least: int = 50,
     key: str = "doc_id",
     text: str = "text",
     lang: str = "lang",
 ) -> DataFrame:
     """The language of each whole text, a row per row of ``docs``.
 
-    Learned from at most ``most`` rows whose key's crc32 modulo ``folds`` is not ``fold``. A null text or one without
-    a letter is ``und`` with score 0; so is every text if there is nothing to learn from. ``ambiguous`` marks texts for
+    Learned from at most ``most`` distinct texts (or ``least`` of each language, if these are more) of rows whose key's
+    crc32 modulo ``folds`` is not ``fold``: whole texts, as many of each language, so that a rare one is learned as well. A
+    null text or one without a letter is ``und`` with score 0; so is every text if there is nothing to learn from. ``ambiguous`` marks texts for
     which a second code word is almost as near. The model (two tables of ``PLACES`` weights per bit) has a fixed size
     and goes to the tasks with the function.
     """
     plain = texts_of(docs, key, text, F.col(lang).cast("string").alias("lang"))
-    model = docs.sparkSession.sparkContext.broadcast(learned(plain, fold, folds, most, characters))
+    model = docs.sparkSession.sparkContext.broadcast(learned(plain, fold, folds, most, least))
 
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = predictor(model.value)

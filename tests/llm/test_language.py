@@ -1,9 +1,11 @@
+import math
+import random
 import zlib
 
 import numpy as np
 import pytest
 
-from chuvisco.llm.language import UNKNOWN, code_words, fit, grams, identify, keep_identified, learned
+from chuvisco.llm.language import UNKNOWN, code_words, fit, grams, identify, keep_identified, learned, training_sample
 from chuvisco.llm.queries import op10_language_id
 
 SCHEMA = "doc_id long, text string, lang string, score double, held_out string"
@@ -98,3 +100,64 @@ def test_query_predicts_held_out_documents(spark):
     assert len(found) == len(lang)
     held = [r.lang_pred == lang[r.doc_id] for r in found if r.held_out]
     assert len(held) > 100 and np.mean(held) > 0.98
+
+
+WORDS = {"en": "the and of to in that house with dog", "de": "der und die das ist haus nicht hund mit", "xx": "zorp quib flum wask trin gobb"}
+
+
+def prose(rng, lang, count):
+    return " ".join(rng.choice(WORDS[lang].split()) for _ in range(count))
+
+
+def test_learns_beyond_a_shared_opening(spark):
+    rng = random.Random(1)
+    opening = "qualche testo in comune che sta davanti a tutto il resto " * 60
+    docs = [(i, opening + prose(rng, lang, 120), lang) for i, lang in enumerate(["en", "de"] * 150)]
+    found = identify(rows(spark, *docs)).collect()
+    lang = {k: v for k, _, v in docs}
+    held = [r.lang_pred == lang[r.doc_id] for r in found if r.held_out]
+    assert len(held) > 30 and np.mean(held) > 0.95
+
+
+def test_a_language_of_one_row_in_ten_thousand_is_learned_and_kept(spark):
+    rng = random.Random(2)
+    docs = [(i, prose(rng, lang, 30), lang) for i, lang in enumerate(["en", "de"] * 10_000)]
+    rare = [i for i in range(20_000, 20_100) if zlib.crc32(str(i).encode()) % 5 != 0][:2]
+    docs += [(i, prose(rng, "xx", 30), "xx") for i in rare] + [(30_000 + i, prose(rng, "xx", 30), None) for i in range(20)]
+    df = rows(spark, *docs)
+    found = {r.doc_id: r.lang_pred for r in identify(df).where("doc_id >= 20000").collect()}
+    assert set(found.values()) == {"xx"} and len(found) == 22
+    kept = keep_identified(df, learned(df.select("doc_id", "text", "lang")))
+    assert kept.where("doc_id >= 20000").count() == 22
+
+
+def test_sample_takes_distinct_whole_texts_of_each_language(spark):
+    copies = [(i, "the same text in all of these", "en") for i in range(1, 3000)]
+    others = [(i, f"another text {i} " * 400, "en" if i % 3 else "de") for i in range(3000, 3400)]
+    sample = training_sample(rows(spark, *copies, *others).select("doc_id", "text", "lang"), 0, 5, 100, 10)
+    assert [sum(r.lang == x for r in sample) for x in ("en", "de")] == [50, 50]
+    assert len({(r.lang, r.order) for r in sample}) == 100
+    sizes = {int(np.frombuffer(r.counts, np.int64).sum()) for r in sample}
+    assert min(x for x in sizes if x > 100) > 10_000  # pairs and triples of all repeats
+
+
+def test_margins_and_decoding_equal_brute_force():
+    rng = random.Random(3)
+    texts = [prose(rng, lang, 25) for lang in ("en", "de", "xx") * 15]
+    model = fit(texts, ["en", "de", "xx"] * 15)
+    asked = [prose(rng, lang, n) for lang in WORDS for n in (1, 2, 9, 200)] + ["", "12", "É"]
+    held = [t.encode() for t in asked]
+    margins = model.margins(np.frombuffer(b"".join(held), np.uint8), np.cumsum([0, *map(len, held)]))
+    for text, margin in zip(held, margins):
+        kept = [c + 32 if 65 <= c <= 90 else 32 if c in b"\t\n\v\f\r " else c for c in text if c >= 128 or chr(c).isalpha() or chr(c).isspace()]
+        found = []
+        for a, b, c in zip(kept, kept[1:], [*kept[2:], None]):
+            if (a, b) != (32, 32):
+                found.append(a << 8 | b)
+                if c is not None:
+                    found.append(65536 + ((((a << 8 | b) << 8 | c) * 2654435761 % 2**32) >> 16))
+        by_hand = [float(np.mean([w[g] for g in found])) + b if found else float(b) for w, b in zip(model.weights, model.bias)]
+        assert np.allclose(margin, by_hand, atol=1e-4)
+        loss = [sum(math.log1p(math.exp(-m * bit)) for m, bit in zip(by_hand, code)) for code in model.codes]
+        best, score, _ = (x[0] for x in model.decode(margin[None, :]))
+        assert best == loss.index(min(loss)) and abs(score - math.exp(-min(loss)) / sum(math.exp(-x) for x in loss)) < 1e-3
