@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,8 @@ BITS = 1024
 SURE = 28
 #: Rows of one key that are compared with each other in one task; larger groups are dealt out in blocks.
 BLOCK = 1024
+#: Bytes up to which a word is hashed as a polynomial, which for long words of two letters can come out alike.
+LONG = 64
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -45,7 +48,10 @@ def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
     ends_here = visible.copy()
     ends_here[:-1] &= ~visible[1:] | begins[1:]
     end = np.flatnonzero(ends_here) + 1
-    hashes = mix(stretch_hashes(_LOWER[data], int(_ODD))(word, end) + (end - word).astype(np.uint64))
+    lower = _LOWER[data]
+    hashes = mix(stretch_hashes(lower, int(_ODD))(word, end) + (end - word).astype(np.uint64))
+    for i in np.flatnonzero(end - word > LONG):
+        hashes[i] = int.from_bytes(blake2b(lower[word[i] : end[i]].data, digest_size=8).digest(), "little")
     return hashes, np.searchsorted(word, starts)
 
 
@@ -88,16 +94,19 @@ class Bands:
         self.kept = np.minimum(1.0, SURE / alike)
 
     def of(self, n: int) -> list[int]:
-        """The set's own band, and the next one if a set there could be alike."""
+        """The set's own band, and the next ones as far as a set there could be alike."""
         band = int(np.searchsorted(self.starts, n, "right")) - 1
-        return [band, band + 1] if 100 * n >= self.percent * self.starts[band + 1] else [band]
+        last = int(np.searchsorted(self.starts, 100 * n // self.percent, "right")) - 1
+        return list(range(band, min(last, len(self.most) - 1) + 1))
 
     def keys(self, elements: np.ndarray) -> np.ndarray:
         """Hashes of (band, segment, content): of each segment the parity of its elements, one bit each, and the sum
         modulo two of their hashes, which tells contents of equal parity apart.
 
         Segments with fewer than two elements are left out if, even were all of them among the equal ones, an equal one
-        is left; if not, those with none. Where a pair at the threshold would have many more than ``SURE`` equal
+        is left. Segments without elements have no keys. So a pair whose equal segments are all empty has none in common;
+        then the elements of both stand in no more segments than a pair can differ in. Such sets also have the keys of
+        their smallest elements, as many as one more than may be missing from a set that is alike. Where a pair at the threshold would have many more than ``SURE`` equal
         segments, a share is kept, chosen by content and so alike in both.
         """
         found = []
@@ -115,10 +124,8 @@ class Bands:
                 many = count >= 2
                 index, parity, check = index[many], parity[many], check[many]
             elif slack <= k - len(first):
-                none = np.setdiff1d(np.arange(k, dtype=np.uint64), index)
-                index = np.r_[index, none]
-                parity = np.r_[parity, np.zeros(len(none), np.uint64)]
-                check = np.r_[check, np.zeros(len(none), np.uint64)]
+                missing = len(elements) - -(-self.percent * len(elements) // 100)
+                found.append(mix(mix(elements[: missing + 1] ^ _OTHER) + np.uint64(band)))
             key = mix(mix(parity + np.uint64(band)) ^ check * _ODD ^ mix(index + np.uint64(1)))
             found.append(key[mix(key) < np.uint64(min(self.kept[band], 1.0) * (2**64 - 2**12))] if self.kept[band] < 1 else key)
         return np.unique(np.concatenate(found))

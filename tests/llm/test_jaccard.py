@@ -134,3 +134,31 @@ def test_empty_table(spark):
 def test_query_over_the_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
     assert as_rows(op8_ngram_jaccard_join(spark, "/root/testdata/sf0.01")) == by_hand([tuple(r) for r in docs], 3, 90)
+
+
+def test_long_words_of_two_letters_are_told_apart(spark):
+    """Words on which polynomials modulo a power of two agree, whatever the base."""
+    bits = [bin(i).count("1") % 2 for i in range(2048)]
+    one, other = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    df = spark.createDataFrame([(1, one), (2, other), (3, one.upper())], "doc_id long, text string")
+    assert as_rows(near_duplicates(df, 3, 90)) == by_hand([tuple(r) for r in df.collect()], 3, 90)
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_short_sets_that_are_alike_share_a_key(percent):
+    rng, bands = np.random.default_rng(5), Bands(percent)
+    for _ in range(6000):
+        n = int(rng.integers(1, 40))
+        one = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        lost, new = (int(x) for x in rng.integers(0, 1 + n * (100 - percent) // 100, 2))
+        other = np.unique(np.r_[one[rng.permutation(len(one))[lost:]], rng.integers(0, 2**64, new, dtype=np.uint64)])
+        both = len(np.intersect1d(one, other))
+        if len(other) and 100 * both >= percent * (len(one) + len(other) - both):
+            assert len(np.intersect1d(bands.keys(one), bands.keys(other)))
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_unrelated_short_sets_do_not_meet(percent):
+    rng, bands = np.random.default_rng(6), Bands(percent)
+    keys = [bands.keys(np.unique(rng.integers(0, 2**64, int(n), dtype=np.uint64))) for n in rng.integers(1, 40, 20_000)]
+    assert np.unique(np.concatenate(keys), return_counts=True)[1].max() <= 2
