@@ -2,10 +2,10 @@
 
 from chuvisco.operators.daily import align_components, daily_rollup, rollup_components
 from chuvisco.operators.dimension import build_refined, build_trusted
-from chuvisco.operators.documents import distinct_documents, latest_documents, of_days, with_days
+from chuvisco.operators.documents import distinct_documents, latest_documents, months_of, of_days, with_days
 from chuvisco.operators.hourly import components, explode_metric, explode_time, hourly_wide
 from chuvisco.operators.requests import extraction_requests, pending_requests
-from chuvisco.operators.upsert import merge_upsert, upsert_table
+from chuvisco.operators.upsert import files_holding, merge_upsert, upsert_table
 
 __all__ = [
     "align_components",
@@ -17,12 +17,14 @@ __all__ = [
     "explode_metric",
     "explode_time",
     "extraction_requests",
+    "files_holding",
     "hourly_wide",
     "latest_documents",
-    "of_days",
-    "with_days",
     "merge_upsert",
+    "months_of",
+    "of_days",
     "pending_requests",
     "rollup_components",
     "upsert_table",
+    "with_days",
 ]

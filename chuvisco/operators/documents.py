@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chuvisco.schemas import WEATHER, Layout
@@ -13,6 +14,10 @@ from chuvisco.schemas import WEATHER, Layout
 ARRIVAL = ("recebido_em", "documento")
 DAYS = ("primeiro_dia", "ultimo_dia")
 
+#: First and last day of a range.
+Span = tuple[date | str | None, date | str | None]
+MOST_SPANS = 64
+
 
 def distinct_documents(docs: DataFrame, ignore: Sequence[str] = ARRIVAL) -> DataFrame:
     """Keep one of several documents equal in every column but those of ``ignore``.
@@ -46,13 +51,44 @@ def with_days(docs: DataFrame, layout: Layout = WEATHER) -> DataFrame:
     return docs.withColumns({DAYS[0]: F.array_min(days), DAYS[1]: F.array_max(days)})
 
 
-def of_days(docs: DataFrame, start: date | str | None = None, end: date | str | None = None) -> DataFrame:
-    """Documents that can hold readings of an inclusive range of days, by the columns of :func:`with_days`; all, if they
-    are not there."""
+def months_of(docs: DataFrame, layout: Layout = WEATHER) -> DataFrame:
+    """The distinct months ``(ano, mes)`` in which documents have readings. What tasks pass on is a row per month."""
+    month = F.transform(F.col(layout.time), lambda time: F.trunc(time.try_cast("timestamp_ntz").cast("date"), "MM"))
+    months = docs.select(F.explode(F.array_distinct(month)).alias("month")).filter(F.col("month").isNotNull())
+    return months.select(F.year("month").alias("ano"), F.month("month").alias("mes")).distinct()
+
+
+def of_days(docs: DataFrame, spans: Sequence[Span]) -> DataFrame:
+    """Documents that can hold readings of one of the inclusive ranges of days (None: no bound), by the columns of
+    :func:`with_days`; all, if they are not there.
+
+    The condition reaches the scan, which skips files and row groups by it. Beyond ``MOST_SPANS`` ranges the ones with the
+    smallest gaps between them are taken together, so that it stays short.
+    """
     if not set(DAYS) <= set(docs.columns):
         return docs
+    ranges = [within(F.col(DAYS[1]), start, None) & within(F.col(DAYS[0]), None, end) for start, end in _fewer(spans)]
+    return docs.filter(reduce(Column.__or__, ranges, F.lit(False)))
+
+
+def within(day: Column, start: date | str | None = None, end: date | str | None = None) -> Column:
+    """Whether a day is in an inclusive range; an open end sets no bound."""
+    inside = F.lit(True)
     if start is not None:
-        docs = docs.filter(F.col(DAYS[1]) >= F.lit(start).cast("date"))
+        inside &= day >= F.lit(start).cast("date")
     if end is not None:
-        docs = docs.filter(F.col(DAYS[0]) <= F.lit(end).cast("date"))
-    return docs
+        inside &= day <= F.lit(end).cast("date")
+    return inside
+
+
+def within_any(day: Column, spans: Sequence[Span]) -> Column:
+    return reduce(Column.__or__, [within(day, *span) for span in spans], F.lit(False))
+
+
+def _fewer(spans: Sequence[Span]) -> list[Span]:
+    if len(spans) <= MOST_SPANS:
+        return list(spans)
+    spans = sorted(spans)
+    gaps = sorted(range(1, len(spans)), key=lambda i: spans[i - 1][1] - spans[i][0])[: MOST_SPANS - 1]
+    cuts = [0, *sorted(gaps), len(spans)]
+    return [(spans[a][0], max(end for _, end in spans[a:b])) for a, b in zip(cuts, cuts[1:])]

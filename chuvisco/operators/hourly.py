@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chuvisco.operators.documents import of_days
+from chuvisco.operators.documents import Span, of_days, within, within_any
 from chuvisco.schemas import WEATHER, Layout
 
 
@@ -58,6 +59,7 @@ def hourly_wide(
     end: date | str | None = None,
     distinct: str | None = None,
     sort: bool = False,
+    spans: Sequence[Span] | None = None,
 ) -> DataFrame:
     """One row per position at which every array of a document has an element.
 
@@ -65,11 +67,15 @@ def hourly_wide(
     inner join by position would, it stops at the shortest array and leaves out a document that has
     no entity or lacks an array. Null elements stay.
 
-    ``start`` and ``end`` keep an inclusive range of days: documents of other days are skipped if
+    ``start`` and ``end`` keep an inclusive range of days, ``spans`` several: documents of other days are skipped if
     they carry their days, and readings outside are dropped from the array before rows are made.
     """
     _check_distinct(distinct)
-    docs = of_days(docs, start, end)
+    if spans is None and not (start is None and end is None):
+        spans = [(start, end)]
+    elif spans is not None and not (start is None and end is None):
+        raise ValueError("spans take the place of start and end")
+    docs = docs if spans is None else of_days(docs, spans)
     arrays = {"time": layout.time} | {m.name: m.values for m in layout.metrics}
     carried = {f"unit_{m.name}": m.unit for m in layout.metrics}
     carried |= {_leaf(path): path for path in layout.attributes}
@@ -81,7 +87,7 @@ def hourly_wide(
         narrow = narrow.distinct()
     length = F.coalesce(F.least(*[F.size(name) for name in arrays]), F.lit(0))
     readings = F.arrays_zip(*arrays)
-    if start is None and end is None:
+    if spans is None:
         rows = (
             narrow.withColumn("_length", length)
             .select(*layout.keys, *carried, "_length", F.posexplode(readings).alias("idx", "_reading"))
@@ -94,16 +100,9 @@ def hourly_wide(
             return F.struct(idx.alias("idx"), reading.withField("time", reading["time"].try_cast("timestamp_ntz")).alias("_reading"))
 
         def kept(reading: Column) -> Column:
-            day = reading["_reading"]["time"].cast("date")
-            inside = reading["idx"] < length
-            for bound, after in ((start, True), (end, False)):
-                if bound is not None:
-                    limit = F.lit(bound).cast("date")
-                    inside &= (day >= limit) if after else (day <= limit)
-            return inside
-
-        within = F.filter(F.transform(readings, placed), kept)
-        rows = narrow.select(*layout.keys, *carried, F.inline(within))
+            return (reading["idx"] < length) & within_any(reading["_reading"]["time"].cast("date"), spans)
+
+        rows = narrow.select(*layout.keys, *carried, F.inline(F.filter(F.transform(readings, placed), kept)))
     rows = rows.select(*layout.keys, "idx", "_reading.time", *[F.col(f"_reading.{m.name}") for m in layout.metrics], *carried)
     if distinct == "rows":
         rows = rows.distinct()
@@ -114,11 +113,7 @@ def between_days(
     rows: DataFrame, day: Column, start: date | str | None = None, end: date | str | None = None
 ) -> DataFrame:
     """Keep rows whose day is in the inclusive range; an open end sets no bound."""
-    if start is not None:
-        rows = rows.filter(day >= F.lit(start).cast("date"))
-    if end is not None:
-        rows = rows.filter(day <= F.lit(end).cast("date"))
-    return rows
+    return rows if start is None and end is None else rows.filter(within(day, start, end))
 
 
 def _explode(arrays: DataFrame, values: str, keys, carried, distinct: str | None) -> DataFrame:

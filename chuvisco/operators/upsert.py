@@ -8,9 +8,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chuvisco.sinks import path_exists, replace_table, staged, write_table
+from chuvisco.sinks import path_exists, remove_file, replace_table, staged, write_table
 from chuvisco.sources import read_table
 
+#: Formats whose tables are their files, so that some files can be replaced and the others left.
+FILES = ("parquet", "orc")
+
 
 def merge_upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``old`` with every row whose key is in ``new`` replaced, and the other rows of ``new`` added.
@@ -53,11 +56,17 @@ def upsert_table(
 ) -> None:
     """Upsert ``new`` into the table at ``path``, which is made if it is not there.
 
-    ``partition_by`` columns must be among the keys; only the partitions that ``new`` touches are
-    then read and rewritten. ``new`` is read from a working copy, as it is gone through several
-    times. Without partitions the merged table is written beside the old one, which it replaces when
-    it is whole. With them, merged rows are written to a working copy first, because a table cannot
-    be overwritten while it is read. Either way a failing upsert leaves the old rows where they were.
+    ``partition_by`` columns must be among the keys. ``new`` is read from a working copy, as it is
+    gone through several times.
+
+    Of a table of plain files, only those that hold a key of ``new`` are read whole and replaced, see
+    :func:`files_holding`; the others stay as they are, and rows of new keys come in files of their
+    own. Merged rows are written to a working copy first and then beside the old files, which go last:
+    a merge that fails leaves the table as it was. If the removal of old files fails, the error names
+    those that are still there; their rows are in the new ones already.
+
+    In other formats the partitions that ``new`` touches are overwritten, or without partitions the
+    merged table takes the place of the old one.
     """
     outside = [c for c in partition_by if c not in keys]
     if outside:
@@ -69,6 +78,14 @@ def upsert_table(
         replace_table(merge_upsert(none, new, keys), path, fmt, partition_by=partition_by, sort_by=sort_by)
         return
     old = read_table(spark, path, fmt)
+    if fmt in FILES:
+        held = files_holding(old, new, keys)
+        merged = staged(merge_upsert(old.filter(F.col("_metadata.file_path").isin(held)), new, keys), "upsert")
+        write_table(merged, path, fmt, mode="append", partition_by=partition_by, sort_by=sort_by)
+        for i, file in enumerate(held):
+            if not remove_file(spark, file):
+                raise OSError(f"replaced files that could not be removed: {held[i:]}")
+        return
     if not partition_by:
         replace_table(merge_upsert(old, new, keys), path, fmt, sort_by=sort_by)
         return
@@ -76,6 +93,23 @@ def upsert_table(
     write_table(merged, path, fmt, partition_by=partition_by, sort_by=sort_by)
 
 
+def files_holding(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> list[str]:
+    """The files of a table that hold a row with a key of ``new``.
+
+    Only the keys are read, and only where the range of each of them, one row on the driver, does not
+    rule out a directory or a stretch of a file; a key sorted by within files, or a time that grows
+    from load to load, makes this a look at few files. The list is as long as the files to replace.
+    """
+    types = {f.name: f.dataType for f in old.schema}
+    wanted = new.select(*[F.col(k).cast(types[k]) for k in keys]).dropna()
+    ends = [(F.min(k).alias(f"min_{i}"), F.max(k).alias(f"max_{i}")) for i, k in enumerate(keys)]
+    ranges = wanted.agg(*[e for pair in ends for e in pair]).first()
+    between = [F.col(k).between(F.lit(ranges[f"min_{i}"]), F.lit(ranges[f"max_{i}"])) for i, k in enumerate(keys)]
+    held = old.filter(reduce(Column.__and__, between)).select(*keys, F.col("_metadata.file_path").alias("_file"))
+    found = held.join(wanted.distinct(), list(keys), "left_semi").select("_file").distinct()
+    return sorted(r._file for r in found.collect())
+
+
 def _touched(old: DataFrame, new: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Rows of ``old`` in partitions that occur in ``new``, by one plan for any number of them.
 

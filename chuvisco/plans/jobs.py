@@ -6,23 +6,24 @@ run for the same period wrote.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chuvisco.functions.metadata import MUNICIPALITY_COLUMNS, annotate
 from chuvisco.functions.periods import period_path
 from chuvisco.functions.stamp import stamp
 from chuvisco.operators.daily import daily_rollup
 from chuvisco.operators.dimension import build_refined, build_trusted
-from chuvisco.operators.documents import ARRIVAL, DAYS, distinct_documents, latest_documents, with_days
+from chuvisco.operators.documents import ARRIVAL, DAYS, distinct_documents, latest_documents, months_of, with_days
 from chuvisco.operators.hourly import components, hourly_wide
-from chuvisco.schemas import DOCUMENT, MUNICIPALITIES, STATES, WEATHER, Layout
-from chuvisco.sinks import path_exists, remove_path, staged, write_table
-from chuvisco.sources import read_csv, read_documents, read_table
+from chuvisco.schemas import DOCUMENT, MUNICIPALITIES, STATES, WEATHER, Layout, as_struct
+from chuvisco.sinks import holds_files, path_exists, remove_path, staged, write_table
+from chuvisco.sources import read_csv, read_table, split_documents
 
 
 @dataclass(frozen=True)
@@ -38,6 +39,9 @@ class Lake:
     def merged(self, name: str) -> str:
         return f"{self.root}/merged/{name}"
 
+    def quarantine(self, name: str) -> str:
+        return f"{self.root}/quarantine/{name}"
+
     def refined(self, name: str) -> str:
         return f"{self.root}/refined/{name}"
 
@@ -81,11 +85,19 @@ def compact_month(
     """The month's landed JSON documents, in ``YYYY/MM`` of the raw tree, to the merged table.
 
     They all go to one directory, so dropping repeated ones is the only shuffle. A month without
-    documents leaves no directory.
+    documents, or without a folder, leaves no directory. Records that cannot be read as documents go
+    to the month's directory of the quarantine table, with the file and the text.
     """
-    docs = read_documents(spark, period_path(lake.raw("clima"), when), schema, arrival=latest)
-    docs = docs.withColumns({"ano": F.lit(when.year), "mes": F.lit(when.month)})
-    if docs.isEmpty():
+    folder = period_path(lake.raw("clima"), when)
+    period = {"ano": F.lit(when.year), "mes": F.lit(when.month)}
+    docs = None
+    if path_exists(spark, folder):
+        docs, broken = split_documents(spark, folder, schema, arrival=latest)
+        docs = docs.withColumns(period)
+        _replace_month(spark, broken.withColumns(period), lake.quarantine("clima"), when)
+    else:
+        _remove_month(spark, lake.quarantine("clima"), when.year, when.month)
+    if docs is None or docs.isEmpty():
         _remove_month(spark, lake.merged("clima"), when.year, when.month)
     else:
         compact(docs, lake, layout, latest, arrange=None)
@@ -99,13 +111,13 @@ def refresh_month(
     Refined rows come from one document each, so only the month's partition is rewritten, by the
     tasks that read the documents. A day can take readings from several documents, and documents can
     cross the ends of months. So the daily rows of every month that the landed documents hold days of,
-    or held before, are made anew from all documents with days in those months.
+    or held before, are made anew from all documents with days in those months. A single reading far
+    away adds its month, not those in between.
     """
-    before = _days_of_month(spark, lake, when)
+    before = _months_held(spark, lake, when, layout)
     compact_month(spark, lake, when, layout, schema, latest)
-    touched = [d for d in (*before, *_days_of_month(spark, lake, when)) if d is not None]
-    merged = _merged(spark, lake)
-    month = None if merged is None else merged.filter((F.col("ano") == when.year) & (F.col("mes") == when.month))
+    touched = before | _months_held(spark, lake, when, layout)
+    month = _month_of(_merged(spark, lake), when)
     empty = month is None or month.isEmpty()
     names = [layout.time_table, *[m.table for m in layout.metrics]]
     tables = {} if empty else components(month.drop(*DAYS), layout)
@@ -115,74 +127,96 @@ def refresh_month(
         else:
             write_table(tables[name], lake.refined(f"clima/{name}"), partition_by=("ano", "mes"), arrange=None)
     if touched:
-        start, end = min(touched).replace(day=1), _month_end(max(touched))
-        _write_days(spark, lake, layout, merged, start, end)
-    return read_table(spark, lake.trusted("clima"))
+        _write_days(spark, lake, layout, touched)
+    return _daily(spark, lake, layout, as_struct(schema)[layout.entity].dataType)
 
 
 def backfill(
-    spark: SparkSession, lake: Lake, years: Iterable[int] | None = None, layout: Layout = WEATHER
+    spark: SparkSession, lake: Lake, years: Iterable[int] | None = None, layout: Layout = WEATHER, schema=DOCUMENT
 ) -> DataFrame:
     """Daily rows of the given years, or of all, from the merged documents; returns the daily table.
 
     All are made in one pass and laid out by the year and month of the day. Of the merged table, only
-    documents with days between the first and the last year asked for are read. Readings whose time
-    cannot be read have no day and are in no partition.
+    documents with days in the years asked for are read, wherever these lie. Readings whose time
+    cannot be read have no day and are in no partition. No years are no work, and a lake without
+    documents has an empty table; ``schema``, that of landed documents, names the entity's type for it.
     """
-    merged = _merged(spark, lake)
     if years is None:
-        _write_days(spark, lake, layout, merged)
+        _write_days(spark, lake, layout)
     else:
-        chosen = sorted(set(years))
-        _write_days(spark, lake, layout, merged, date(chosen[0], 1, 1), date(chosen[-1], 12, 31), chosen)
-    return read_table(spark, lake.trusted("clima"))
+        chosen = {(year, month) for year in set(years) for month in range(1, 13)}
+        if chosen:
+            _write_days(spark, lake, layout, chosen)
+    return _daily(spark, lake, layout, as_struct(schema)[layout.entity].dataType)
+
+
+#: Year and month.
+Month = tuple[int, int]
 
 
 def _merged(spark: SparkSession, lake: Lake) -> DataFrame | None:
-    return read_table(spark, lake.merged("clima")) if path_exists(spark, lake.merged("clima")) else None
+    return read_table(spark, lake.merged("clima")) if holds_files(spark, lake.merged("clima")) else None
 
 
-def _days_of_month(spark: SparkSession, lake: Lake, when: date) -> tuple:
-    """First and last day of readings in a month's merged documents."""
-    merged = _merged(spark, lake)
-    if merged is None:
-        return ()
-    month = merged.filter((F.col("ano") == when.year) & (F.col("mes") == when.month))
-    return tuple(month.agg(F.min(DAYS[0]), F.max(DAYS[1])).first())
+def _month_of(merged: DataFrame | None, when: date) -> DataFrame | None:
+    return None if merged is None else merged.filter((F.col("ano") == when.year) & (F.col("mes") == when.month))
 
 
-def _month_end(day: date) -> date:
-    return (day.replace(day=28) + timedelta(days=4)).replace(day=1) - timedelta(days=1)
+def _months_held(spark: SparkSession, lake: Lake, when: date, layout: Layout) -> set[Month]:
+    """The months in which a month's merged documents have readings, as many as the calendar has at most."""
+    month = _month_of(_merged(spark, lake), when)
+    return set() if month is None else {(r.ano, r.mes) for r in months_of(month, layout).collect()}
 
 
-def _write_days(
-    spark: SparkSession,
-    lake: Lake,
-    layout: Layout,
-    merged: DataFrame | None,
-    start: date | None = None,
-    end: date | None = None,
-    years: Sequence[int] | None = None,
-) -> None:
-    """The daily rows of whole months in the order of month, entity and day; months left without rows go."""
-    path = lake.trusted("clima")
+def _spans(months: set[Month]) -> list[tuple[date, date]]:
+    """The ranges of days that are a set of months, neighbours together."""
+    spans: list[tuple[date, date]] = []
+    for year, month in sorted(months):
+        first = date(year, month, 1)
+        last = (first + timedelta(days=31)).replace(day=1) - timedelta(days=1) if (year, month) < (9999, 12) else date.max
+        if spans and spans[-1][1] + timedelta(days=1) == first:
+            spans[-1] = spans[-1][0], last
+        else:
+            spans.append((first, last))
+    return spans
+
+
+def _daily(spark: SparkSession, lake: Lake, layout: Layout, entity: T.DataType) -> DataFrame:
+    """The daily table by its declared columns, which need no file to be there."""
+    fields = [T.StructField(layout.entity, entity), T.StructField("data", T.DateType())]
+    for metric in layout.metrics:
+        fields += [T.StructField(f"{metric.label}_{part}", T.DoubleType()) for part in ("media", "minima", "maxima")]
+    fields += [T.StructField("gerado_em", T.TimestampType()), T.StructField("ano", T.IntegerType()), T.StructField("mes", T.IntegerType())]
+    path, schema = lake.trusted("clima"), T.StructType(fields)
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return read_table(spark, path, schema=schema)
+
+
+def _write_days(spark: SparkSession, lake: Lake, layout: Layout, months: set[Month] | None = None) -> None:
+    """The daily rows of the given months, or of all, in the order of month, entity and day; months left without rows go."""
+    path, full, merged = lake.trusted("clima"), set(), _merged(spark, lake)
     if merged is not None:
-        daily = daily_rollup(hourly_wide(merged, layout, start, end), layout).filter(F.col("data").isNotNull())
-        daily = daily.withColumns({"ano": F.year("data"), "mes": F.month("data")})
-        if years is not None:
-            daily = daily.filter(F.col("ano").isin(*years))
-        made = staged(stamp(daily), "daily")
+        spans = None if months is None else _spans(months)
+        daily = daily_rollup(hourly_wide(merged, layout, spans=spans), layout).filter(F.col("data").isNotNull())
+        made = staged(stamp(daily.withColumns({"ano": F.year("data"), "mes": F.month("data")})), "daily")
         write_table(made, path, partition_by=("ano", "mes"), sort_by=(layout.entity, "data"), arrange="range")
         full = {(r.ano, r.mes) for r in made.select("ano", "mes").distinct().collect()}
-    else:
-        full = set()
-    # the months there are, a few hundred at most
-    there = read_table(spark, path).select("ano", "mes").distinct().collect() if path_exists(spark, path) else []
-    for ano, mes in ((r.ano, r.mes) for r in there):
-        asked = (years is None or ano in years) and (start is None or start <= date(ano, mes, 1) <= end)
-        if asked and (ano, mes) not in full:
+    if holds_files(spark, path):
+        # the months there are, as many as the calendar has at most
+        there = {(r.ano, r.mes) for r in read_table(spark, path).select("ano", "mes").distinct().collect()}
+        for ano, mes in (there if months is None else there & months) - full:
             _remove_month(spark, path, ano, mes)
 
 
+def _replace_month(spark: SparkSession, rows: DataFrame, path: str, when: date) -> None:
+    """The rows of a month's directory; without any, there is none."""
+    rows = staged(rows, "month")
+    if rows.isEmpty():
+        _remove_month(spark, path, when.year, when.month)
+    else:
+        write_table(rows, path, partition_by=("ano", "mes"), arrange=None)
+
+
 def _remove_month(spark: SparkSession, path: str, ano: int, mes: int) -> None:
     remove_path(spark, f"{path}/ano={ano}/mes={mes}")

@@ -1,7 +1,19 @@
 """Writes: landing files, tables, staged copies."""
 
 from chuvisco.sinks.landing import land_csv, land_documents
-from chuvisco.sinks.staging import path_exists, release, remove_path, staged, work_path
+from chuvisco.sinks.staging import holds_files, path_exists, release, remove_file, remove_path, staged, work_path
 from chuvisco.sinks.tables import replace_table, write_table
 
-__all__ = ["land_csv", "land_documents", "path_exists", "release", "remove_path", "replace_table", "staged", "work_path", "write_table"]
+__all__ = [
+    "holds_files",
+    "land_csv",
+    "land_documents",
+    "path_exists",
+    "release",
+    "remove_file",
+    "remove_path",
+    "replace_table",
+    "staged",
+    "work_path",
+    "write_table",
+]

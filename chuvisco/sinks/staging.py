@@ -43,6 +43,26 @@ def remove_path(spark: SparkSession, path: str) -> None:
     files.delete(location, True)
 
 
+def remove_file(spark: SparkSession, address: str) -> bool:
+    """Remove the file at an encoded address, as ``_metadata.file_path`` gives it; whether it is gone."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(address))
+    files = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(location, False)
+    return not files.exists(location)
+
+
+def holds_files(spark: SparkSession, path: str) -> bool:
+    """Whether a reader finds a file anywhere below ``path``; the listing ends at the first one."""
+    files, location = _file_system(spark, path)
+    if not files.exists(location):
+        return False
+    listed = files.listFiles(location, True)
+    while listed.hasNext():
+        if not listed.next().getPath().getName().startswith(("_", ".")):
+            return True
+    return False
+
+
 def move_path(spark: SparkSession, path: str, to: str) -> None:
     files, location = _file_system(spark, path)
     if not files.rename(location, spark._jvm.org.apache.hadoop.fs.Path(to)):

@@ -1,7 +1,7 @@
 """Scans: CSV, JSON documents, tables, views."""
 
 from chuvisco.sources.delimited import header_mismatch, read_csv
-from chuvisco.sources.documents import read_documents
+from chuvisco.sources.documents import read_documents, split_documents
 from chuvisco.sources.tables import read_table, register_views
 
-__all__ = ["header_mismatch", "read_csv", "read_documents", "read_table", "register_views"]
+__all__ = ["header_mismatch", "read_csv", "read_documents", "read_table", "register_views", "split_documents"]

@@ -69,6 +69,12 @@ SELECT l_suppkey AS codigo_ibge, data, CAST(year(data) AS INTEGER) AS ano, CAST(
     {_MEASURES}
 FROM wide {{where}} GROUP BY l_suppkey, data"""
 
+# The first reading of each document of one month is dated five years back.
+_STRAY = _DAILY_BY_YEAR.format(where="").replace(
+    "SELECT *, shipped + CAST(idx // 4 AS INTEGER) AS data",
+    "SELECT *, CASE WHEN idx = 0 AND ano = 1998 AND mes = 7 THEN DATE '1993-07-01' ELSE shipped + CAST(idx // 4 AS INTEGER) END AS data",
+)
+
 _MONTHS = f"""WITH docs AS (
     SELECT c_custkey, c_acctbal, make_date(2008 + c_custkey % 3, 1 + c_custkey // 3 % 12, 1) AS first FROM customer
 ), readings AS (
@@ -202,6 +208,10 @@ FROM customer""",
     "documents_subtree": f"WITH {_LINES} SELECT {_TIME_COLUMNS} FROM readings WHERE ano = 1997",
     "documents_region": f"""{_TEMPERATURE} JOIN supplier ON s_suppkey = l_suppkey
 JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'EUROPE'""",
+    "documents_quarantine": """
+SELECT CAST(year(l_shipdate) AS INTEGER) AS ano, CAST(month(l_shipdate) AS INTEGER) AS mes, l_linenumber <> 7 AS lidos,
+    COUNT(*) AS registros
+FROM lineitem GROUP BY ALL""",
     "documents_compacted": _DISTINCT_WIND,
     "table_years": f"WITH {_HISTORY} SELECT * FROM history WHERE ano IN (1996, 1998)",
     "table_glob": f"WITH {_HISTORY} SELECT * FROM history WHERE ano BETWEEN 1990 AND 1999",
@@ -214,6 +224,7 @@ SELECT l_suppkey AS codigo_ibge, unit_temperature_2m AS unidade, idx, MIN(temper
 FROM readings GROUP BY l_suppkey, unit_temperature_2m, idx""",
     "upsert": _UPSERT,
     "upsert_table": _UPSERT,
+    "upsert_files": _UPSERT,
     "monthly_requests": _requests(
         _months("1998-01-01", "1998-12-01"), "last_day(first)", "%Y/%m", _YEAR_MONTH
     ),
@@ -236,5 +247,7 @@ WHERE NOT EXISTS (
     "dimension_job": _TRUSTED,
     "backfill_job": _DAILY_BY_YEAR.format(where=""),
     "backfill_years": _DAILY_BY_YEAR.format(where="WHERE year(data) IN (1999, 2000)"),
+    "backfill_scattered_years": _DAILY_BY_YEAR.format(where="WHERE year(data) IN (1993, 1996, 1998)"),
+    "refresh_stray_reading": _STRAY,
     "refresh_month_job": _DAILY_BY_YEAR.format(where=""),
 }

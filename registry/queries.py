@@ -15,7 +15,7 @@ from chuvisco.functions.periods import period_path, reference_date
 from chuvisco.plans import Lake, backfill, compact, refresh_month, run_dimension
 from chuvisco.schemas import MUNICIPALITIES, MUNICIPALITIES_WIDE, Layout, assert_schema
 from chuvisco.sinks import land_csv, land_documents, staged, work_path, write_table
-from chuvisco.sources import read_csv, read_documents, read_table, register_views
+from chuvisco.sources import read_csv, read_documents, read_table, register_views, split_documents
 from registry.inputs import (
     EVENTS,
     LINE_DOCUMENT,
@@ -245,6 +245,20 @@ def documents_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.explode_metric(landed, "temperature_2m", LINES)
 
 
+def documents_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and broken records per month, where every seventh line of an order was cut off on the way."""
+    path = work_path(spark, "landing")
+    docs = line_documents(spark, sf_dir)
+    text = F.to_json(F.struct(*LINE_ENVELOPE))
+    cut = F.when(F.size("payload.hourly.time") == 7, F.substring(text, 1, F.floor(F.length(text) / 2).cast("int"))).otherwise(text)
+    docs.select(cut.alias("value"), "ano", "mes").write.partitionBy("ano", "mes").option("compression", "gzip").text(path)
+    found = [
+        part.groupBy("ano", "mes").agg(F.count(F.lit(1)).alias("registros")).withColumn("lidos", F.lit(whole))
+        for part, whole in zip(split_documents(spark, path, LINE_DOCUMENT), (True, False), strict=True)
+    ]
+    return found[0].unionByName(found[1])
+
+
 def documents_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _merged_lake(spark, sf_dir)
     return ops.explode_metric(read_table(spark, lake.merged("clima")), "windspeed_10m", LINES)
@@ -305,6 +319,15 @@ def upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path)
 
 
+def upsert_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in a table without partitions, of which the files without new values stay."""
+    old, new = _old_and_new(spark, sf_dir)
+    path = work_path(spark, "table")
+    write_table(old.repartitionByRange("time"), path, sort_by=("time",))
+    ops.upsert_table(new, path, keys=("codigo_ibge", "time"), sort_by=("time",))
+    return read_table(spark, path)
+
+
 # Requests
 
 
@@ -348,6 +371,23 @@ def backfill_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backfill(spark, _merged_lake(spark, sf_dir), years=[1999, 2000], layout=LINES).drop("gerado_em")
 
 
+def backfill_scattered_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Years apart, without the documents of those between."""
+    return backfill(spark, _merged_lake(spark, sf_dir), years=[1993, 1996, 1998], layout=LINES).drop("gerado_em")
+
+
+def refresh_stray_reading(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month landed again, now with a reading five years back in a document of each entity; the months between stay."""
+    lake, when = _merged_lake(spark, sf_dir), date(1998, 7, 1)
+    backfill(spark, lake, layout=LINES)
+    month = line_documents(spark, sf_dir).filter((F.col("ano") == when.year) & (F.col("mes") == when.month))
+    first = F.lit("1993-07-01T00:00").cast("string")
+    times = F.transform("payload.hourly.time", lambda time, i: F.when(i == 0, first).otherwise(time))
+    stray = month.withColumn("payload", F.col("payload").withField("hourly.time", times))
+    land_documents(stray, period_path(lake.raw("clima"), when), LINE_ENVELOPE)
+    return refresh_month(spark, lake, when, LINES, LINE_DOCUMENT).drop("gerado_em")
+
+
 def refresh_month_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All years filled, then one month landed and refreshed; the whole daily table."""
     lake, when = _merged_lake(spark, sf_dir), reference_date(datetime(1998, 8, 1, 20, 30))
@@ -448,6 +488,7 @@ _ALL: dict[str, Query] = {name: _on_lines(name) for name in ON_DOCUMENTS} | {
     "documents_recursive": documents_recursive,
     "documents_subtree": documents_subtree,
     "documents_region": documents_region,
+    "documents_quarantine": documents_quarantine,
     "documents_compacted": documents_compacted,
     "table_years": table_years,
     "table_glob": table_glob,
@@ -456,6 +497,7 @@ _ALL: dict[str, Query] = {name: _on_lines(name) for name in ON_DOCUMENTS} | {
     "views_cte": views_cte,
     "upsert": upsert,
     "upsert_table": upsert_table,
+    "upsert_files": upsert_files,
     "monthly_requests": monthly_requests,
     "yearly_requests": yearly_requests,
     "selected_requests": selected_requests,
@@ -463,6 +505,8 @@ _ALL: dict[str, Query] = {name: _on_lines(name) for name in ON_DOCUMENTS} | {
     "dimension_job": dimension_job,
     "backfill_job": backfill_job,
     "backfill_years": backfill_years,
+    "backfill_scattered_years": backfill_scattered_years,
+    "refresh_stray_reading": refresh_stray_reading,
     "refresh_month_job": refresh_month_job,
 }
 

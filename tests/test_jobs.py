@@ -1,16 +1,22 @@
 """Jobs from landing to the last table."""
 
+import gzip
+import os
+import re
+import shutil
 from datetime import date
 
 import pytest
 from build import document, documents, hours, two_months
 
 from chuvisco.functions import dictionary, period_path
-from chuvisco.operators import hourly_wide
+from chuvisco.operators import hourly_wide, of_days
+from chuvisco.operators.documents import MOST_SPANS, _fewer
 from chuvisco.plans import Lake, backfill, compact, compact_month, refresh_month, run_dimension
 from chuvisco.schemas import MUNICIPALITIES_WIDE, STATES
 from chuvisco.sinks import land_csv, land_documents
-from chuvisco.sources import read_table
+from chuvisco.plans.jobs import _spans
+from chuvisco.sources import read_table, split_documents
 
 
 @pytest.fixture
@@ -137,3 +143,99 @@ def test_a_month_without_documents_leaves_nothing(spark, lake, tmp_path):
     assert daily(refresh_month(spark, lake, july)) == [(1, 2023, "2023-08-01", 101.0)]
     assert {r.mes for r in read_table(spark, lake.refined("clima/humidade")).collect()} == {8}
     assert {r.mes for r in read_table(spark, lake.merged("clima")).collect()} == {8}
+
+
+def test_jobs_over_an_empty_lake(spark, lake):
+    when = date(2023, 7, 1)
+    for table in (backfill(spark, lake), backfill(spark, lake, years=[2000, 2022]), backfill(spark, lake, years=[]), refresh_month(spark, lake, when)):
+        assert table.count() == 0
+        assert {"codigo_ibge", "data", "temperatura_media", "ano", "mes"} <= set(table.columns)
+    os.makedirs(period_path(lake.raw("clima"), when))  # a folder without files
+    assert refresh_month(spark, lake, when).count() == 0
+
+
+def test_documents_without_a_readable_time(spark, lake):
+    when = date(2023, 7, 1)
+    land(documents(spark, document(1, 2023, 7, ["soon", None], [1.0, 1.0], [1.0, 3.0], [1.0, 1.0])), lake, when)
+    assert refresh_month(spark, lake, when).count() == 0
+    assert backfill(spark, lake).count() == 0
+    assert read_table(spark, lake.refined("clima/temperatura")).count() == 2
+
+
+def test_a_month_whose_folder_has_gone(spark, lake, tmp_path):
+    land(two_months(spark), lake, date(2023, 7, 1))
+    refresh_month(spark, lake, date(2023, 7, 1))
+    shutil.rmtree(tmp_path / "lake" / "raw" / "clima" / "2023")
+    assert refresh_month(spark, lake, date(2023, 7, 1)).count() == 0
+    assert backfill(spark, lake).count() == 0  # the merged table has no file left
+    assert backfill(spark, lake, years=[2023]).count() == 0
+
+
+def daily_files(tmp_path):
+    return {str(f): f.stat().st_mtime_ns for f in (tmp_path / "lake" / "trusted" / "clima").rglob("*.parquet")}
+
+
+def test_a_stray_reading_adds_its_month_alone(spark, lake, tmp_path):
+    for year, month in ((1970, 1), (1990, 5), (2023, 6), (2023, 7)):
+        land(documents(spark, document(2, year, month, hours(f"{year}-{month:02}-02", 2), [1.0] * 2, [4.0, 6.0], [1.0] * 2)), lake, date(year, month, 1))
+        refresh_month(spark, lake, date(year, month, 1))
+    before = daily_files(tmp_path)
+    stray = document(1, 2023, 7, ["1970-01-01T00:00", *hours("2023-07-01", 1)], [1.0] * 2, [8.0, 10.0], [1.0] * 2)
+    land(documents(spark, stray), lake, date(2023, 7, 1))
+    table = refresh_month(spark, lake, date(2023, 7, 1))
+    assert daily(table) == [
+        (1, 1970, "1970-01-01", 8.0), (1, 2023, "2023-07-01", 10.0),
+        (2, 1970, "1970-01-02", 5.0), (2, 1990, "1990-05-02", 5.0), (2, 2023, "2023-06-02", 5.0), (2, 2023, "2023-07-02", 5.0),
+    ]
+    kept = {file for file, stamp in before.items() if daily_files(tmp_path).get(file) == stamp}
+    assert {re.search(r"ano=(\d+)/mes=(\d+)", f).groups() for f in kept} == {("1990", "5"), ("2023", "6")}
+
+
+def test_scattered_years_open_no_document_between(spark, lake):
+    years = [2000, 2005, 2010, 2022]
+    docs = [document(1, y, 3, hours(f"{y}-03-01", 2), [1.0] * 2, [y + 0.0] * 2, [1.0] * 2) for y in years]
+    compact(documents(spark, *docs), lake)
+    assert daily(backfill(spark, lake, years=[2000, 2022])) == [(1, 2000, "2000-03-01", 2000.0), (1, 2022, "2022-03-01", 2022.0)]
+    merged = read_table(spark, lake.merged("clima"))
+    spans = _spans({(y, m) for y in (2000, 2022) for m in range(1, 13)})
+    assert spans == [(date(2000, 1, 1), date(2000, 12, 31)), (date(2022, 1, 1), date(2022, 12, 31))]
+    read = of_days(merged, spans)
+    assert sorted(r.ano for r in read.collect()) == [2000, 2022]
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(And(GreaterThanOrEqual(ultimo_dia" in plan
+
+
+def test_many_ranges_are_taken_together_at_their_smallest_gaps():
+    months = {(1900 + i, 1 + i % 12) for i in range(150)}
+    fewer = _fewer(_spans(months))
+    assert len(fewer) == MOST_SPANS
+    assert all(any(a <= start and end <= b for a, b in fewer) for start, end in _spans(months))
+
+
+def test_broken_records_go_to_quarantine(spark, lake, tmp_path):
+    when, folder = date(2023, 7, 1), tmp_path / "lake" / "raw" / "clima" / "2023" / "07"
+    docs = two_months(spark)
+    land(docs, lake, when)
+    good = max(folder.glob("*.gz"), key=lambda f: f.stat().st_size)
+    line = gzip.decompress(good.read_bytes()).decode().strip()
+    broken = [line[:40], '{"codigo_ibge": "one"}', "[" + line + "]", "17", "no json"]
+    (folder / "more.json").write_text("\n".join([line.replace('"codigo_ibge":1', '"codigo_ibge":2'), *broken, "", "  ", line.replace('"codigo_ibge":1', '"codigo_ibge":3')]))
+    table = refresh_month(spark, lake, when)
+    assert [r[0] for r in daily(table)] == [1, 2, 3]
+    held = read_table(spark, lake.quarantine("clima"))
+    assert sorted(r.registro for r in held.collect()) == sorted(broken)
+    assert {(r.documento.rsplit("/", 1)[1], r.inicio, r.ano, r.mes) for r in held.collect()} == {("more.json", 0, 2023, 7)}
+    (folder / "more.json").unlink()
+    for crc in folder.glob(".more*"):
+        crc.unlink()
+    assert [r[0] for r in daily(refresh_month(spark, lake, when))] == [1]
+    assert not any((tmp_path / "lake" / "quarantine").rglob("*.parquet"))
+
+
+@pytest.mark.parametrize("columns", [["codigo_ibge"], ["payload"], []])
+def test_whether_a_record_is_broken_does_not_depend_on_the_columns_asked_for(spark, tmp_path, columns):
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "a.json").write_text('{"codigo_ibge": 1, "payload": 3}\n{"codigo_ibge": "x"}\n{"codigo_ibge": 4}\n')
+    docs, broken = split_documents(spark, str(tmp_path / "d"), period="month", arrival=True)
+    assert {"ano", "mes", "documento", "recebido_em"} <= set(docs.columns)
+    assert docs.select(*columns).count() == len(docs.select(*columns).collect()) == 1 and broken.count() == 2

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from chuvisco.functions import annotate, dictionary, require_annotations, stamp
 from chuvisco.functions.metadata import MUNICIPALITY_COLUMNS, WEATHER_COLUMNS
-from chuvisco.operators import explode_metric, explode_time, latest_documents, merge_upsert, upsert_table
+from chuvisco.operators import explode_metric, explode_time, files_holding, latest_documents, merge_upsert, upsert_table
 from chuvisco.operators.upsert import _touched
 from chuvisco.schemas import DOCUMENT, MUNICIPALITIES, MUNICIPALITIES_WIDE, assert_schema
 from chuvisco.sinks import land_csv, land_documents, staged, work_path, write_table
@@ -421,3 +421,24 @@ def test_time_table_upsert(spark, tmp_path):
         upsert_table(table, path, ("ano", "codigo_ibge", "time"), partition_by=("ano",))
     assert sorted((r.idx, r.elevation) for r in read_table(spark, path).collect()) == [(0, 2.0), (1, 2.0), (2, 2.0)]
     assert not os.path.exists(f"{path}/_temporary")
+
+
+@pytest.mark.parametrize("partition_by", [(), ("dia",)])
+def test_table_upsert_replaces_only_files_with_a_touched_key(spark, tmp_path, partition_by):
+    path = str(tmp_path / "a table %41")
+    keys = ("dia", "codigo")
+    number = F.col("id").alias("codigo")
+    rows = spark.range(0, 800).select(F.concat(F.lit("d: %"), F.floor(F.col("id") / 400).cast("string")).alias("dia"), number, F.lit(1.0).alias("valor"))
+    write_table(rows.repartitionByRange(8, "codigo"), path, partition_by=partition_by, sort_by=("codigo",), arrange=None)
+    before = set(files(path, "**/*.parquet"))
+    assert len(before) >= 8
+    new = [("d: %0", 7, 2.0), ("d: %0", 9, 2.0), ("d: %1", 790, 2.0), ("d: %1", 5000, 3.0), (None, 3, 4.0)]
+    new = spark.createDataFrame(new, "dia string, codigo long, valor double")
+    assert len(files_holding(read_table(spark, path), new, keys)) == 2
+    upsert_table(new, path, keys, partition_by=partition_by)
+    assert len(before - set(files(path, "**/*.parquet"))) == 2
+    found = {(r.dia, r.codigo): r.valor for r in read_table(spark, path).collect()}
+    assert len(found) == read_table(spark, path).count() == 802
+    assert {k: v for k, v in found.items() if v != 1.0} == {(r.dia, r.codigo): r.valor for r in new.collect()}
+    upsert_table(new.dropna().filter("codigo > 10000"), path, keys, partition_by=partition_by)  # nothing to do
+    assert read_table(spark, path).count() == 802
