@@ -31,3 +31,14 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+
+
+def test_a_module_that_is_not_there_costs_the_optional_queries_alone():
+    code = (
+        "import sys; sys.modules['public_tokenizers'] = None\n"
+        "import __spark_entry__ as e; from registry.queries import QUERIES\n"
+        "assert list(e.queries()) == list(QUERIES) and set(e.oracle_sql()) <= set(QUERIES)"
+    )
+    root = Path(__file__).parents[1]
+    done = subprocess.run([sys.executable, "-W", "ignore", "-c", code], cwd=root, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
