@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chuvisco.llm.links import components
-from chuvisco.llm.shared import among, flat, slices, stored, stretch_hashes, table
+from chuvisco.llm.shared import among, flat, numbered_columns, slices, stored, stretch_hashes, table
 
 #: Bits of the sketch that pairs are first compared by.
 BITS = 1024
@@ -58,9 +58,10 @@ def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
 def shingle_sets(data: np.ndarray, starts: np.ndarray, words: int) -> Iterator[np.ndarray]:
     """For each text the sorted hashes of its distinct shingles."""
     hashes, bounds = word_hashes(data, starts)
-    rolled = np.zeros(max(len(hashes) - words + 1, 0), np.uint64)
+    n = max(len(hashes) - words + 1, 0)
+    rolled = np.zeros(n, np.uint64)
     for i in range(words):
-        rolled = mix(rolled * _ODD + hashes[i : len(hashes) - words + 1 + i])
+        rolled = mix(rolled * _ODD + hashes[i : i + n])
     for a, b in zip(bounds[:-1], bounds[1:], strict=True):
         if b - a >= words:
             yield np.unique(rolled[a : b - words + 1])
@@ -336,12 +337,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, key: str
 
 
 def without_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each component, that of the smallest key; of repeated rows one stays. Texts without
-    words stay."""
+    """``docs`` with one row of each component, that of the smallest key; of repeated rows, and of rows of one key
+    with equal texts, one stays. Texts without words, empty and null ones among them, stay unless the row is repeated. A
+    null key counts as greater than any other. An empty table stays empty; other columns stay, whatever their names."""
     found = stored(near_duplicates(docs, words, percent, key, text).select("row", "component_row"))
     gone = found.where("row <> component_row").select("row").distinct()
     twice = stored(found.where("row = component_row").groupBy("row").count().where("count > 1").select("row"))
-    marked = docs.withColumn("__row", F.xxhash64(F.col(text).cast("string"), F.col(key).cast("long")))
+    plain = numbered_columns(docs)
+    place = {c: F.col(f"c{i}") for i, c in enumerate(docs.columns)}
+    marked = plain.withColumn("__row", F.xxhash64(place[text].cast("string"), place[key].cast("long")))
     rows = twice.withColumnRenamed("row", "__row")
     single = among(marked, stored(gone.union(twice)).withColumnRenamed("row", "__row"), "__row", "left_anti")
-    return single.unionByName(among(marked, rows, "__row").dropDuplicates(["__row"])).drop("__row")
+    return single.unionByName(among(marked, rows, "__row").dropDuplicates(["__row"])).drop("__row").toDF(*docs.columns)

@@ -60,6 +60,11 @@ def texts_of(docs: DataFrame, key: str, text: str, *others: str) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), *others)
 
 
+def numbered_columns(docs: DataFrame) -> DataFrame:
+    """``docs`` with its columns as ``c0``, ``c1`` and so on, whatever they are called, so that none clashes with our own."""
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+
+
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column and the place where each value starts (and the last ends); null is empty."""
     array = pc.fill_null(column.cast(pa.large_binary()), b"")

@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chuvisco.llm.shared import among, flat, slices, stored, stretch_hashes, table
+from chuvisco.llm.shared import among, flat, numbered_columns, slices, stored, stretch_hashes, table
 
 #: Bytes of contexts that one suffix array takes together.
 BUCKET = 1 << 16
@@ -408,17 +408,23 @@ def remove_repeats(docs: DataFrame, width: int = 400, key: str = "doc_id", text:
 
 
 def without_repeats(docs: DataFrame, width: int = 400, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with the repeated bytes taken out of their texts, and bytes of characters cut in two with them."""
+    """``docs`` with the repeated bytes taken out of their texts, and bytes of characters cut in two with them.
+
+    A row per row of ``docs``, in any order. Null texts stay null, empty and short ones as they are; a text that stands
+    twice, by a repeated row or otherwise, loses all of it where it has ``width`` bytes. Null keys are keys like others. An
+    empty table stays empty; other columns stay as they are, whatever their names.
+    """
     place, schema = docs.columns.index(text), docs.schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text):
+        for batch in slices(batches, f"c{place}"):
             columns = list(batch.columns[:-1])
             values = columns[place].to_pylist()
             for i, repeats in enumerate(batch.columns[-1].to_pylist()):
                 if repeats:
                     values[i] = _kept(values[i].encode(), repeats, width)[0].decode("utf-8", "ignore")
             columns[place] = pa.array(values, columns[place].type)
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return with_repeats(docs, width, key=key, text=text).mapInArrow(cut, schema)
+    found = with_repeats(numbered_columns(docs), width, key=f"c{docs.columns.index(key)}", text=f"c{place}")
+    return found.mapInArrow(cut, schema)

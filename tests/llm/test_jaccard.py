@@ -5,7 +5,7 @@ import pytest
 
 import chuvisco.llm.jaccard as jaccard
 import chuvisco.llm.shared as shared
-from chuvisco.llm.jaccard import Bands, near_duplicates, shingle_sets, sketch
+from chuvisco.llm.jaccard import Bands, near_duplicates, shingle_sets, sketch, without_near_duplicates
 from chuvisco.llm.links import components
 from chuvisco.llm.queries import op8_ngram_jaccard_join
 
@@ -58,6 +58,14 @@ def test_sets_count_distinct_shingles():
     assert set(sets[1]) < set(sets[0]) and set(sets[1]) < set(sets[6])
 
 
+@pytest.mark.parametrize("n", range(8))
+def test_few_words_in_all_texts_together(n):
+    held = [b"a " * n, b"", b"b"]
+    for words in (1, 3, 5):
+        sets = list(shingle_sets(np.frombuffer(b"".join(held), np.uint8), np.cumsum([0, *map(len, held)]), words))
+        assert [len(s) for s in sets] == [min(n, 1), 0, 1]
+
+
 @pytest.mark.parametrize("percent", [80, 90])
 @pytest.mark.parametrize("n", [1, 2, 5, 10, 19, 20, 40, 100, 333, 1000, 6000])
 def test_pairs_at_the_threshold_share_a_key_and_sketches_stay_below(percent, n):
@@ -136,6 +144,14 @@ def test_query_over_the_documents(spark):
     assert as_rows(op8_ngram_jaccard_join(spark, "/root/testdata/sf0.01")) == by_hand([tuple(r) for r in docs], 3, 90)
 
 
+def test_columns_named_like_our_own_stay(spark):
+    rows = [(1, "a b c", 7, "x", 0), (2, "A  b c", 8, "y", 1), (3, None, 9, "z", 2), (4, "d", 6, "w", 3), (4, "d", 6, "w", 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __row long, row string, c0 int")
+    out = without_near_duplicates(df)
+    assert out.columns == df.columns
+    assert sorted(map(repr, map(tuple, out.collect()))) == sorted(map(repr, [rows[0], rows[2], rows[3]]))
+
+
 def test_long_words_of_two_letters_are_told_apart(spark):
     """Words on which polynomials modulo a power of two agree, whatever the base."""
     bits = [bin(i).count("1") % 2 for i in range(2048)]

@@ -102,6 +102,14 @@ def test_rewritten_texts_keep_all_columns(spark):
     assert as_rows(remove_repeats(df.limit(0))) == []
 
 
+def test_columns_named_like_our_own_stay(spark):
+    rows = [(i, t, 10 + i, "a", [i], -i) for i, (_, t) in enumerate(passages(2)[:12])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __row long, __doc string, __repeats array<int>, c0 int")
+    out = without_repeats(df)
+    assert out.schema == df.schema
+    assert sorted((r[0], *r[2:]) for r in out.collect()) == sorted((r[0], *r[2:]) for r in rows)
+
+
 def test_query_over_the_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
     assert as_rows(op1_suffix_array_dedup(spark, sf_dir)) == by_hand([tuple(r) for r in docs], 400)
