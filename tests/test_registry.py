@@ -1,6 +1,9 @@
 """Every registered query against its SQL, on the smallest tables."""
 
 import os
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from oracle import connect, differences
