@@ -31,17 +31,19 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words, a similarity of 0.8), the one of the smallest key."""
+    """One document of each group of near copies (five words, a similarity of 0.8), the one of the smallest key; a null key comes
+    last. Of repeated rows one stays. Null and empty texts have no copies but rows equal in key and text."""
     return without_near_duplicates(docs, words=5, percent=80)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that stand anywhere else."""
+    """Texts without the passages that stand anywhere else, in other documents or the same one. All rows stay; null texts stay
+    null, empty ones empty, and a text that is nothing but repeats becomes empty."""
     return _counted(without_repeats(docs, PASSAGE))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with secrets masked, also those in inner layers."""
+    """Texts with secrets masked, also those in inner layers. All rows stay; null texts stay null, empty ones empty."""
     return _counted(redact(docs))
 
 
