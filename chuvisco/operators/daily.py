@@ -41,6 +41,38 @@ def daily_rollup(
     return daily.orderBy(layout.entity, "data") if sort else daily
 
 
+def daily_parts(hourly: DataFrame, layout: Layout = WEATHER) -> DataFrame:
+    """What each document adds to each day: ``<label>_soma``, ``<label>_n``, ``<label>_minima`` and ``<label>_maxima`` of every
+    metric per document and day.
+
+    Days made of these by :func:`merge_parts` equal those of :func:`daily_rollup`, but a document that comes, changes or goes
+    only changes its own rows. Nulls count in no ``n``; without values the other parts are null. Readings without a
+    readable time are a part without a day.
+    """
+    measures: list[Column] = []
+    for metric in layout.metrics:
+        measures += [
+            F.sum(metric.name).alias(f"{metric.label}_soma"),
+            F.count(metric.name).alias(f"{metric.label}_n"),
+            F.min(metric.name).alias(f"{metric.label}_minima"),
+            F.max(metric.name).alias(f"{metric.label}_maxima"),
+        ]
+    return hourly.withColumn("data", F.col("time").cast("date")).groupBy(*layout.keys, "data").agg(*measures)
+
+
+def merge_parts(parts: DataFrame, layout: Layout = WEATHER) -> DataFrame:
+    """Days per entity from the rows of :func:`daily_parts`, with the columns of :func:`daily_rollup`. One shuffle, of rows
+    that each task has already merged per entity and day."""
+    measures: list[Column] = []
+    for metric in layout.metrics:
+        measures += [
+            F.try_divide(F.sum(f"{metric.label}_soma"), F.sum(f"{metric.label}_n")).alias(f"{metric.label}_media"),
+            F.min(f"{metric.label}_minima").alias(f"{metric.label}_minima"),
+            F.max(f"{metric.label}_maxima").alias(f"{metric.label}_maxima"),
+        ]
+    return parts.groupBy(layout.entity, "data").agg(*measures)
+
+
 def align_components(
     tables: Mapping[str, DataFrame], layout: Layout = WEATHER, keys: Sequence[str] | None = None
 ) -> DataFrame:

@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chuvisco.operators.documents import Span, of_days, within, within_any
 from chuvisco.schemas import WEATHER, Layout
@@ -52,6 +53,69 @@ def components(docs: DataFrame, layout: Layout = WEATHER, distinct: str | None =
     return tables
 
 
+def stacked_components(docs: DataFrame, layout: Layout = WEATHER) -> DataFrame:
+    """The rows of all refined tables of a layout in one pass over the documents, with the table's name in ``tabela``.
+
+    Each row has the columns of every table, null but for those of its own; :func:`component_of` gives a table back. Written
+    with ``partition_by=("tabela", ...)``, one scan and one write make all tables, and reading one opens its directory alone.
+    """
+    names = [_leaf(path) for path in layout.attributes]
+    metrics = [m.name for m in layout.metrics]
+    flat = docs.select(
+        *layout.keys,
+        F.col(layout.time).alias("time"),
+        *[F.col(m.values).alias(m.name) for m in layout.metrics],
+        *[F.col(m.unit).alias(f"unit_{m.name}") for m in layout.metrics],
+        *[F.col(path).alias(_leaf(path)) for path in layout.attributes],
+    )
+    element = {c: flat.schema[c].dataType.elementType for c in ("time", *metrics)}
+
+    def rows(table: str, values: str) -> Column:
+        def row(value: Column, i: Column) -> Column:
+            cells = [value.alias(c) if c == values else F.lit(None).cast(kind).alias(c) for c, kind in element.items()]
+            return F.struct(F.lit(table).alias("tabela"), i.alias("idx"), *cells)
+
+        return F.coalesce(F.transform(values, row), F.array().cast(_rows_type(element)))
+
+    every = F.concat(rows(layout.time_table, "time"), *[rows(m.table, m.name) for m in layout.metrics])
+    own = {f"unit_{m.name}": m.table for m in layout.metrics} | dict.fromkeys(names, layout.time_table)
+    return flat.select(*layout.keys, *own, F.inline(every)).select(
+        "tabela",
+        *layout.keys,
+        "idx",
+        _wall_clock("time").alias("time"),
+        *metrics,
+        *[F.when(F.col("tabela") == table, F.col(c)).alias(c) for c, table in own.items()],
+    )
+
+
+def component_of(stacked: DataFrame, name: str, layout: Layout = WEATHER) -> DataFrame:
+    """One of the tables that :func:`stacked_components` put together, with the columns it has in :func:`components`."""
+    if name == layout.time_table:
+        columns = ["time", *[_leaf(path) for path in layout.attributes]]
+    else:
+        (metric,) = [m.name for m in layout.metrics if m.table == name]
+        columns = [metric, f"unit_{metric}"]
+    return stacked.filter(F.col("tabela") == name).select(*layout.keys, "idx", *columns)
+
+
+def settle_hours(hourly: DataFrame, layout: Layout = WEATHER, order_by: Sequence[str] | None = None) -> DataFrame:
+    """One reading per entity and time where documents overlap: the one of the last document by ``order_by``.
+
+    The order is that of the layout's document columns by default; name a column the layout carries as an attribute to go by
+    arrival. Of several readings of one document at one time the one of the last position stays, and what is left equal
+    is decided by value. A null in the later reading stands. Readings without a readable time are kept, equal ones once.
+
+    The choice is an aggregate: each task passes on one candidate per entity and time, however many documents hold it.
+    """
+    order = [c for c in order_by or layout.document if c != layout.entity]
+    later = [*order, *[c for c in ("idx",) if c in hourly.columns]]
+    rest = [c for c in hourly.columns if c not in (layout.entity, "time", *later)]
+    alone = F.when(F.col("time").isNull(), F.struct(*later, *rest)).alias("_alone")
+    last = F.max(F.struct(*later, *rest)).alias("_last")
+    return hourly.groupBy(layout.entity, "time", alone).agg(last).select(layout.entity, "time", "_last.*").select(*hourly.columns)
+
+
 def hourly_wide(
     docs: DataFrame,
     layout: Layout = WEATHER,
@@ -128,6 +192,11 @@ def _check_distinct(distinct: str | None) -> None:
         raise ValueError(f"distinct is None, 'documents' or 'rows', not {distinct!r}")
 
 
+def _rows_type(element: dict[str, T.DataType]) -> T.ArrayType:
+    cells = [T.StructField(c, kind) for c, kind in element.items()]
+    return T.ArrayType(T.StructType([T.StructField("tabela", T.StringType()), T.StructField("idx", T.IntegerType()), *cells]))
+
+
 def _wall_clock(column: str) -> Column:
     return F.col(column).try_cast("timestamp_ntz")
 

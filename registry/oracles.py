@@ -96,6 +96,11 @@ _DIMENSION = """
 _TRUSTED = f"""WITH dimension AS ({_DIMENSION})
 SELECT codigo_ibge, nome, e_capital, uf, nome_estado, regiao FROM dimension"""
 
+# Per supplier and hour, the reading of the last document that holds it.
+_SETTLED = f"""{_LINES}, settled AS (
+    SELECT * FROM wide QUALIFY row_number() OVER (PARTITION BY l_suppkey, time ORDER BY ano DESC, mes DESC, remessa DESC, idx DESC) = 1
+)"""
+
 _HISTORY = """history AS (
     SELECT CAST(year(o_orderdate) AS INTEGER) AS ano, o_orderkey AS codigo_ibge, o_orderdate AS time,
            o_totalprice AS valor, o_orderpriority AS prioridade
@@ -250,4 +255,17 @@ WHERE NOT EXISTS (
     "backfill_scattered_years": _DAILY_BY_YEAR.format(where="WHERE year(data) IN (1993, 1996, 1998)"),
     "refresh_stray_reading": _STRAY,
     "refresh_month_job": _DAILY_BY_YEAR.format(where=""),
+    "refresh_days_job": _DAILY_BY_YEAR.format(
+        where="WHERE NOT (ano = 1996 AND mes = 5 AND l_tax = 0) AND NOT (ano = 1997 AND mes = 2)"
+    ),
+    "compact_new_files": _DISTINCT_WIND,
+    "daily_from_parts": _DAILY,
+    "hourly_settled": f"""WITH {_SETTLED}
+SELECT l_suppkey AS codigo_ibge, time, ano, mes, remessa, idx, relativehumidity_2m, temperature_2m, windspeed_10m FROM settled""",
+    "daily_settled": f"WITH {_SETTLED} SELECT l_suppkey AS codigo_ibge, data, {_MEASURES} FROM settled GROUP BY l_suppkey, data",
+    "stacked_tables": f"""WITH {_DISTINCT_LINES}
+SELECT l_suppkey AS codigo_ibge, ano, mes, remessa, idx, time, relativehumidity_2m, temperature_2m, windspeed_10m
+FROM wide""",
+    "table_of_two_types": f"""WITH {_HISTORY}
+SELECT ano, codigo_ibge, time, CAST(floor(valor) AS DOUBLE) AS valor, prioridade FROM history""",
 }

@@ -12,10 +12,10 @@ from chuvisco import operators as ops
 from chuvisco.functions import annotate, require_annotations, stamp
 from chuvisco.functions.metadata import MUNICIPALITY_COLUMNS, WEATHER_COLUMNS
 from chuvisco.functions.periods import period_path, reference_date
-from chuvisco.plans import Lake, backfill, compact, refresh_month, run_dimension
+from chuvisco.plans import Lake, backfill, compact, compact_month, refresh_days, refresh_month, run_dimension
 from chuvisco.schemas import MUNICIPALITIES, MUNICIPALITIES_WIDE, Layout, assert_schema
 from chuvisco.sinks import land_csv, land_documents, staged, work_path, write_table
-from chuvisco.sources import read_csv, read_documents, read_table, register_views, split_documents
+from chuvisco.sources import read_csv, read_declared, read_documents, read_table, register_views, split_documents
 from registry.inputs import (
     EVENTS,
     LINE_DOCUMENT,
@@ -151,6 +151,31 @@ def month_documents_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.rollup_components(ops.components(_merged(month_documents(spark, sf_dir))))
 
 
+def daily_from_parts(docs: DataFrame) -> DataFrame:
+    """The daily rollup, made of what each document adds to each day."""
+    return ops.merge_parts(ops.daily_parts(ops.hourly_wide(docs, LINES), LINES), LINES)
+
+
+def hourly_settled(docs: DataFrame) -> DataFrame:
+    """One reading per supplier and hour, of the last of the documents that hold it."""
+    rows = ops.settle_hours(ops.hourly_wide(docs, LINES), LINES)
+    return rows.select("codigo_ibge", "time", "ano", "mes", "remessa", "idx", *[m.name for m in LINES.metrics])
+
+
+def daily_settled(docs: DataFrame) -> DataFrame:
+    return ops.daily_rollup(ops.settle_hours(ops.hourly_wide(docs, LINES), LINES), LINES)
+
+
+def stacked_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The refined tables in one scan and one write, and their readings by position from the stored table."""
+    path = work_path(spark, "components")
+    stacked = ops.stacked_components(ops.distinct_documents(line_documents(spark, sf_dir)), LINES)
+    write_table(stacked, path, partition_by=("tabela", "ano", "mes"))
+    stored = read_table(spark, path)
+    names = [LINES.time_table, *[m.table for m in LINES.metrics]]
+    return ops.align_components({name: ops.component_of(stored, name, LINES) for name in names}, LINES)
+
+
 # Dimension
 
 
@@ -397,6 +422,37 @@ def refresh_month_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refresh_month(spark, lake, when, LINES, LINE_DOCUMENT).drop("gerado_em")
 
 
+def refresh_days_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily rows from stored parts: all months, then one month without untaxed lines and one that has gone."""
+    lake = _merged_lake(spark, sf_dir)
+    refresh_days(spark, lake, LINES, LINE_DOCUMENT)
+    when, gone = date(1996, 5, 1), date(1997, 2, 1)
+    month = line_documents(spark, sf_dir).filter((F.col("ano") == when.year) & (F.col("mes") == when.month) & (F.col("payload.longitude") > 0))
+    land_documents(month, period_path(lake.raw("clima"), when), LINE_ENVELOPE)
+    compact_month(spark, lake, when, LINES, LINE_DOCUMENT)
+    return refresh_month(spark, lake, gone, LINES, LINE_DOCUMENT, parts=True).drop("gerado_em")
+
+
+def compact_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All months merged, then one landed anew in two goes, of which the second reads its own files only."""
+    lake, when = _merged_lake(spark, sf_dir), date(1995, 3, 1)
+    month = line_documents(spark, sf_dir).filter((F.col("ano") == when.year) & (F.col("mes") == when.month))
+    taxed = F.col("payload.longitude") > 0
+    for part in (taxed, ~taxed):
+        land_documents(month.filter(part), period_path(lake.raw("clima"), when), LINE_ENVELOPE)
+        compact_month(spark, lake, when, LINES, LINE_DOCUMENT, incremental=True)
+    return ops.explode_metric(read_table(spark, lake.merged("clima")), "windspeed_10m", LINES)
+
+
+def table_of_two_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Years whose values are stored as whole numbers next to years of doubles."""
+    path = work_path(spark, "table")
+    history = orders_history(spark, sf_dir).withColumn("valor", F.floor("valor").cast("double"))
+    write_table(history.filter(F.col("ano") % 2 == 0), path, partition_by=("ano",))
+    write_table(history.filter(F.col("ano") % 2 == 1).withColumn("valor", F.col("valor").cast("long")), path, partition_by=("ano",))
+    return read_declared(spark, path, history.schema, partition_by=("ano",))
+
+
 # Inputs that are written first
 
 
@@ -453,6 +509,9 @@ ON_DOCUMENTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "daily_rollup_components": daily_rollup_components,
     "daily_rollup_by_position": daily_rollup_by_position,
     "aligned_components": aligned_components,
+    "daily_from_parts": daily_from_parts,
+    "hourly_settled": hourly_settled,
+    "daily_settled": daily_settled,
 }
 
 # The column that is the entity, where it is not the supplier.
@@ -508,6 +567,10 @@ _ALL: dict[str, Query] = {name: _on_lines(name) for name in ON_DOCUMENTS} | {
     "backfill_scattered_years": backfill_scattered_years,
     "refresh_stray_reading": refresh_stray_reading,
     "refresh_month_job": refresh_month_job,
+    "stacked_tables": stacked_tables,
+    "refresh_days_job": refresh_days_job,
+    "compact_new_files": compact_new_files,
+    "table_of_two_types": table_of_two_types,
 }
 
 QUERIES: dict[str, Query] = {name: _with_folder(query) for name, query in _ALL.items()}
