@@ -46,6 +46,70 @@ _ALPHABET = str.maketrans("-_", "+/", " \t\r\n")
 _PLAIN = re.compile(rb"[\t\r\n\x20-\x7e]{12}")
 _UTF8 = re.compile(rb"(?:[\x00-\x7f]|[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3})+")
 
+#: Where compressed bytes may begin: gzip, zlib, bzip2 and xz (fixed values).
+_MAGIC = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00")
+_CONTROL = {"0": 0, "a": 7, "b": 8, "t": 9, "n": 10, "v": 11, "f": 12, "r": 13}
+
+
+@dataclass(frozen=True)
+class _Bytes:
+    """A way to write bytes in a text. ``unit`` matches one byte: its groups are two hexadecimal digits, a decimal number, a letter
+    after a backslash, and a character that stands for itself; ``begin`` matches where compressed bytes may begin."""
+
+    unit: re.Pattern
+    begin: re.Pattern
+
+    @staticmethod
+    def of(hexadecimal: str, plain: str, decimal: str = "(?!)()", short: str = "(?!)()") -> _Bytes:
+        unit = re.compile(f"{hexadecimal}|{decimal}|{short}|({plain})")
+
+        def one(*values: int) -> str:
+            # the escapes of a byte by their digits, which the groups of a unit would take as any
+            ways = []
+            for v in values:
+                ways.append(hexadecimal.replace("([0-9A-Fa-f]{2})", f"(?i:{v:02x})"))
+                ways.append(decimal.replace("([0-9]{1,3})", str(v)))
+                ways += [re.escape("\\" + letter) for letter, value in _CONTROL.items() if value == v and "([0abtnvfr" in short]
+                if re.fullmatch(plain, chr(v)):
+                    ways.append(re.escape(chr(v)))
+            return f"(?:{'|'.join(ways)})"
+
+        magics = ([[0x1F], [0x8B], [8]], [[0x78], [1, 0x5E, 0x9C, 0xDA]], [[0x42], [0x5A], [0x68], range(0x31, 0x3A)], [[0xFD], [0x37], [0x7A], [0x58], [0x5A], [0]])
+        return _Bytes(unit, re.compile("|".join("".join(one(*held) for held in magic) for magic in magics)))
+
+    def read(self, text: str, at: int) -> tuple[bytes, list[int], bytes]:
+        """The bytes written from ``at`` on as far as they go, where each begins, and at last where they end; and the bytes
+        with blanks for plus signs that stand for themselves."""
+        data, places, match = bytearray(), [at], self.unit.scanner(text, at).match
+        blanks = []
+        while (m := match()) is not None:
+            digits, number, letter, plain = m.groups()
+            if digits is not None:
+                value = int(digits, 16)
+            elif number is not None:
+                value = int(number)
+            elif letter is not None:
+                value = _CONTROL.get(letter, ord(letter))
+            else:
+                value = ord(plain)
+                if plain == "+":
+                    blanks.append(len(data))
+            if value > 255:
+                break
+            data.append(value)
+            places.append(m.end())
+        spaced = data.copy()
+        for i in blanks:
+            spaced[i] = 0x20
+        return bytes(data), places, bytes(spaced)
+
+
+_WRITTEN = (
+    _Bytes.of("%([0-9A-Fa-f]{2})", "[!-$&-~]"),
+    _Bytes.of(r"\\(?:x|u00)([0-9A-Fa-f]{2})", r"[\x20-\x5b\x5d-\x7f]", short=r"\\([0abtnvfr\\'\"])"),
+    _Bytes.of("&#[xX]0*([0-9A-Fa-f]{2});", "[\\x20-\\x25\\x27-\\x7e]|&(?!#)", decimal="&#0*([0-9]{1,3});"),
+)
+
 #: What a text must hold for a step to find anything, for a first look at many texts at once.
 _HINTS = {
     "assign": r"(?i)(password|passwd|secret|token|api_?key)[\"']? *[:=]",
@@ -165,6 +229,31 @@ def _unicode(layer: Layer) -> Iterator[Layer]:
         yield layer.replaced(found)
 
 
+def _written(layer: Layer, room: _Room) -> Iterator[Layer]:
+    """What compressed bytes hold that are written as URL escapes, with backslashes (as in source code or JSON) or as
+    references, next to characters that stand for themselves. In URLs a plus sign may be a blank as well."""
+    for way in _WRITTEN:
+        at = 0
+        while (m := way.begin.search(layer.text, at)) is not None:
+            data, places, spaced = way.read(layer.text, m.start())
+            at = max(places[-1], m.end())
+            for held in dict.fromkeys((data, spaced) if way is _WRITTEN[0] else (data,)):
+                until = 0
+                for hit in _MAGIC.finditer(held):
+                    first = hit.start()
+                    if first < until:
+                        continue
+                    try:
+                        found = _unpacked(memoryview(held)[first:], room)
+                    except _Full:
+                        room.refused.append(layer.origin(places[first], places[-1]))
+                        continue
+                    if found:
+                        until = first + found[1]
+                        if _PLAIN.search(found[0]):
+                            yield Layer(found[0].decode("utf-8", "replace"), region=layer.origin(places[first], places[until]))
+
+
 class _Room:
     """What one document may still unpack, so that a few compressed bytes cannot fill a task's memory; and how much text
     its other layers, which are never longer than what they come from, may be looked at together: ``DEPTH`` times the
@@ -287,7 +376,7 @@ def search(text: str, hints: set[str], most: int) -> tuple[list, set, int, list[
     """The same, with the stretches of the document that hold the refused layers.
 
     A worklist holds the layers not yet looked at. Each is searched, and what its escapes, escapes of code points and
-    base64 runs (unpacked if compressed) decode to is put on the list, until nothing new comes. Escapes are decoded in
+    base64 runs decode to, bytes in any of them unpacked if compressed, is put on the list, until nothing new comes. Escapes are decoded in
     the stretches that hold them, as far as a pattern may reach around them. A layer that was seen at the same place of
     the document is not looked at again, which also ends cycles.
     """
@@ -299,7 +388,7 @@ def search(text: str, hints: set[str], most: int) -> tuple[list, set, int, list[
     while work:
         layer = work.pop()
         decoded = (inner for part in _escapes(layer) for step in (_url, _unicode) for inner in step(part))
-        for inner in chain(decoded, _coded(layer, room)):
+        for inner in chain(decoded, _coded(layer, room), _written(layer, room)):
             if not inner.text:
                 continue
             place = inner.origin(0, len(inner.text))

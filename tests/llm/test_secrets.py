@@ -2,6 +2,7 @@ import base64
 import bz2
 import gzip
 import hashlib
+import json
 import lzma
 import random
 import re
@@ -69,6 +70,56 @@ def test_alphabets_paths_and_lines(pack):
                 assert not refused and 2 <= start <= 2 + len(before) + 48 * 4 and end <= 2 + len(before + code)
 
 
+def quoted(data):
+    return urllib.parse.quote(data, safe="")
+
+
+def backslashed(data):
+    return repr(data)[2:-1]
+
+
+WRITTEN = {
+    "url": quoted,
+    "url_all": lambda data: "".join(f"%{b:02X}" for b in data),
+    "url_plus": urllib.parse.quote_plus,
+    "literal": backslashed,
+    "backslashes": lambda data: "".join(f"\\x{b:02x}" for b in data),
+    "json": lambda data: json.dumps(data.decode("latin-1"))[1:-1],
+    "decimal": lambda data: "".join(f"&#{b};" for b in data),
+    "hexadecimal": lambda data: "".join(f"&#x{b:02x};" for b in data),
+    "twice": lambda data: quoted(quoted(data).encode()),
+    "url_of_backslashes": lambda data: quoted(backslashed(data).encode()),
+    "base64_of_url": lambda data: base64.b64encode(quoted(data).encode()).decode(),
+}
+
+
+@pytest.mark.parametrize("way", WRITTEN)
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress, lambda d: gzip.compress(zlib.compress(d))])
+def test_compressed_bytes_behind_escapes(way, pack):
+    rng = random.Random(way)
+    for _ in range(10):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(30))]
+        code = WRITTEN[way](pack(" ".join([*words, SECRET, *words]).encode()))
+        spans, refused = hidden(f"see https://h.example/?q={code} after 100 % of it")
+        found = {(a, b) for kind, a, b in spans if kind == "assign"}
+        assert not refused
+        start, end = min(a for a, _ in found), max(b for _, b in found)
+        assert (start, end) in found  # short contents may stand readable inside as well
+        assert 4 <= start <= 25 and 25 + len(code) * 3 // 4 <= end <= 25 + len(code)
+
+
+def test_escapes_without_compressed_bytes_add_nothing():
+    rng = random.Random(1)
+    for _ in range(200):
+        data = bytes(rng.choices((0x1F, 0x8B, 8, 0x78, 0x9C, 66, 90, 104, 57, 43, 37, rng.randrange(256)), k=60))
+        for way in WRITTEN.values():
+            assert hidden(f"x {way(data)} y")[1] == 0
+
+
+def test_many_beginnings_take_linear_time():
+    assert hidden("%1F%8B%08" * 20_000 + "x^" * 20_000 + "\\x1f\\x8b\\x08 " * 20_000)[1] == 0
+
+
 def test_runs_inside_a_line_break_are_hinted():
     code = wrapped(base64.b64encode(SECRET.encode()).decode(), 7)
     assert "coded" in hints_of(pa.array([code]))[0]
