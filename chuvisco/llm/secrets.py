@@ -53,14 +53,16 @@ _CONTROL = {"0": 0, "a": 7, "b": 8, "t": 9, "n": 10, "v": 11, "f": 12, "r": 13}
 
 @dataclass(frozen=True)
 class _Bytes:
-    """A way to write bytes in a text. ``unit`` matches one byte: its groups are two hexadecimal digits, a decimal number, a letter
-    after a backslash, and a character that stands for itself; ``begin`` matches where compressed bytes may begin."""
+    """A way to write bytes in a text. All of its escapes begin with ``mark``. ``unit`` matches one byte: its groups are two
+    hexadecimal digits, a decimal number, a letter after a backslash, and a character that stands for itself; ``begin``
+    matches where compressed bytes may begin."""
 
+    mark: str
     unit: re.Pattern
     begin: re.Pattern
 
     @staticmethod
-    def of(hexadecimal: str, plain: str, decimal: str = "(?!)()", short: str = "(?!)()") -> _Bytes:
+    def of(mark: str, hexadecimal: str, plain: str, decimal: str = "(?!)()", short: str = "(?!)()") -> _Bytes:
         unit = re.compile(f"{hexadecimal}|{decimal}|{short}|({plain})")
 
         def one(*values: int) -> str:
@@ -75,7 +77,7 @@ class _Bytes:
             return f"(?:{'|'.join(ways)})"
 
         magics = ([[0x1F], [0x8B], [8]], [[0x78], [1, 0x5E, 0x9C, 0xDA]], [[0x42], [0x5A], [0x68], range(0x31, 0x3A)], [[0xFD], [0x37], [0x7A], [0x58], [0x5A], [0]])
-        return _Bytes(unit, re.compile("|".join("".join(one(*held) for held in magic) for magic in magics)))
+        return _Bytes(mark, unit, re.compile("|".join("".join(one(*held) for held in magic) for magic in magics)))
 
     def read(self, text: str, at: int) -> tuple[bytes, list[int], bytes]:
         """The bytes written from ``at`` on as far as they go, where each begins, and at last where they end; and the bytes
@@ -105,9 +107,9 @@ class _Bytes:
 
 
 _WRITTEN = (
-    _Bytes.of("%([0-9A-Fa-f]{2})", "[!-$&-~]"),
-    _Bytes.of(r"\\(?:x|u00)([0-9A-Fa-f]{2})", r"[\x20-\x5b\x5d-\x7f]", short=r"\\([0abtnvfr\\'\"])"),
-    _Bytes.of("&#[xX]0*([0-9A-Fa-f]{2});", "[\\x20-\\x25\\x27-\\x7e]|&(?!#)", decimal="&#0*([0-9]{1,3});"),
+    _Bytes.of("%", "%([0-9A-Fa-f]{2})", "[!-$&-~]"),
+    _Bytes.of("\\", r"\\(?:x|u00)([0-9A-Fa-f]{2})", r"[\x20-\x5b\x5d-\x7f]", short=r"\\([0abtnvfr\\'\"])"),
+    _Bytes.of("&#", "&#[xX]0*([0-9A-Fa-f]{2});", "[\\x20-\\x25\\x27-\\x7e]|&(?!#)", decimal="&#0*([0-9]{1,3});"),
 )
 
 #: What a text must hold for a step to find anything, for a first look at many texts at once.
@@ -233,6 +235,8 @@ def _written(layer: Layer, room: _Room) -> Iterator[Layer]:
     """What compressed bytes hold that are written as URL escapes, with backslashes (as in source code or JSON) or as
     references, next to characters that stand for themselves. In URLs a plus sign may be a blank as well."""
     for way in _WRITTEN:
+        if way.mark not in layer.text:
+            continue
         at = 0
         while (m := way.begin.search(layer.text, at)) is not None:
             data, places, spaced = way.read(layer.text, m.start())
