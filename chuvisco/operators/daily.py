@@ -85,17 +85,33 @@ def align_components(
     keys = tuple(keys or (*layout.keys, "idx"))
     columns = ["time", *[m.name for m in layout.metrics]]
     sources = [tables[layout.time_table], *[tables[m.table] for m in layout.metrics]]
-    aligned = (
-        _stack(sources, columns, keys)
-        .groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("_rows"),
-            F.bit_or("_source").alias("_sources"),
-            *[F.max(c).alias(c) for c in columns],
-        )
+    return _aligned(_stack(sources, columns, keys), columns, keys)
+
+
+def align_stacked(stacked: DataFrame, layout: Layout = WEATHER) -> DataFrame:
+    """:func:`align_components` over the rows that :func:`~chuvisco.operators.stacked_components` put together: one scan.
+
+    Over a table that ``write_buckets`` stored by the document's key (or a part of it) the rows are grouped where they lie,
+    without a shuffle.
+    """
+    keys = (*layout.keys, "idx")
+    tables = [layout.time_table, *[m.table for m in layout.metrics]]
+    columns = ["time", *[m.name for m in layout.metrics]]
+    bit = F.coalesce(*[F.when(F.col("tabela") == name, F.lit(2**i)) for i, name in enumerate(tables)])
+    keyed = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+    rows = stacked.filter(F.col("tabela").isin(tables) & keyed).select(*keys, bit.alias("_source"), *columns)
+    return _aligned(rows, columns, keys)
+
+
+def _aligned(rows: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """One row for the rows of each key, if every source has one; it fails if a source has several."""
+    aligned = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.bit_or("_source").alias("_sources"),
+        *[F.max(c).alias(c) for c in columns],
     )
     repeated = F.col("_rows") > F.bit_count("_sources")
-    complete = F.col("_sources") == 2 ** len(sources) - 1
+    complete = F.col("_sources") == 2 ** len(columns) - 1
     message = F.lit(f"several readings of one table share {', '.join(keys)}")
     return aligned.filter(F.when(repeated, F.raise_error(message)).otherwise(complete)).select(*keys, *columns)
 

@@ -1,5 +1,6 @@
-"""Writes: landing files, tables, staged copies."""
+"""Writes: landing files, tables, tables by bucket, staged copies."""
 
+from chuvisco.sinks.buckets import open_buckets, write_buckets
 from chuvisco.sinks.landing import land_csv, land_documents
 from chuvisco.sinks.staging import holds_files, path_exists, release, remove_file, remove_path, staged, work_path
 from chuvisco.sinks.tables import replace_table, write_table
@@ -8,6 +9,7 @@ __all__ = [
     "holds_files",
     "land_csv",
     "land_documents",
+    "open_buckets",
     "path_exists",
     "release",
     "remove_file",
@@ -15,5 +17,6 @@ __all__ = [
     "replace_table",
     "staged",
     "work_path",
+    "write_buckets",
     "write_table",
 ]

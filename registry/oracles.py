@@ -266,6 +266,10 @@ SELECT l_suppkey AS codigo_ibge, time, ano, mes, remessa, idx, relativehumidity_
     "stacked_tables": f"""WITH {_DISTINCT_LINES}
 SELECT l_suppkey AS codigo_ibge, ano, mes, remessa, idx, time, relativehumidity_2m, temperature_2m, windspeed_10m
 FROM wide""",
+    "bucketed_tables": f"""WITH {_DISTINCT_LINES}
+SELECT l_suppkey AS codigo_ibge, ano, mes, remessa, idx, time, relativehumidity_2m, temperature_2m, windspeed_10m
+FROM wide""",
+    "bucketed_daily": _DISTINCT_DAILY,
     "table_of_two_types": f"""WITH {_HISTORY}
 SELECT ano, codigo_ibge, time, CAST(floor(valor) AS DOUBLE) AS valor, prioridade FROM history""",
 }

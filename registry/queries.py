@@ -14,7 +14,7 @@ from chuvisco.functions.metadata import MUNICIPALITY_COLUMNS, WEATHER_COLUMNS
 from chuvisco.functions.periods import period_path, reference_date
 from chuvisco.plans import Lake, backfill, compact, compact_month, refresh_days, refresh_month, run_dimension
 from chuvisco.schemas import MUNICIPALITIES, MUNICIPALITIES_WIDE, Layout, assert_schema
-from chuvisco.sinks import land_csv, land_documents, staged, work_path, write_table
+from chuvisco.sinks import land_csv, land_documents, staged, work_path, write_buckets, write_table
 from chuvisco.sources import read_csv, read_declared, read_documents, read_table, register_views, split_documents
 from registry.inputs import (
     EVENTS,
@@ -176,6 +176,24 @@ def stacked_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.align_components({name: ops.component_of(stored, name, LINES) for name in names}, LINES)
 
 
+def bucketed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The refined tables stored by document, aligned without a shuffle."""
+    return ops.align_stacked(_by_document(spark, sf_dir), LINES)
+
+
+def bucketed_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days from the refined tables stored by document: one shuffle, of days already summed up per task."""
+    return ops.daily_rollup(ops.align_stacked(_by_document(spark, sf_dir), LINES), LINES)
+
+
+def _by_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_path(spark, "components")
+    stacked = ops.stacked_components(ops.distinct_documents(line_documents(spark, sf_dir)), LINES)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = "components_" + path.split("/")[-2].replace("-", "_")
+    return write_buckets(stacked, name, path, LINES.keys, buckets, sort_by=("idx",), partition_by=("tabela",))
+
+
 # Dimension
 
 
@@ -567,6 +585,8 @@ _ALL: dict[str, Query] = {name: _on_lines(name) for name in ON_DOCUMENTS} | {
     "backfill_scattered_years": backfill_scattered_years,
     "refresh_stray_reading": refresh_stray_reading,
     "refresh_month_job": refresh_month_job,
+    "bucketed_tables": bucketed_tables,
+    "bucketed_daily": bucketed_daily,
     "stacked_tables": stacked_tables,
     "refresh_days_job": refresh_days_job,
     "compact_new_files": compact_new_files,
