@@ -37,7 +37,8 @@ def test_trees_find_what_a_full_scan_finds_and_look_at_less():
     tree, looked = BallTree.build(np.arange(2000), vectors), 0
     for q in range(0, 2000, 40):
         best = []
-        looked += tree.search(vectors[q], q, best, 10)
+        (reach,) = tree.reach(vectors[q : q + 1].astype(float))
+        looked += tree.search(vectors[q], q, best, 10, reach)
         scores = vectors @ vectors[q]
         wanted = sorted(((int(s), -i) for i, s in enumerate(scores) if i != q), reverse=True)[:10]
         assert sorted(best, reverse=True) == wanted
@@ -47,7 +48,7 @@ def test_trees_find_what_a_full_scan_finds_and_look_at_less():
 @pytest.mark.parametrize("small", [False, True])
 def test_rows_equal_brute_force(spark, monkeypatch, small):
     if small:
-        for name, n in (("SHARD", 7), ("LEAF", 2), ("BLOCK", 3), ("RUN", 2)):
+        for name, n in (("SHARD", 7), ("LEAF", 2), ("ASKED", 11), ("FIRST", 2), ("GROWTH", 2)):
             monkeypatch.setattr(search, name, n)
     rng = np.random.default_rng(3)
     rows = [(i, rng.normal(size=5).round(2).tolist()) for i in range(120)]
@@ -58,6 +59,28 @@ def test_rows_equal_brute_force(spark, monkeypatch, small):
     assert as_rows(top_products(df, every=5, k=4)) == by_hand(rows, 5, 4)
 
 
+def test_several_vectors_of_a_key(spark):
+    rows = [(i, [float(i % 7), 1.0]) for i in range(1, 40)] + [(50, [9.0, x / 8]) for x in range(30)] + [(100, [1.0, 1.0]), (100, [1.0, -1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert as_rows(top_products(df, every=50, k=5)) == by_hand(rows, 50, 5)
+
+
+def test_a_floor_lets_only_better_finds_through():
+    vectors = np.arange(1, 101, dtype=np.int64)[:, None]
+    tree = BallTree.build(np.arange(100), vectors, 4)
+    (reach,) = tree.reach(np.array([[2.0]]))
+    best = []
+    looked = tree.search(np.array([2]), 99, best, 10, reach, (190, -94))
+    assert sorted(best) == [(192, -95), (194, -96), (196, -97), (198, -98)] and looked < 30
+    assert [sum(1 for _ in search._waves(n)) for n in (0, 1, 8, 9, 32, 33)] == [0, 1, 1, 2, 2, 3]
+
+
+def test_rounds_hold_bounded_queries():
+    rounds = search._rounds({2: 10, 64: 200_000, 1 << 23: 3})
+    assert [p for r in rounds for p in r if p[0] == 64] == [(64, i, 4) for i in range(4)]
+    assert all(sum(d << 16 >= search.SENT for d, _, _ in r) <= 2 for r in rounds) and len(rounds) >= 6
+
+
 def test_few_rows_and_none(spark):
     df = spark.createDataFrame([(100, [1.0]), (1, [2.0])], "vec_id long, embedding array<float>")
     assert as_rows(top_products(df)) == [(100, 1, 1, 1024 * 2048)]
