@@ -191,6 +191,9 @@ FROM events GROUP BY user_id, CAST(ts AS DATE)""",
     "dimension_refined": _DIMENSION,
     "dimension_trusted": _TRUSTED,
     "dimension_annotated": _DIMENSION,
+    "dimension_stamps": f"""WITH refined AS ({_DIMENSION})
+SELECT CAST(carga AS INTEGER) AS carga, COUNT(*) AS linhas, CAST(1 AS BIGINT) AS carimbos, TRUE AS depois
+FROM refined, (VALUES (1), (2)) AS loads(carga) GROUP BY carga""",
     "dimension_by_region": _DIMENSION,
     "hourly_annotated": f"""WITH {_LINES}
 SELECT l_suppkey AS codigo_ibge, time AS data_hora, relativehumidity_2m AS humidade_relativa,

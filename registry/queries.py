@@ -205,6 +205,23 @@ def dimension_trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.build_trusted(dimension_refined(spark, sf_dir), stamped=False)
 
 
+def dimension_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of the dimension in one table: rows and stamps of each, and whether all of them are later than the load before."""
+    path = work_path(spark, "loads")
+    for load in (1, 2):
+        refined = ops.build_refined(municipalities(spark, sf_dir), states(spark, sf_dir))
+        write_table(refined.withColumn("carga", F.lit(load)), path, partition_by=("carga",))
+    loads = read_table(spark, path).groupBy("carga").agg(
+        F.count(F.lit(1)).alias("linhas"),
+        F.count_distinct("gerado_em").alias("carimbos"),
+        F.min("gerado_em").alias("primeiro"),
+        F.max("gerado_em").alias("ultimo"),
+    )
+    before = loads.select((F.col("carga") + 1).alias("carga"), F.col("ultimo").alias("anterior"))
+    later = F.coalesce(F.col("primeiro") > F.col("anterior"), F.lit(True)).alias("depois")
+    return loads.join(before, "carga", "left").select("carga", "linhas", "carimbos", later)
+
+
 def dimension_annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "annotated")
     write_table(annotate(dimension_refined(spark, sf_dir), MUNICIPALITY_COLUMNS), path)
@@ -556,6 +573,7 @@ _ALL: dict[str, Query] = {name: _on_lines(name) for name in ON_DOCUMENTS} | {
     "month_documents_components": month_documents_components,
     "dimension_refined": dimension_refined,
     "dimension_trusted": dimension_trusted,
+    "dimension_stamps": dimension_stamps,
     "dimension_annotated": dimension_annotated,
     "dimension_by_region": dimension_by_region,
     "hourly_annotated": hourly_annotated,
