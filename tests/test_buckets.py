@@ -4,7 +4,6 @@ from uuid import uuid4
 
 import pytest
 from build import document, documents, hours
-from conftest import final_plan
 
 from chuvisco import operators as ops
 from chuvisco.schemas import WEATHER
@@ -37,7 +36,7 @@ def same(one, other):
     return one.exceptAll(other).count() == other.exceptAll(one).count() == 0
 
 
-def test_alignment_of_buckets_has_no_exchange(spark, tmp_path, name):
+def test_alignment_of_buckets_has_no_exchange(spark, tmp_path, name, plan_after_run):
     docs = some(spark, 5, 6, 7)
     stacked = ops.stacked_components(docs)
     wanted = ops.align_components(ops.components(docs))
@@ -46,14 +45,14 @@ def test_alignment_of_buckets_has_no_exchange(spark, tmp_path, name):
     table = write_buckets(stacked, name, str(tmp_path / "t"), KEYS, 4, sort_by=("idx",), partition_by=("tabela",))
     aligned = ops.align_stacked(table)
     assert same(aligned, wanted)
-    plan = final_plan(aligned).split("Initial Plan")[0]
+    plan = plan_after_run(aligned).split("Initial Plan")[0]
     assert "Exchange" not in plan and "Bucketed: true" in plan and plan.count("FileScan") == 1
     daily = ops.daily_rollup(aligned)
     assert same(daily, ops.rollup_components(ops.components(docs)))
-    assert final_plan(daily).split("Initial Plan")[0].count("Exchange") == 1
+    assert plan_after_run(daily).split("Initial Plan")[0].count("Exchange") == 1
 
 
-def test_a_month_is_replaced_alone(spark, tmp_path, name):
+def test_a_month_is_replaced_alone(spark, tmp_path, name, plan_after_run):
     path = str(tmp_path / "t")
     how = {"keys": ("codigo_ibge",), "buckets": 4, "sort_by": ("idx",), "partition_by": ("tabela", "ano", "mes")}
     table = write_buckets(ops.stacked_components(some(spark, 6, 7)), name, path, **how)
@@ -64,10 +63,10 @@ def test_a_month_is_replaced_alone(spark, tmp_path, name):
     assert {r[0] for r in table.filter("mes = 6").select(files).distinct().collect()} == before
     wanted = some(spark, 6).unionAll(new)
     assert same(ops.align_stacked(table), ops.align_components(ops.components(wanted)))
-    assert "Exchange" not in final_plan(ops.align_stacked(table))
+    assert "Exchange" not in plan_after_run(ops.align_stacked(table))
 
 
-def test_a_table_is_opened_by_another_catalog(spark, tmp_path, name):
+def test_a_table_is_opened_by_another_catalog(spark, tmp_path, name, plan_after_run):
     path = str(tmp_path / "it's")
     how = {"keys": ("codigo_ibge",), "buckets": 4, "sort_by": ("idx",), "partition_by": ("tabela", "ano", "mes")}
     docs = some(spark, 6, 7)
@@ -76,7 +75,7 @@ def test_a_table_is_opened_by_another_catalog(spark, tmp_path, name):
     table = open_buckets(spark, name, path, schema, **how)
     aligned = ops.align_stacked(table)
     assert same(aligned, ops.align_components(ops.components(docs)))
-    assert "Exchange" not in final_plan(aligned)
+    assert "Exchange" not in plan_after_run(aligned)
 
 
 def test_odd_tables(spark, tmp_path, name):
