@@ -1,6 +1,6 @@
 """DataFrame-to-DataFrame operators."""
 
-from chuvisco.operators.daily import align_components, align_stacked, daily_parts, daily_rollup, merge_parts, rollup_components
+from chuvisco.operators.daily import align_components, align_documents, align_stacked, daily_parts, daily_rollup, merge_parts, rollup_components
 from chuvisco.operators.dimension import build_refined, build_trusted
 from chuvisco.operators.documents import distinct_documents, latest_documents, months_of, of_days, with_days
 from chuvisco.operators.hourly import (
@@ -17,6 +17,7 @@ from chuvisco.operators.upsert import files_holding, merge_upsert, upsert_table
 
 __all__ = [
     "align_components",
+    "align_documents",
     "align_stacked",
     "build_refined",
     "build_trusted",
