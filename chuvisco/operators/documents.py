@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chuvisco.schemas import WEATHER, Layout
 
@@ -17,15 +18,47 @@ DAYS = ("primeiro_dia", "ultimo_dia")
 #: First and last day of a range.
 Span = tuple[date | str | None, date | str | None]
 MOST_SPANS = 64
+#: Hashes that documents share, at most, for which copies are looked for where the documents are.
+MOST_COPIES = 1 << 17
 
 
-def distinct_documents(docs: DataFrame, ignore: Sequence[str] = ARRIVAL) -> DataFrame:
+def distinct_documents(docs: DataFrame, ignore: Sequence[str] = ARRIVAL, in_place: bool = False) -> DataFrame:
     """Keep one of several documents equal in every column but those of ``ignore``.
 
     Copies are dropped before the shuffle where they meet in a task, so a document delivered
     very often does not load one task.
+
+    ``in_place`` suits documents of which few have copies: their hashes are counted first, at once, and only documents
+    whose hash stands twice are shuffled and compared; all others stay in the tasks that read them. ``docs`` are read
+    once for that and again with the result, so both must give the same rows. Beyond ``MOST_COPIES`` such hashes, or
+    where hashes do not follow equality (maps, variants, collations), all documents are shuffled.
     """
-    return docs.drop(*ignore).distinct()
+    docs = docs.drop(*ignore)
+    if not in_place or not _hashed(docs.schema):
+        return docs.distinct()
+    mark = F.xxhash64(*docs.columns).alias("_mark")
+    twice = docs.select(mark).groupBy("_mark").count().filter(F.col("count") > 1).select("_mark")
+    # no more than can go to every task
+    found = twice.limit(MOST_COPIES + 1).collect()
+    if not found:
+        return docs
+    if len(found) > MOST_COPIES:
+        return docs.distinct()
+    found = F.broadcast(docs.sparkSession.createDataFrame(found, twice.schema))
+    marked = docs.select("*", mark)
+    alone, copies = [marked.join(found, "_mark", how).select(*docs.columns) for how in ("left_anti", "left_semi")]
+    return alone.unionAll(copies.distinct())
+
+
+def _hashed(kind: T.DataType) -> bool:
+    """Whether equal values of a type have equal hashes."""
+    if isinstance(kind, T.StructType):
+        return all(_hashed(f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return _hashed(kind.elementType)
+    if isinstance(kind, T.StringType):
+        return kind.isUTF8BinaryCollation()
+    return not isinstance(kind, (T.MapType, T.VariantType))
 
 
 def latest_documents(

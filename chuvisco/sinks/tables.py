@@ -8,7 +8,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chuvisco.sinks.staging import move_path, path_exists, remove_path
+from chuvisco.sinks.staging import COMPRESSION, move_path, path_exists, remove_path
 
 
 def write_table(
@@ -44,6 +44,8 @@ def write_table(
     if sort_by:
         df = df.sortWithinPartitions(*order)
     writer = df.write.format(fmt).mode(mode)
+    if fmt == "parquet":
+        writer = writer.option("compression", COMPRESSION)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
         if mode == "overwrite" and not replace_schema:
