@@ -85,7 +85,11 @@ def align_components(
     keys = tuple(keys or (*layout.keys, "idx"))
     columns = ["time", *[m.name for m in layout.metrics]]
     sources = [tables[layout.time_table], *[tables[m.table] for m in layout.metrics]]
-    return _aligned(_stack(sources, columns, keys), columns, keys)
+    rows = _stack(sources, columns, keys)
+    if set(layout.keys) <= set(keys):
+        # the readings of a document go together: next to each other, their keys take hardly any room in the shuffle
+        rows = rows.repartition(*layout.keys)
+    return _aligned(rows, columns, keys)
 
 
 def align_documents(docs: DataFrame, layout: Layout = WEATHER) -> DataFrame:
