@@ -83,7 +83,7 @@ def compact(
     which later scans skip documents. ``arrange`` is as for :func:`write_table`. ``keep_arrival`` keeps
     the file and stamp of the last delivery, against which a later one can be settled.
     """
-    docs = latest_documents(docs, layout) if latest else distinct_documents(docs)
+    docs = latest_documents(docs, layout) if latest else distinct_documents(docs, in_place=True)
     docs = docs if keep_arrival else docs.drop(*ARRIVAL)
     write_table(with_days(docs, layout), lake.merged("clima"), partition_by=("ano", "mes"), sort_by=DAYS, arrange=arrange)
 
@@ -336,9 +336,13 @@ def _write_days(
         daily = daily_rollup(hourly_wide(merged, layout, spans=None if months is None else _spans(months)), layout)
     if daily is not None:
         daily = daily.filter(F.col("data").isNotNull())
-        made = staged(stamp(daily.withColumns({"ano": F.year("data"), "mes": F.month("data")})), "daily")
+        made = stamp(daily.withColumns({"ano": F.year("data"), "mes": F.month("data")}))
+        before = staged(list_files(spark, path).select(*FILE), "listing") if holds_files(spark, path) else None
         write_table(made, path, partition_by=("ano", "mes"), sort_by=(layout.entity, "data"), arrange="range")
-        full = _pairs(made)
+        if holds_files(spark, path):
+            # months with rows are those with a file that was not there
+            after = list_files(spark, path)
+            full = _pairs(after if before is None else unread_files(after, before))
     if holds_files(spark, path):
         there = _pairs(read_table(spark, path))
         for ano, mes in (there if months is None else there & months) - full:
