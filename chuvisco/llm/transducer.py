@@ -259,6 +259,21 @@ _RESETS = np.zeros(SYMBOLS, bool)
 _RESETS[[*_SPACES, STOP]] = True
 
 
+#: Letters and numbers that the tokenizer knows from Unicode 16, which Python's own table (15.1) has no category for.
+_LATER = {
+    LETTER: (
+        (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85),
+        (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7),
+        (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C),
+        (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+    ),
+    NUMBER: (
+        (0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9),
+        (0x1E5F1, 0x1E5FA),
+    ),
+}
+
+
 @cache
 def _kinds() -> np.ndarray:
     kinds = np.full(0x110000, OTHER, np.int64)
@@ -266,6 +281,9 @@ def _kinds() -> np.ndarray:
         major = unicodedata.category(chr(code))[0]
         if major in "LN":
             kinds[code] = LETTER if major == "L" else NUMBER
+    for kind, ranges in _LATER.items():
+        for first, last in ranges:
+            kinds[first : last + 1] = kind
     kinds[list(_WIDE_SPACES)] = 32
     return kinds
 
